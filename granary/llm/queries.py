@@ -3,12 +3,40 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import table
+from .common import shared_dir, table
 
 SHARDS = 16
 
 
+def tokenizer(name: str) -> str:
+    """A public tokenizer's file on this machine; every executor has the same package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sentencepiece_bpe import encode
+
+    out = encode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), decoded=True)
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_files import read_documents, write_tokens
+
+    folder = shared_dir(spark)
+    write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer("byte_bpe_50k.json"))
+    return read_documents(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
 
@@ -22,7 +50,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(docs, [1.0] * SHARDS, [1.0] * (SHARDS + 1)).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op7_exact_dedup, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op6_token_files, op7_exact_dedup, op10_sharding)}
 
 ORACLES = {
     "op7_exact_dedup": """

@@ -37,6 +37,13 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_gam import classified, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return classified(docs, train(docs, table(spark, sf_dir, "labels"))).select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_files import read_documents, write_tokens
 
@@ -70,7 +77,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(docs, [1.0] * SHARDS, [1.0] * (SHARDS + 1)).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op4_warc, op6_token_files, op7_exact_dedup, op8_chat, op9_packing, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op4_warc, op5_quality, op6_token_files, op7_exact_dedup, op8_chat, op9_packing, op10_sharding)}
 
 ORACLES = {
     "op7_exact_dedup": """

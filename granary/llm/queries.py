@@ -29,6 +29,12 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pq_dedup import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 0.9).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import read_warc, write_warc
 
@@ -77,13 +83,24 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(docs, [1.0] * SHARDS, [1.0] * (SHARDS + 1)).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op4_warc, op5_quality, op6_token_files, op7_exact_dedup, op8_chat, op9_packing, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_pq_dedup, op4_warc, op5_quality, op6_token_files, op7_exact_dedup, op8_chat, op9_packing, op10_sharding)}
 
 ORACLES = {
     "op7_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+    "op3_pq_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                  AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        pairs AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+        reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+        comp AS (SELECT a, min(b) AS c FROM reach GROUP BY a),
+        n AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+        SELECT vec_id, coalesce(n.n, 0) AS n_links, comp.c AS component_id, vec_id = comp.c AS kept
+        FROM embeddings JOIN comp ON comp.a = vec_id LEFT JOIN n ON n.a = vec_id""",
     # five hex digits of the digest are four base-32 digits
     "op4_warc": """
         WITH h AS (

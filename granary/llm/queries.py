@@ -29,6 +29,12 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_omh_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .omh_dedup import near_classes
+
+    return near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
+
+
 def op3_pq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pq_dedup import near_vectors
 
@@ -83,7 +89,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(docs, [1.0] * SHARDS, [1.0] * (SHARDS + 1)).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op3_pq_dedup, op4_warc, op5_quality, op6_token_files, op7_exact_dedup, op8_chat, op9_packing, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_omh_dedup, op3_pq_dedup, op4_warc, op5_quality, op6_token_files, op7_exact_dedup, op8_chat, op9_packing, op10_sharding)}
 
 ORACLES = {
     "op7_exact_dedup": """

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import slices, written
 from .components import components
 
-SHINGLE, SKETCHES, LENGTH, SIMILARITY = 5, 24, 5, 0.8
+SHINGLE, SKETCHES, LENGTH, SIMILARITY = 5, 32, 3, 0.8
 #: Nodes of a block, and nodes that one task aligns with a hub.
 BLOCK, HUB = 256, 1024
 STAR_ROUNDS = 2

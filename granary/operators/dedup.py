@@ -92,13 +92,13 @@ def minhash_pairs(bands: DataFrame) -> DataFrame:
 
 def near_dup_minhash(df: DataFrame, idx: int, threshold: float = MINHASH_THRESHOLD, hard_reject: bool = False, store: DataFrame | None = None) -> DataFrame:
     """Soft: marks documents that share a band with an earlier alive one. Hard: rejects those that share one with an earlier kept one (DUP_NEAR)."""
-    alive = df.where(alive()).select("seq", "text")
-    bands = minhash_bands(alive, threshold)
+    live = df.where(alive()).select("seq", "text")
+    bands = minhash_bands(live, threshold)
     if not hard_reject:
         hits = minhash_hits(bands, store).select("seq", F.lit(True).alias("__hit"))
         df = df.join(hits, "seq", "left")
         return marked(df, F.when(F.col("__hit"), "near_dup_minhash_hit_v1").otherwise("near_dup_minhash_v1")).drop("__hit")
-    keep = greedy_keep(alive.select("seq"), shared_bucket_pairs(bands))
+    keep = greedy_keep(live.select("seq"), shared_bucket_pairs(bands))
     df = df.join(keep.select("seq", F.col("keep").alias("__keep")), "seq", "left")
     return marked(rejecting(df, "near_dup_minhash", idx, F.when(~F.col("__keep"), "DUP_NEAR")), "near_dup_minhash_v1").drop("__keep")
 

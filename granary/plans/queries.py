@@ -71,9 +71,9 @@ FUNNEL = f"""
     d AS (SELECT *, (SELECT coalesce(log2(sum(n)) - sum(n * log2(n)) / sum(n), 0) FROM (SELECT count(*) AS n FROM unnest(string_split(clean, '')) u(x) GROUP BY x)) AS entropy FROM c),
     e AS (SELECT *, CASE WHEN length(clean) < 200 THEN 'TOO_SHORT' WHEN entropy < 3.5 OR entropy > 7.8 THEN 'ENTROPY_OUT_OF_RANGE' END AS qual,
                  CASE WHEN regexp_matches(clean, '{AADHAAR}') THEN 'PII_AADHAAR' END AS per FROM d),
-    f AS (SELECT *, CASE WHEN lic IS NOT NULL THEN 0 WHEN dup IS NOT NULL THEN 2 WHEN qual IS NOT NULL THEN 3 WHEN per IS NOT NULL THEN 4 END AS at,
+    f AS (SELECT *, CASE WHEN lic IS NOT NULL THEN 0 WHEN dup IS NOT NULL THEN 2 WHEN qual IS NOT NULL THEN 3 WHEN per IS NOT NULL THEN 4 END AS pos,
                  coalesce(lic, dup, qual, per) AS reason FROM e)"""
-STAGE_NAME = "CASE at WHEN 0 THEN 'license_gate' WHEN 2 THEN 'exact_dedup' WHEN 3 THEN 'quality_gate' WHEN 4 THEN 'pii_policy_gate' END"
+STAGE_NAME = "CASE pos WHEN 0 THEN 'license_gate' WHEN 2 THEN 'exact_dedup' WHEN 3 THEN 'quality_gate' WHEN 4 THEN 'pii_policy_gate' END"
 CATEGORY = "CASE WHEN reason LIKE 'DUP%' THEN 'duplicates' WHEN reason LIKE 'PII%' OR reason LIKE 'LICENSE%' THEN 'pii' ELSE 'low_quality' END"
 
 
@@ -309,49 +309,49 @@ def priority_dedup(spark, sf):
 # -- funnel and reports ---------------------------------------------------------------------------
 
 
-@query(f"WITH {FUNNEL} SELECT doc_id, reason, at AS stage_idx FROM f")
+@query(f"WITH {FUNNEL} SELECT doc_id, reason, pos AS stage_idx FROM f")
 def pipeline_decisions(spark, sf):
     return staged(spark, sf).select(F.col("seq").alias("doc_id"), F.col("rejection.reason_code").alias("reason"), F.col("rejection.stage_idx").alias("stage_idx"))
 
 
-@query(f"""WITH {FUNNEL} SELECT s AS stage, CAST(i AS INT) AS stage_idx, count(*) FILTER (at IS NULL OR at >= i) AS input_docs, count(*) FILTER (at IS NULL OR at > i) AS accepted_docs, count(*) FILTER (at = i) AS rejected_docs
+@query(f"""WITH {FUNNEL} SELECT s AS stage, CAST(i AS INT) AS stage_idx, count(*) FILTER (pos IS NULL OR pos >= i) AS input_docs, count(*) FILTER (pos IS NULL OR pos > i) AS accepted_docs, count(*) FILTER (pos = i) AS rejected_docs
     FROM f, (VALUES ('license_gate', 0), ('sanitize', 1), ('exact_dedup', 2), ('quality_gate', 3), ('pii_policy_gate', 4)) v(s, i) GROUP BY s, i""")
 def stage_funnel(spark, sf):
     return reports.stage_funnel(staged(spark, sf), STAGES)
 
 
-@query(f"""WITH {FUNNEL} SELECT source, s AS stage, CAST(i AS INT) AS stage_idx, count(*) FILTER (at IS NULL OR at >= i) AS input_docs, count(*) FILTER (at IS NULL OR at > i) AS accepted_docs, count(*) FILTER (at = i) AS rejected_docs
-    FROM f, (VALUES ('license_gate', 0), ('sanitize', 1), ('exact_dedup', 2), ('quality_gate', 3), ('pii_policy_gate', 4)) v(s, i) GROUP BY source, s, i HAVING count(*) FILTER (at IS NULL OR at >= i) > 0""")
+@query(f"""WITH {FUNNEL} SELECT source, s AS stage, CAST(i AS INT) AS stage_idx, count(*) FILTER (pos IS NULL OR pos >= i) AS input_docs, count(*) FILTER (pos IS NULL OR pos > i) AS accepted_docs, count(*) FILTER (pos = i) AS rejected_docs
+    FROM f, (VALUES ('license_gate', 0), ('sanitize', 1), ('exact_dedup', 2), ('quality_gate', 3), ('pii_policy_gate', 4)) v(s, i) GROUP BY source, s, i HAVING count(*) FILTER (pos IS NULL OR pos >= i) > 0""")
 def stage_funnel_by_source(spark, sf):
     return reports.stage_funnel(staged(spark, sf), STAGES, ["source"])
 
 
-@query(f"WITH {FUNNEL} SELECT {STAGE_NAME} AS stage, reason AS reason_code, count(*) AS rejected_docs FROM f WHERE at IS NOT NULL GROUP BY ALL")
+@query(f"WITH {FUNNEL} SELECT {STAGE_NAME} AS stage, reason AS reason_code, count(*) AS rejected_docs FROM f WHERE pos IS NOT NULL GROUP BY ALL")
 def rejection_breakdown(spark, sf):
     return reports.rejection_breakdown(reports.rejections(staged(spark, sf)))
 
 
-@query(f"WITH {FUNNEL} SELECT {CATEGORY} AS category, count(*) AS rejected_docs FROM f WHERE at IS NOT NULL GROUP BY ALL")
+@query(f"WITH {FUNNEL} SELECT {CATEGORY} AS category, count(*) AS rejected_docs FROM f WHERE pos IS NOT NULL GROUP BY ALL")
 def rejection_category_counts(spark, sf):
     return reports.rejection_breakdown(reports.rejections(staged(spark, sf)), "category")
 
 
-@query(f"WITH {FUNNEL}, n AS (SELECT {STAGE_NAME} AS stage, count(*) AS rejected_docs FROM f WHERE at IS NOT NULL GROUP BY ALL) SELECT stage, rejected_docs, round(100.0 * rejected_docs / (SELECT sum(rejected_docs) FROM n), 6) AS share_pct FROM n")
+@query(f"WITH {FUNNEL}, n AS (SELECT {STAGE_NAME} AS stage, count(*) AS rejected_docs FROM f WHERE pos IS NOT NULL GROUP BY ALL) SELECT stage, rejected_docs, round(100.0 * rejected_docs / (SELECT sum(rejected_docs) FROM n), 6) AS share_pct FROM n")
 def rejection_share(spark, sf):
     return reports.rejection_share(reports.rejections(staged(spark, sf))).withColumn("share_pct", F.round("share_pct", 6))
 
 
-@query(f"WITH {FUNNEL} SELECT 'in/' || source || '.jsonl' AS source_file, {STAGE_NAME} AS stage, count(*) AS rejected_docs FROM f WHERE at IS NOT NULL GROUP BY ALL")
+@query(f"WITH {FUNNEL} SELECT 'in/' || source || '.jsonl' AS source_file, {STAGE_NAME} AS stage, count(*) AS rejected_docs FROM f WHERE pos IS NOT NULL GROUP BY ALL")
 def rejections_by_file(spark, sf):
     return reports.rejections_by_file(reports.rejections(staged(spark, sf)))
 
 
-@query(f"WITH {FUNNEL} SELECT 'in/' || source || '.jsonl' AS source_file, count(*) AS processed, count(*) FILTER (at IS NULL) AS written, count(*) FILTER (at IS NOT NULL) AS rejected, source AS sources, round(100.0 * count(*) FILTER (at IS NULL) / count(*), 6) AS success_pct FROM f GROUP BY source")
+@query(f"WITH {FUNNEL} SELECT 'in/' || source || '.jsonl' AS source_file, count(*) AS processed, count(*) FILTER (pos IS NULL) AS written, count(*) FILTER (pos IS NOT NULL) AS rejected, source AS sources, round(100.0 * count(*) FILTER (pos IS NULL) / count(*), 6) AS success_pct FROM f GROUP BY source")
 def per_source_stats(spark, sf):
     return reports.file_stats(staged(spark, sf)).withColumn("sources", F.array_join("sources", ",")).withColumn("success_pct", F.round("success_pct", 6))
 
 
-@query(f"WITH {FUNNEL} SELECT count(*) AS processed, count(*) FILTER (at IS NULL) AS written, count(*) FILTER (at IS NOT NULL) AS rejected, round(100.0 * count(*) FILTER (at IS NULL) / count(*), 6) AS success_rate_pct FROM f")
+@query(f"WITH {FUNNEL} SELECT count(*) AS processed, count(*) FILTER (pos IS NULL) AS written, count(*) FILTER (pos IS NOT NULL) AS rejected, round(100.0 * count(*) FILTER (pos IS NULL) / count(*), 6) AS success_rate_pct FROM f")
 def run_totals(spark, sf):
     return reports.run_totals(staged(spark, sf)).withColumn("success_rate_pct", F.round("success_rate_pct", 6))
 
@@ -361,7 +361,7 @@ def top_duplicated_sources(spark, sf):
     return reports.top_duplicated_sources(reports.rejections(staged(spark, sf)))
 
 
-@query(f"""WITH {FUNNEL}, s AS (SELECT s, i, count(*) FILTER (at IS NULL OR at >= i) AS n, count(*) FILTER (at = i) AS r FROM f, (VALUES ('license_gate', 0), ('sanitize', 1), ('exact_dedup', 2), ('quality_gate', 3), ('pii_policy_gate', 4)) v(s, i) GROUP BY s, i)
+@query(f"""WITH {FUNNEL}, s AS (SELECT s, i, count(*) FILTER (pos IS NULL OR pos >= i) AS n, count(*) FILTER (pos = i) AS r FROM f, (VALUES ('license_gate', 0), ('sanitize', 1), ('exact_dedup', 2), ('quality_gate', 3), ('pii_policy_gate', 4)) v(s, i) GROUP BY s, i)
     SELECT s AS stage, n AS input_docs, n - r AS accepted_docs, r AS rejected_docs, round(100.0 * (n - r) / n, 6) AS accept_pct, round(100.0 * r / n, 6) AS reject_pct FROM s""")
 def stage_summary(spark, sf):
     e = reports.stage_summary(reports.stage_funnel(staged(spark, sf), STAGES, ["source"]))
@@ -380,12 +380,12 @@ def entropy_percentiles(spark, sf):
     return p.select(*[F.round(c, 6).alias(c) for c in p.columns])
 
 
-@query("""SELECT CAST(ts AS DATE) AS date, event_type AS stage, 'events' AS source, CAST(count(*) AS BIGINT) AS input_docs, CAST(count(*) FILTER (value >= 50) AS BIGINT) AS accepted_docs, CAST(count(*) FILTER (value < 50) AS BIGINT) AS rejected_docs FROM events GROUP BY ALL""")
+@query("""SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, event_type AS stage, 'events' AS source, CAST(count(*) AS BIGINT) AS input_docs, CAST(count(*) FILTER (value >= 50) AS BIGINT) AS accepted_docs, CAST(count(*) FILTER (value < 50) AS BIGINT) AS rejected_docs FROM events GROUP BY ALL""")
 def daily_rollup(spark, sf):
     e = table(spark, sf, "events")
     one = lambda c: F.when(c, 1).otherwise(0).cast("long")
     counts = F.create_map(F.lit("input_docs"), F.lit(1).cast("long"), F.lit("accepted_docs"), one(F.col("value") >= 50), F.lit("rejected_docs"), one(F.col("value") < 50))
-    return reports.daily_rollup(e.select(F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp_ms"), F.col("event_type").alias("stage"), F.lit("events").alias("source"), counts.alias("counts"), F.create_map().cast("map<string,double>").alias("metrics")))
+    return reports.daily_rollup(e.select(F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp_ms"), F.col("event_type").alias("stage"), F.lit("events").alias("source"), counts.alias("counts"), F.create_map().cast("map<string,double>").alias("metrics"))).withColumn("date", F.col("date").cast("string"))
 
 
 @query()
@@ -404,7 +404,7 @@ def dolma_projection(spark, sf):
     return d.select("id", "text", get("source").alias("source"), get("license").alias("license"), get("language").alias("language"))
 
 
-@query(f"WITH {FUNNEL} SELECT sha256(clean) AS doc_id, source, license, length(clean) AS chars, strlen(clean) AS bytes_utf8, round(CAST(entropy AS FLOAT), 3) AS entropy, 'meta_v1' AS schema_version FROM f WHERE at IS NULL AND NOT regexp_matches(clean, '{EMAIL}')")
+@query(f"WITH {FUNNEL} SELECT sha256(clean) AS doc_id, source, license, length(clean) AS chars, strlen(clean) AS bytes_utf8, round(CAST(entropy AS FLOAT), 3) AS entropy, 'meta_v1' AS schema_version FROM f WHERE pos IS NULL AND NOT regexp_matches(clean, '{EMAIL}')")
 def metadata_projection(spark, sf):
     m = metadata(staged(spark, sf)).where("not pii_flag")
     return m.select(F.lower(F.hex("doc_id")).alias("doc_id"), "source", "license", "chars", "bytes_utf8", F.round(F.col("entropy"), 3).alias("entropy"), "schema_version")
@@ -443,9 +443,10 @@ def limit_docs(spark, sf):
 
 
 @query(r"""WITH h AS (SELECT url AS base, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']+)["'']', 1)) AS href FROM pages)
-    SELECT DISTINCT href AS url FROM h WHERE regexp_matches(href, '^https?://')""")
+    SELECT DISTINCT regexp_extract(base, '^([a-zA-Z][a-zA-Z0-9_+.-]*://[^/?#]+)', 1) || href AS url FROM h WHERE regexp_matches(href, '^/[a-m]')""")
 def url_extract_pages(spark, sf):
-    return readers.page_links(table(spark, sf, "pages"), pattern="^https?://", suffix="\0")
+    """Links that match a pattern, joined to their page's host."""
+    return readers.page_links(table(spark, sf, "pages"), pattern="^/[a-m]", suffix=".pdf")
 
 
 @query()

@@ -84,8 +84,8 @@ def document_pieces(docs: DataFrame, tokenizer: str, capacity: int, key: str = "
         e = encoder(tokenizer)
         for b in slices(batches):
             rows = []
-            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = e.ids(t, end).astype("<u4")
+            for k, found in zip(b.column(0).to_pylist(), e.ids(b.column(1).to_pylist(), end), strict=True):
+                ids = found.astype("<u4")
                 rows += [(k, i // capacity, i, len(p := ids[i : i + capacity]), zlib.crc32(p.tobytes())) for i in range(0, len(ids), capacity)]
             k, piece, start, length, crc = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])

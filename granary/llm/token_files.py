@@ -68,7 +68,7 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer: str, key: str = "doc_id",
                 fs.create_dir(folder, recursive=True)
                 files = {k: fs.open_output_stream(f"{n}.{context.taskAttemptId()}") for k, n in names.items()}
                 files["offsets"].write(np.zeros(1, "<u8").tobytes())
-            each = [e.ids(t, end) for t in b.column(1).to_pylist()]
+            each = e.ids(b.column(1).to_pylist(), end)
             ends = np.cumsum([len(x) for x in each], dtype="<u8") + np.uint64(tokens)
             files["ids"].write(b"".join(x.tobytes() for x in each))
             files["offsets"].write(ends.astype("<u8").tobytes())

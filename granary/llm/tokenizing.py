@@ -3,11 +3,12 @@
 Two kinds of tokenizer part a text into words that the library encodes independently of their neighbours:
 
 *   byte level with the usual pattern and no normaliser: a word is a run without white space with the one
-    space before it, or white space;
+    space or line feed before it;
 *   those that drop white space and normalise within words: a word is a run without white space.
 
-For these, ids of words come from a bounded cache, and the library encodes the words that are not in it. All other
-tokenizers, and texts that hold an added token's string or rare separators, go to the library whole.
+For these, ids of words come from a bounded cache. The words of a batch that are not in it are joined into one text, between
+separators that always become one id of their own, and the library encodes them in a single call. All other
+tokenizers, and texts with an added token's string, repeated or rare white space, go to the library whole.
 """
 
 from __future__ import annotations
@@ -15,21 +16,45 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Iterable
 from functools import cache
 
 import numpy as np
-import regex
 from tokenizers import Tokenizer
 
-from .words import Recent
-
 CACHED_WORDS = 400_000
-#: White space as the tokenizers' patterns know it (fixed values of Unicode).
-WHITE = "\t-\r \x85\xa0  -     　"
-#: What Python's split() also takes for white space.
+LONGEST = 64
+#: White space other than space and line feed, as the patterns or Python know it (fixed values).
+RARE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0  -     　]")
+#: What Python's split() takes for white space and the patterns do not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
-#: The pattern of byte-level tokenizers (a fixed value).
-BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+SEPARATING_DIGIT = "7"
+
+
+class WordIds(dict):
+    """Ids of words, in two generations of at most `cap` words; a word without ids yet gives None and is noted as pending."""
+
+    def __init__(self, cap: int = CACHED_WORDS):
+        self.cap, self.old, self.pending, self.long = cap, {}, {}, {}
+
+    def __missing__(self, word: str) -> bytes | None:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.long.get(word)
+            if ids is None:
+                self.pending[word] = None
+            return ids
+        self.put(word, ids)
+        return ids
+
+    def put(self, word: str, ids: bytes) -> None:
+        if len(word) > LONGEST:
+            self.long[word] = ids
+            return
+        if len(self) >= self.cap:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
 
 
 class TextEncoder:
@@ -40,57 +65,128 @@ class TextEncoder:
         top = max(self.library.get_vocab(with_added_tokens=True).values())
         self.dtype = np.dtype("<u2" if top < 1 << 16 else "<u4")
         self.added = [t["content"] for t in spec["added_tokens"]]
+        self.known = WordIds()
         pre, norm = spec["pre_tokenizer"] or {}, spec["normalizer"] or {}
         steps = [s["type"] for s in pre.get("pretokenizers", [])]
+        self.words = None
         if pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and not norm:
-            self.encode = self._byte_level
+            self.words, self.resolve, self.mark = self._byte_level, self._resolve_byte_level, self.whole("\n")
         elif steps == ["Split", "ByteLevel"] and self._drops_white_space(pre) and [s["type"] for s in norm.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]:
-            self.encode = self._words
-        else:
-            self.encode = self.whole
-        self.tokens = Recent(self.whole, CACHED_WORDS)
-        self.chunks = Recent(lambda w: self._parts(" " + w), CACHED_WORDS)
-        self.byte_level = regex.compile(BYTE_LEVEL)
-        self.twice = re.compile(f"[{WHITE}][{WHITE}]|^[{WHITE}]|[{WHITE}]$")
-        self.runs = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+            self.words, self.resolve, self.mark = self._plain_words, self._resolve_plain, self.whole(SEPARATING_DIGIT)
+        if self.words and len(self.mark) != self.dtype.itemsize:
+            self.words = None
 
     @staticmethod
     def _drops_white_space(pre: dict) -> bool:
+        """The pattern keeps what it matches, none of it white space, and takes digits one by one."""
         split = pre["pretokenizers"][0]
-        return split["behavior"] == "Removed" and split["invert"] and " " not in split["pattern"].get("Regex", " ")
+        pattern = split["pattern"].get("Regex", " ")
+        return split["behavior"] == "Removed" and split["invert"] and " " not in pattern and "|[\\p{N}]|" in pattern
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _parts(self, chunk: str) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, self.byte_level.findall(chunk)))
-
-    def _special(self, text: str) -> bool:
-        return any(t in text for t in self.added) or bool(SEPARATORS.search(text))
-
-    def _byte_level(self, text: str) -> bytes:
-        if self._special(text):
-            return self.whole(text)
-        if self.twice.search(text):
-            return b"".join(map(self._parts, self.runs.findall(text)))
-        words = text.split(" ")
-        return self._parts(words[0]) + b"".join(map(self.chunks.__getitem__, words[1:]))
-
-    def _words(self, text: str) -> bytes:
-        if self._special(text):
-            return self.whole(text)
+    # -- words of a text, None if the library must see it whole; keys are words, at a line's start with "\n" before it, at the text's with "\r"
+
+    def _byte_level(self, text: str) -> list[str] | None:
+        if RARE.search(text) or "\n\n" in text or " \n" in text or "\n " in text or "  " in text or text[0] in " \n" or text[-1] in " \n":
+            return None
+        if "\n" not in text:
+            words = text.split(" ")
+            words[0] = "\r" + words[0]
+            return words
+        words: list[str] = []
+        for line in text.split("\n"):
+            at = len(words)
+            words += line.split(" ")
+            words[at] = "\n" + words[at]
+        words[0] = "\r" + words[0][1:]
+        return words
+
+    def _plain_words(self, text: str) -> list[str] | None:
+        if SEPARATORS.search(text):
+            return None
         try:  # words in lower case repeat more; in these characters it changes nothing else
             text.encode("latin-1")
             lower = text.lower()
             text = text if any(t in lower for t in self.added) else lower
         except UnicodeEncodeError:
             pass
-        return b"".join(map(self.tokens.__getitem__, text.split()))
-
-    def ids(self, text: str | None, end: int | None = None) -> np.ndarray:
-        """The ids of a whole text (null: empty), and the end id if there is one."""
-        found = np.frombuffer(self.encode(text) if text else b"", self.dtype)
-        return found if end is None else np.append(found, np.array([end], self.dtype))
+        return text.split()
+
+    # -- ids of the pending words
+
+    def _resolve_byte_level(self, words: Iterable[str]) -> None:
+        inner, starts, first = [], [], []
+        for w in words:
+            (starts if w[:1] == "\n" else first if w[:1] == "\r" else inner).append(w)
+        self._together(inner, [" " + w for w in inner], "\n")
+        self._together(starts, [w[1:] for w in starts], "\n", self.mark)
+        self._together(first, [w[1:] for w in first], "\n")
+
+    def _resolve_plain(self, words: Iterable[str]) -> None:
+        alone, joined = [], []
+        for w in words:
+            (alone if SEPARATING_DIGIT in w else joined).append(w)
+        for w in alone:
+            self.known.put(w, self.whole(w))
+        self._together(joined, joined, f" {SEPARATING_DIGIT} ")
+
+    def _together(self, keys: list[str], words: list[str], separator: str, before: bytes = b"") -> None:
+        if not keys:
+            return
+        ids = np.array(self.library.encode_batch_fast([separator.join(words)], add_special_tokens=False)[0].ids, self.dtype)
+        cuts = np.flatnonzero(ids == np.frombuffer(self.mark, self.dtype)[0])
+        if len(cuts) != len(keys) - 1:
+            raise AssertionError("separators became other ids")
+        raw, size = ids.tobytes(), ids.itemsize
+        put = self.known.put
+        for k, a, b in zip(keys, [0, *((cuts + 1) * size).tolist()], [*(cuts * size).tolist(), len(raw)], strict=True):
+            put(k, before + raw[a:b])
+
+    # -- texts
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of whole texts (null: empty), as bytes of `dtype`."""
+        known, found = self.known, []
+        get = known.__getitem__
+        waiting = []
+        for i, t in enumerate(texts):
+            if not t:
+                found.append(b"")
+                continue
+            words = self.words(t) if self.words and not any(a in t for a in self.added) else None
+            if words is None:
+                found.append(self.whole(t))
+                continue
+            parts = list(map(get, words))
+            if None in parts:
+                waiting.append((i, words))
+                found.append(b"")
+            else:
+                found.append(b"".join(parts))
+        while waiting:
+            pending, known.pending = known.pending, {}
+            self.resolve(pending)
+            again = []
+            for i, words in waiting:
+                parts = list(map(get, words))
+                if None in parts:  # the cache has let go of some meanwhile
+                    again.append((i, words))
+                else:
+                    found[i] = b"".join(parts)
+            if len(again) == len(waiting):
+                for i, _ in again:
+                    found[i] = self.whole(texts[i])
+                again = []
+            waiting = again
+        known.pending, known.long = {}, {}
+        return found
+
+    def ids(self, texts: list[str | None], end: int | None = None) -> list[np.ndarray]:
+        """The ids of each text, with the end id if there is one."""
+        last = b"" if end is None else np.array([end], self.dtype).tobytes()
+        return [np.frombuffer(x + last, self.dtype) for x in self.encode(texts)]
 
 
 @cache

@@ -55,14 +55,16 @@ def hamming_pairs(signatures: DataFrame, sig: str = "sig", bits: int = hashing.S
     return a.join(b, ["block", "value"]).where((F.col("a") < F.col("b")) & (d <= distance) & (F.col("block") == first)).select("a", "b", d.alias("distance"))
 
 
-def simhash_edges(docs: DataFrame, distance: int = SIMHASH_DISTANCE) -> DataFrame:
-    """(a, b) between the first rows (by seq) of signatures within the distance; and from each further row of a signature to its first."""
-    first = docs.where("sig is not null").groupBy("sig").agg(F.min("seq").alias("first"))
-    pairs = hamming_pairs(docs.select("sig"), distance=distance)
-    x, y = first.select(F.col("sig").alias("a"), F.col("first").alias("x")), first.select(F.col("sig").alias("b"), F.col("first").alias("y"))
-    between = pairs.join(x, "a").join(y, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    copies = docs.select("sig", "seq").join(first, "sig").where("seq <> first").select(F.col("first").alias("a"), F.col("seq").alias("b"))
-    return between.unionByName(copies)
+def simhash_buckets(docs: DataFrame, distance: int = SIMHASH_DISTANCE) -> DataFrame:
+    """(seq, bucket): sets of documents (seq, sig) whose signatures all lie within the distance of each other; two documents do if and only if they share one.
+
+    A set is the documents of one signature, or those of two near ones.
+    """
+    members = docs.where("sig is not null").select("sig", "seq")
+    pairs = hamming_pairs(members.select("sig"), distance=distance).select("a", "b")
+    sides = pairs.select(F.col("a").alias("sig"), F.struct("a", "b").alias("set")).unionByName(pairs.select(F.col("b").alias("sig"), F.struct("a", "b").alias("set")))
+    own = members.select("seq", F.xxhash64(F.lit("simhash"), "sig", "sig").alias("bucket"))
+    return own.unionByName(members.join(sides, "sig").select("seq", F.xxhash64(F.lit("simhash"), "set.a", "set.b").alias("bucket")))
 
 
 # -- MinHash --------------------------------------------------------------------------------------
@@ -98,17 +100,11 @@ def near_dup_minhash(df: DataFrame, idx: int, threshold: float = MINHASH_THRESHO
         hits = minhash_hits(bands, store).select("seq", F.lit(True).alias("__hit"))
         df = df.join(hits, "seq", "left")
         return marked(df, F.when(F.col("__hit"), "near_dup_minhash_hit_v1").otherwise("near_dup_minhash_v1")).drop("__hit")
-    keep = greedy_keep(live.select("seq"), shared_bucket_pairs(bands))
+    keep = greedy_keep(live.select("seq"), bands.select("seq", F.xxhash64("band", "hash").alias("bucket")))
     df = df.join(keep.select("seq", F.col("keep").alias("__keep")), "seq", "left")
     return marked(rejecting(df, "near_dup_minhash", idx, F.when(~F.col("__keep"), "DUP_NEAR")), "near_dup_minhash_v1").drop("__keep")
 
 
-def shared_bucket_pairs(bands: DataFrame) -> DataFrame:
-    """(a, b), a < b, of all documents that share a band: what greedy decisions need."""
-    a, b = bands.withColumnRenamed("seq", "a"), bands.withColumnRenamed("seq", "b")
-    return a.join(b, ["band", "hash"]).where("a < b").select("a", "b").distinct()
-
-
 # -- chunks ---------------------------------------------------------------------------------------
 
 
@@ -159,31 +155,38 @@ def keep_incoming(incoming: Column, best_type: Column | None, best_source: Colum
 # -- greedy decisions ------------------------------------------------------------------------------
 
 
-def greedy_keep(nodes: DataFrame, edges: DataFrame, rounds: int = 200) -> DataFrame:
-    """(seq, keep): a node stays exactly if no earlier node that stays is linked to it.
+def greedy_keep(nodes: DataFrame, members: DataFrame, rounds: int = 500) -> DataFrame:
+    """(seq, keep): a node stays exactly if no earlier node that stays shares a bucket (seq, bucket) with it.
 
-    The set is that of a sequential pass, found in rounds (Blelloch et al. 2012): undecided nodes without undecided earlier
-    neighbours stay, neighbours of those that stay go. Each round is checkpointed in the folder of spark.checkpoint.dir.
+    The set is that of a sequential pass, found in rounds (Blelloch et al. 2012): undecided nodes that are the first in all of
+    their buckets stay, all others in those buckets go. Buckets are only aggregated, so a bucket that a third of all nodes
+    share costs no pairs. Each round is checkpointed in the folder of spark.checkpoint.dir.
     """
     spark = nodes.sparkSession
     _checkpointing(spark)
-    n = nodes.select("seq").distinct()
-    e = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct().checkpoint()
     gone = spark.createDataFrame([], "seq long")
-    open_ = e
+    shared = members.groupBy("bucket").agg(F.countDistinct("seq").alias("n")).where("n > 1").select("bucket")
+    open_ = members.join(shared, "bucket", "left_semi").select("seq", "bucket").distinct().checkpoint()
     for _ in range(rounds):
         if open_.isEmpty():
             break
-        later = open_.select(F.col("b").alias("seq")).distinct()
-        stay = open_.select(F.col("a").alias("seq")).distinct().join(later, "seq", "left_anti")
-        dropped = open_.join(stay.withColumnRenamed("seq", "a"), "a", "left_semi").select(F.col("b").alias("seq")).distinct().checkpoint()
+        first = open_.groupBy("bucket").agg(F.min("seq").alias("first"))
+        seen = open_.join(first, "bucket")
+        stay = seen.groupBy("seq").agg(F.bool_and(F.col("seq") == F.col("first")).alias("stays")).where("stays").select("seq")
+        closed = first.join(stay.withColumnRenamed("seq", "first"), "first", "left_semi").select("bucket", "first")
+        dropped = open_.join(closed, "bucket").where("seq <> first").select("seq").distinct().checkpoint()
         gone = gone.unionByName(dropped)
-        # edges of dropped nodes, and of those that stay, decide nothing any more
-        rest = open_.join(dropped.withColumnRenamed("seq", "a"), "a", "left_anti").join(dropped.withColumnRenamed("seq", "b"), "b", "left_anti")
-        open_ = rest.checkpoint()
+        decided = dropped.unionByName(stay)
+        open_ = open_.join(decided, "seq", "left_anti").checkpoint()
     else:
         raise RuntimeError("greedy decisions did not settle")
-    return n.join(gone.distinct().withColumn("__gone", F.lit(True)), "seq", "left").select("seq", F.col("__gone").isNull().alias("keep"))
+    return nodes.select("seq").distinct().join(gone.withColumn("__gone", F.lit(True)), "seq", "left").select("seq", F.col("__gone").isNull().alias("keep"))
+
+
+def buckets_of_edges(edges: DataFrame) -> DataFrame:
+    """(seq, bucket) of edges (a, b): a bucket for each edge."""
+    b = F.xxhash64(F.least("a", "b"), F.greatest("a", "b")).alias("bucket")
+    return edges.where("a <> b").select(F.explode(F.array("a", "b")).alias("seq"), b)
 
 
 def _checkpointing(spark) -> None:
@@ -197,21 +200,20 @@ def global_decisions(docs: DataFrame, simhash: bool = True, minhash: bool = True
     A document is dropped if an earlier kept one matches by SimHash, else by MinHash; chunks shared with kept ones only link.
     """
     spark = docs.sparkSession
-    edges = spark.createDataFrame([], "a long, b long, kind string")
+    members = spark.createDataFrame([], "seq long, bucket long, kind string")
     if simhash:
-        signed = docs.select("seq", hashing.simhash(F.col("text"), ascii_words=False).alias("sig"))
-        members = signed.where("sig is not null").select("sig", "seq")
-        near = hamming_pairs(signed, distance=distance)
-        same = members.withColumnRenamed("seq", "x").join(members.withColumnRenamed("seq", "y"), "sig").where("x < y").select("x", "y")
-        across = near.join(members.select(F.col("sig").alias("a"), F.col("seq").alias("x")), "a").join(members.select(F.col("sig").alias("b"), F.col("seq").alias("y")), "b").select("x", "y")
-        edges = edges.unionByName(same.unionByName(across).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit("simhash").alias("kind")))
+        signed = docs.select("seq", hashing.simhash(F.col("text")).alias("sig"))
+        members = members.unionByName(simhash_buckets(signed, distance).withColumn("kind", F.lit("simhash")))
     if minhash:
-        edges = edges.unionByName(shared_bucket_pairs(minhash_bands(docs, threshold)).withColumn("kind", F.lit("minhash")))
+        bands = minhash_bands(docs, threshold)
+        members = members.unionByName(bands.select("seq", F.xxhash64(F.lit("minhash"), "band", "hash").alias("bucket"), F.lit("minhash").alias("kind")))
     _checkpointing(spark)
-    edges = edges.checkpoint()
-    keep = greedy_keep(docs.select("seq"), edges).checkpoint()
+    members = members.checkpoint()
+    keep = greedy_keep(docs.select("seq"), members.select("seq", "bucket")).checkpoint()
     kept = keep.where("keep").select("seq")
-    by = edges.join(kept.withColumnRenamed("seq", "a"), "a", "left_semi").groupBy(F.col("b").alias("seq")).agg(F.max("kind").alias("match_type"))
+    # a bucket has one kept node at most
+    held = members.join(kept, "seq", "left_semi").groupBy("bucket").agg(F.min("seq").alias("kept"))
+    by = members.join(held, "bucket").where("seq > kept").groupBy("seq").agg(F.max("kind").alias("match_type"))
     out = keep.join(by, "seq", "left")
     if chunk:
         links = chunk_links(chunk_hashes(docs.join(kept, "seq", "left_semi")))

@@ -190,7 +190,7 @@ def read_json(spark: SparkSession, path: str) -> object | None:
     p = jvm.org.apache.hadoop.fs.Path(path)
     if not p.getFileSystem(conf).exists(p):
         return None
-    return json.loads(spark.read.option("wholetext", "true").text(path).first()[0])
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
 def summary_text(manifest: dict) -> str:

@@ -216,6 +216,10 @@ def pdf_units(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     return files.select("path", "content").mapInArrow(run, PDF_UNITS)
 
 
+def _without(entries: Column, key: str) -> Column:
+    return F.map_filter(entries, lambda k, _: k != key)
+
+
 def pdf(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """PDF units as raw records. A schema whose directory_pattern the folder matches adds prefix, suffix, mapped metadata and its default license."""
     u = pdf_units(spark, spec).where("error is null")
@@ -226,7 +230,7 @@ def pdf(spark: SparkSession, spec: SourceSpec) -> DataFrame:
         fits = F.regexp_extract("path", r"^(.*)/[^/]*$", 1).rlike(s.get("directory_pattern") or "")
         body = F.when(fits, F.concat(F.lit(s.get("text_prefix", "")), body, F.lit(s.get("text_suffix", "")))).otherwise(body)
         for target, origin in (s.get("metadata_mapping") or {}).items():
-            extra = F.when(fits & F.map_contains_key("metadata", origin), F.map_concat(F.map_filter(extra, lambda k, _, t=target: k != t), F.create_map(F.lit(target), F.col("metadata")[origin]))).otherwise(extra)
+            extra = F.when(fits & F.map_contains_key("metadata", origin), F.map_concat(_without(extra, target), F.create_map(F.lit(target), F.col("metadata")[origin]))).otherwise(extra)
         license = F.coalesce(F.when(fits, F.lit(s.get("default_license"))), license)
     seq = F.shiftrightunsigned(F.xxhash64("path"), 45) * (1 << 32) + F.col("no")
     return u.select("raw_id", body.alias("text"), F.lit(spec.name).alias("source"), url.alias("url"), license.cast("string").alias("license"), F.lit(None).cast("string").alias("created_at"), extra.alias("extra"), F.col("path").alias("source_file"), F.lit(None).cast("long").alias("source_line"), seq.alias("seq"))

@@ -96,10 +96,34 @@ def test_greedy_equals_a_sequential_pass(spark, edges):
         if not near[i] & kept:
             kept.add(i)
     nodes = spark.range(n).withColumnRenamed("id", "seq")
-    got = dedup.greedy_keep(nodes, spark.createDataFrame(edges, "a long, b long"))
+    got = dedup.greedy_keep(nodes, dedup.buckets_of_edges(spark.createDataFrame(edges, "a long, b long")))
     assert {r["seq"] for r in got.where("keep").collect()} == kept and got.count() == n
 
 
+def test_global_decisions_equal_a_sequential_pass(spark):
+    import random
+
+    r = random.Random(2)
+    base = [[r.choice("river mill boat wind quiet morning seven stone green far".split()) + str(r.randrange(9)) for _ in range(60)] for _ in range(5)]
+    texts = [" ".join(w if r.random() > 0.03 else "other" for w in r.choice(base)) for _ in range(30)] + ["", "", "!!", " ".join(base[0]), " ".join(base[0])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "seq long, text string")
+    from granary.functions import hashing
+
+    sig = {x["seq"]: x["s"] for x in docs.select("seq", hashing.simhash(F.col("text")).alias("s")).collect()}
+    bands = {}
+    for x in dedup.minhash_bands(docs).collect():
+        bands.setdefault(x["seq"], set()).add((x["band"], x["hash"]))
+    kept, want = [], {}
+    for i in range(len(texts)):
+        sim = any(sig[i] is not None and sig[j] is not None and (sig[i] ^ sig[j]).bit_count() <= 3 for j in kept)
+        near = any(bands[i] & bands[j] for j in kept)
+        want[i] = "simhash" if sim else "minhash" if near else None
+        if not want[i]:
+            kept.append(i)
+    got = {x["seq"]: x["match_type"] for x in dedup.global_decisions(docs, chunk=False).collect()}
+    assert got == want and {"simhash", "minhash", None} == set(want.values())
+
+
 def test_priority(spark):
     rank = lambda s, o: spark.range(1).select(dedup.priority_rank(F.lit(s), o)).first()[0]
     order = ["Books", " ", "wiki"]

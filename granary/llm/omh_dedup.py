@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import removed, slices, written
 from .components import components
 
 SHINGLE, SKETCHES, LENGTH, SIMILARITY = 5, 32, 3, 0.8
@@ -346,17 +346,19 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     in their class, whose class_id is null only if all keys are. An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    base = written(sketched(docs, key, text, number, length), spark)
+    temporary: list[str] = []
+    put = lambda df: written(df, spark, temporary)
+    base = put(sketched(docs, key, text, number, length))
     reps = base.groupBy("digest").agg(F.min("node").alias("rep"))
     # the words of a copy are those of its representative: one row for each digest
-    nodes = written(base.select("node", "digest").join(reps, "digest").select("node", "rep"), spark)
+    nodes = put(base.select("node", "digest").join(reps, "digest").select("node", "rep"))
     firsts = base.join(nodes.where("node = rep").select("node"), "node", "left_semi")
     exploded = firsts.select("node", F.posexplode("buckets").alias("place", "value")).select("node", F.xxhash64("place", "value").alias("bucket"))
     shared = exploded.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = written(exploded.join(shared, "bucket"), spark)
+    members = put(exploded.join(shared, "bucket"))
     wanted = members.select("node").distinct()
-    words = written(base.select("node", "words").join(wanted, "node", "left_semi"), spark)
-    edges, label, paths = [], None, []
+    words = put(base.select("node", "words").join(wanted, "node", "left_semi"))
+    edges, label = [], None
     for _ in range(star_rounds):
         if label is None:
             pairs = members.where("node <> hub").groupBy("node").agg(F.min("hub").alias("hub"))
@@ -366,18 +368,19 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
             mine = members.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
             open_ = mine.join(to, "hub", "left").where(F.col("component") != F.coalesce("of_hub", "hub"))
             pairs = open_.select("node", "hub").distinct().join(tried, ["node", "hub"], "left_anti").groupBy("node").agg(F.min("hub").alias("hub"))
-        pairs = written(pairs, spark)
+        pairs = put(pairs)
         tried = pairs if label is None else tried.unionByName(pairs)
-        edges.append(written(verified_stars(pairs, words, similarity), spark))
-        label = written(components(_union(edges)), spark)
+        edges.append(put(verified_stars(pairs, words, similarity)))
+        label = put(components(_union(edges)))
     mine = members.select("bucket", "node").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = mine.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("bucket")
-    left = written(mine.join(mixed, "bucket", "left_semi"), spark)
-    edges.append(written(verified_buckets(left, words, similarity), spark))
+    left = put(mine.join(mixed, "bucket", "left_semi"))
+    edges.append(put(verified_buckets(left, words, similarity)))
     label = components(_union(edges))
     # the classes of all rows
     classes = nodes.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("node", F.coalesce("component", "rep").alias("class"))
     rows = written(base.select("node", "key", "content").join(classes, "node"), spark)
+    removed(spark, temporary)  # rows is all that the result reads
     sums = rows.groupBy("class").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "node")).alias("first"), F.count("*").alias("class_size"))
     out = rows.join(sums, "class")
     return out.select(F.col("key").alias(key), "content", F.col("first.key").alias("class_id"), "class_size", (F.col("node") == F.col("first.node")).alias("kept"))

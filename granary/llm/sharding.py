@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
+#: Counts that may be sent to every executor: a few megabytes.
+BROADCAST_ROWS = 1 << 18
 
 
 def rendezvous(key: Column, weights: list[float]) -> Column:
@@ -33,8 +35,8 @@ def assign_shards(df: DataFrame, key: str, weights: list[float], grown: list[flo
     return df.withColumn("shard", rendezvous(k, weights)).withColumn("grown_shard", rendezvous(k, grown) if grown else F.lit(None).cast("int"))
 
 
-def number_slots(df: DataFrame, order: list[str], buckets: int = BUCKETS) -> DataFrame:
-    """df with slot, a long from 0 without gaps in each shard; fully repeated rows share no slot.
+def number_slots(df: DataFrame, order: list[str], shards: int, buckets: int = BUCKETS) -> DataFrame:
+    """df (with shard, of so many) with slot, a long from 0 without gaps in each shard; fully repeated rows share no slot.
 
     Rows are ordered by a hash of `order`, then by `order` itself; rows equal in all of it may swap slots.
     """
@@ -45,7 +47,8 @@ def number_slots(df: DataFrame, order: list[str], buckets: int = BUCKETS) -> Dat
     starts = counts.select("shard", "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).cast("long").alias("__start"))
     within = Window.partitionBy("shard", "__bucket").orderBy(*cols)
     # starts has shards x buckets rows at most, whatever the data
-    return rows.withColumn("__at", F.row_number().over(within)).join(F.broadcast(starts), ["shard", "__bucket"]).withColumn("slot", F.col("__start") + F.col("__at") - 1).drop("__bucket", "__at", "__start")
+    small = F.broadcast(starts) if shards * buckets <= BROADCAST_ROWS else starts
+    return rows.withColumn("__at", F.row_number().over(within)).join(small, ["shard", "__bucket"]).withColumn("slot", F.col("__start") + F.col("__at") - 1).drop("__bucket", "__at", "__start")
 
 
 def shard_documents(docs: DataFrame, weights: list[float], grown: list[float] | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -56,7 +59,7 @@ def shard_documents(docs: DataFrame, weights: list[float], grown: list[float] |
     """
     t = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
     rows = assign_shards(docs, key, weights, grown).withColumns({"size": (F.octet_length(t) + 1).cast("long"), "text_crc32": F.crc32(t), "law": F.lit("key")})
-    return number_slots(rows, [key, "text_crc32", "size"])
+    return number_slots(rows, [key, "text_crc32", "size"], len(weights))
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -187,7 +187,8 @@ def token_stats(spark, sf):
     return d.where("tokens > 0").select(F.col("seq").alias("doc_id"), "tokens", F.round("quality_score", 6).alias("quality_score"))
 
 
-@query()
+@query(r"""WITH t AS (SELECT doc_id, concat_ws(',', CASE WHEN regexp_matches(text, '(?i)\b(licensed|license)\b') THEN 'law' END, CASE WHEN regexp_matches(text, '(?i)\b(http|https|www)\b') THEN 'web' END) AS tags FROM documents)
+    SELECT doc_id, CASE WHEN tags = '' THEN 'domain_tags_none_v1' ELSE 'domain_tags_' || tags || '_v1' END AS marker FROM t""")
 def domain_tags(spark, sf):
     words = {"law": ["licensed", "license"], "web": ["http", "https", "www"]}
     d = apply_stages(docs(spark, sf), ["domain_tagging"], domain_tagging={"keywords": words})

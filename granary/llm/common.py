@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +39,12 @@ def written(df: DataFrame, spark: SparkSession, keep: list[str] | None = None) -
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt_anew(grouped: DataFrame, *keys: str) -> DataFrame:
+    """An aggregate's rows behind a shuffle of their own. A join on its keys would else take over the aggregate's partitions,
+    and adaptive execution could not split those of a key that very many rows of the other side have."""
+    return grouped.repartition(F.xxhash64(*keys))
+
+
 def removed(spark: SparkSession, paths: list[str]) -> None:
     """Deletes folders that written() has made."""
     jvm = spark.sparkContext._jvm

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import removed, written
+from .common import dealt_anew, removed, written
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -30,10 +30,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             break
         before = count
         both = e.unionByName(e.select(v.alias("u"), u.alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = dealt_anew(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "u")
         large = both.join(least, "u").where(v > u).select(v.alias("u"), F.col("m").alias("v")).distinct()
         # small star: every edge of `large` has u > v
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = dealt_anew(large.groupBy("u").agg(F.min("v").alias("m")), "u")
         small = large.join(least, "u").where(v != F.col("m")).select(v.alias("u"), F.col("m").alias("v"))
         e = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), spark, paths)
         removed(spark, paths[:-1])

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import removed, slices, written
+from .common import dealt_anew, removed, slices, written
 from .components import components
 
 SHINGLE, SKETCHES, LENGTH, SIMILARITY = 5, 32, 3, 0.8
@@ -228,7 +228,7 @@ def verified_stars(pairs: DataFrame, words: DataFrame, similarity: float) -> Dat
     """Of distinct (node, hub) the edges that alignment confirms. A hub with many nodes is sent to several tasks."""
     hubs = pairs.groupBy("hub").agg(F.ceil(F.count("*") / HUB).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    spokes = pairs.join(hubs, "hub").select("hub", part.alias("part"), F.lit(1).alias("side"), "node")
+    spokes = pairs.join(dealt_anew(hubs, "hub"), "hub").select("hub", part.alias("part"), F.lit(1).alias("side"), "node")
     centres = hubs.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"), F.col("hub").alias("node"))
     rows = spokes.unionByName(centres).join(words, "node").select("hub", "part", "side", "node", "words")
     order = rows.repartition("hub", "part").sortWithinPartitions("hub", "part", "side")
@@ -305,7 +305,7 @@ def verified_buckets(members: DataFrame, words: DataFrame, similarity: float) ->
     tops = sizes.groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("top"), F.sum("count").alias("n"), F.count("*").alias("parts")).where("parts > 1")
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     rest, main = blocks(F.col("n") - F.col("top.count")), blocks(F.col("top.count"))
-    rows = members.join(tops.select("bucket", F.col("top.component").alias("largest"), rest.alias("rest"), main.alias("main")), "bucket")
+    rows = members.join(dealt_anew(tops.select("bucket", F.col("top.component").alias("largest"), rest.alias("rest"), main.alias("main")), "bucket"), "bucket")
     zero = F.lit(0)
     inside = F.col("component") == F.col("largest")
     mine = F.pmod(F.xxhash64("node"), F.when(inside, F.col("main")).otherwise(F.col("rest"))).cast("int")
@@ -351,11 +351,11 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     base = put(sketched(docs, key, text, number, length))
     reps = base.groupBy("digest").agg(F.min("node").alias("rep"))
     # the words of a copy are those of its representative: one row for each digest
-    nodes = put(base.select("node", "digest").join(reps, "digest").select("node", "rep"))
+    nodes = put(base.select("node", "digest").join(dealt_anew(reps, "digest"), "digest").select("node", "rep"))
     firsts = base.join(nodes.where("node = rep").select("node"), "node", "left_semi")
     exploded = firsts.select("node", F.posexplode("buckets").alias("place", "value")).select("node", F.xxhash64("place", "value").alias("bucket"))
     shared = exploded.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = put(exploded.join(shared, "bucket"))
+    members = put(exploded.join(dealt_anew(shared, "bucket"), "bucket"))
     wanted = members.select("node").distinct()
     words = put(base.select("node", "words").join(wanted, "node", "left_semi"))
     edges, label = [], None
@@ -374,7 +374,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
         label = put(components(_union(edges)))
     mine = members.select("bucket", "node").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = mine.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("bucket")
-    left = put(mine.join(mixed, "bucket", "left_semi"))
+    left = put(mine.join(dealt_anew(mixed, "bucket"), "bucket", "left_semi"))
     edges.append(put(verified_buckets(left, words, similarity)))
     label = components(_union(edges))
     # the classes of all rows
@@ -382,7 +382,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     rows = written(base.select("node", "key", "content").join(classes, "node"), spark)
     removed(spark, temporary)  # rows is all that the result reads
     sums = rows.groupBy("class").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "node")).alias("first"), F.count("*").alias("class_size"))
-    out = rows.join(sums, "class")
+    out = rows.join(dealt_anew(sums, "class"), "class")
     return out.select(F.col("key").alias(key), "content", F.col("first.key").alias("class_id"), "class_size", (F.col("node") == F.col("first.node")).alias("kept"))
 
 

@@ -26,6 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import dealt_anew
+
 SEGMENT = 65_536
 CHUNK = 8_192
 FILE_RECORDS = 2_000
@@ -123,7 +125,7 @@ def with_revisits(pages: DataFrame, payload: Column, key: str, least: int = 0) -
     rows = pages.withColumn("__payload", payload)
     rows = rows.withColumns({"__sha1": F.sha1("__payload"), "__size": F.octet_length("__payload")})
     first = rows.where(F.col("__size") >= least).groupBy("__sha1", "__size").agg(F.min(f"`{key}`").alias("__first"))
-    out = rows.join(first, ["__sha1", "__size"], "left")
+    out = rows.join(dealt_anew(first, "__sha1", "__size"), ["__sha1", "__size"], "left")
     return out.withColumn("__first", F.when(~F.col(f"`{key}`").eqNullSafe(F.col("__first")), F.col("__first"))).drop("__size")
 
 

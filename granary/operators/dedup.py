@@ -29,7 +29,8 @@ def exact_dedup(df: DataFrame, idx: int, store: DataFrame | None = None) -> Data
     if store is not None:
         known = store.select(F.col("doc_id").alias("__h")).distinct().withColumn("__known", F.lit(True))
         first = first.join(known, "__h", "left").withColumn("__first", F.when(F.col("__known"), F.lit(-1)).otherwise(F.col("__first"))).drop("__known")
-    df = df.join(first, F.when(alive(), F.col("doc_id")) == F.col("__h"), "left")
+    # behind a shuffle of its own, so that the join can split a digest that very many rows have
+    df = df.join(first.repartition(F.xxhash64("__h")), F.when(alive(), F.col("doc_id")) == F.col("__h"), "left")
     reason = F.when(F.col("seq") != F.col("__first"), "DUP_EXACT")
     return marked(rejecting(df, "exact_dedup", idx, reason), "exact_dedup_v1").drop("__h", "__first")
 

@@ -22,13 +22,15 @@ from functools import cache
 import numpy as np
 from tokenizers import Tokenizer
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 700_000
 LONGEST = 64
 #: White space other than space and line feed, as the patterns or Python know it (fixed values).
 RARE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0  -     　]")
 #: What Python's split() takes for white space and the patterns do not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 SEPARATING_DIGIT = "7"
+#: Characters behind a word of letters that both kinds of tokenizer part from it.
+TAIL = ".,!?;:|*&%$#"
 
 
 class WordIds(dict):
@@ -65,14 +67,15 @@ class TextEncoder:
         top = max(self.library.get_vocab(with_added_tokens=True).values())
         self.dtype = np.dtype("<u2" if top < 1 << 16 else "<u4")
         self.added = [t["content"] for t in spec["added_tokens"]]
-        self.known = WordIds()
+        self.known, self.tails = WordIds(), {}
         pre, norm = spec["pre_tokenizer"] or {}, spec["normalizer"] or {}
         steps = [s["type"] for s in pre.get("pretokenizers", [])]
-        self.words = None
+        self.words, self.plain_to = None, chr(0x10FFFF)
         if pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and not norm:
             self.words, self.resolve, self.mark = self._byte_level, self._resolve_byte_level, self.whole("\n")
         elif steps == ["Split", "ByteLevel"] and self._drops_white_space(pre) and [s["type"] for s in norm.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]:
             self.words, self.resolve, self.mark = self._plain_words, self._resolve_plain, self.whole(SEPARATING_DIGIT)
+            self.plain_to = "\xff"  # beyond, lower case can make marks of letters, which belong to the tail
         if self.words and len(self.mark) != self.dtype.itemsize:
             self.words = None
 
@@ -116,6 +119,30 @@ class TextEncoder:
 
     # -- ids of the pending words
 
+    def _resolve(self, words: Iterable[str]) -> None:
+        """Words of letters with a tail of signs come from the ids of word and tail; the library gets the others."""
+        known, direct, composed = self.known, {}, []
+        for w in words:
+            stem = w.rstrip(TAIL)
+            if len(stem) < len(w) and stem.lstrip("\r\n").isalpha() and (stem.isascii() or max(stem) <= self.plain_to):
+                composed.append((w, stem))
+                if known[stem] is None:
+                    direct[stem] = None
+            else:
+                direct[w] = None
+        known.pending = {}
+        self.resolve(direct)
+        for w, stem in composed:
+            ids = known[stem]
+            if ids is not None:
+                tail = w[len(stem) :]
+                if (end := self.tails.get(tail)) is None:
+                    end = self.whole(tail)
+                    if len(self.tails) < 10_000:
+                        self.tails[tail] = end
+                known.put(w, ids + end)
+        known.pending = {}
+
     def _resolve_byte_level(self, words: Iterable[str]) -> None:
         inner, starts, first = [], [], []
         for w in words:
@@ -167,7 +194,7 @@ class TextEncoder:
                 found.append(b"".join(parts))
         while waiting:
             pending, known.pending = known.pending, {}
-            self.resolve(pending)
+            self._resolve(pending)
             again = []
             for i, words in waiting:
                 parts = list(map(get, words))

@@ -4,7 +4,8 @@ Words are runs of characters other than ASCII punctuation and white space, in lo
 words in a row, labelled with their occurrence in the text. Each of SKETCHES hash functions takes the LENGTH labelled
 shingles of a text with the smallest values and keeps them in the order of the text; that sequence is a
 bucket. Two texts that share a bucket are candidates: the chance grows with the overlap of their shingles and with how far
-they agree in order, which is what edit similarity asks for. A candidate is a link if the edit distance
+they agree in order, which is what edit similarity asks for. Texts below SHORT words have buckets that every link among them shares,
+see `keyed`. A candidate is a link if the edit distance
 of the two word sequences is at most (1 - SIMILARITY) of the longer one. The distance is computed in a band of that width, one
 machine operation for many cells (bit-parallel, after Hyyro 2003).
 
@@ -33,7 +34,9 @@ from pyspark.sql import functions as F
 from .common import dealt_anew, removed, slices, written
 from .components import components
 
-SHINGLE, SKETCHES, LENGTH, SIMILARITY = 5, 32, 3, 0.8
+SHINGLE, SKETCHES, LENGTH, SIMILARITY = 3, 80, 2, 0.8
+#: Links of fewer words (in the longer text) share a bucket for certain.
+SHORT = 64
 #: Nodes of a block, and nodes that one task aligns with a hub.
 BLOCK, HUB = 256, 1024
 STAR_ROUNDS = 2
@@ -93,7 +96,7 @@ def word_hashes(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return words, np.diff(np.searchsorted(begin, ends))
 
 
-def shingles(words: np.ndarray, counts: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+def shingles(words: np.ndarray, counts: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Occurrence-labelled shingles of all texts, and how many each has; a text of fewer words has one of all its words."""
     n = len(words)
     padded = np.concatenate([words, np.zeros(size, U)])
@@ -136,6 +139,40 @@ def sketches(found: np.ndarray, counts: np.ndarray, number: int = SKETCHES, leng
     return out
 
 
+def keyed(words: np.ndarray, counts: np.ndarray, number: int = SKETCHES, length: int = LENGTH) -> list[np.ndarray]:
+    """The bucket keys of each text: sketches, and for short texts keys that two texts of edit similarity 0.8 or more share for certain.
+
+    With k edits, one of k + 1 pieces of the longer text is in the other one unchanged. From 20 words on such pieces have four words at least, from
+    10 on three. Below 10 words k is 1 at most, and the texts are equal once the right word is left out of one or of both.
+    """
+    keys: list[list[np.ndarray]] = [[] for _ in counts]
+    doc = np.repeat(np.arange(len(counts)), counts)
+
+    def of(low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        chosen = (counts >= low) & (counts < high)
+        return np.flatnonzero(chosen), words[chosen[doc]], counts[chosen]
+
+    # the shorter text of a link has 0.8 of the longer one's words at least
+    which, w, c = of(SHORT - SHORT // 5, 1 << 62)
+    if len(which):
+        for i, row in zip(which, sketches(*shingles(w, c, SHINGLE), number, length), strict=True):
+            keys[i].append(row)
+    for size, low, high in ((4, 16, SHORT), (3, 8, 20)):
+        which, w, c = of(low, high)
+        if len(which):
+            found, each = shingles(w, c, size)
+            for i, part in zip(which, np.split(mix(found ^ SEEDS[255 - size]), np.cumsum(each)[:-1]), strict=True):
+                keys[i].append(part)
+    for n in range(4, 10):
+        which, w, _ = of(n, n + 1)
+        if len(which):
+            w = w.reshape(-1, n)
+            rows = [(x * PLACES[: x.shape[1]]).sum(1, dtype=U) + U(x.shape[1]) for x in (w, *(np.delete(w, i, 1) for i in range(n)))]
+            for i, row in zip(which, mix(np.stack(rows, 1) ^ SEEDS[255]), strict=True):
+                keys[i].append(np.unique(row))
+    return [np.concatenate(k) if k else np.empty(0, U) for k in keys]
+
+
 def within(a: list, b: list, limit: int) -> bool:
     """Whether the edit distance of two sequences is at most `limit`; only cells that near the diagonal are computed."""
     i, n = 0, min(len(a), len(b))
@@ -193,20 +230,18 @@ def sketched(docs: DataFrame, key: str, text: str, number: int, length: int) ->
             ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
             raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
             words, counts = word_hashes(raw, ends - ends[0])
-            found, each = shingles(words, counts)
-            keys = iter(sketches(found, each, number, length).view(np.int64).tolist()) if len(found) else iter(())
+            buckets = keyed(words, counts, number, length)
             short = (words >> U(32)).astype("<u4")
             at = np.cumsum(counts) - counts
-            seen, digests, buckets = [], [], []
+            seen, digests = [], []
             for i, (s, c) in enumerate(zip(at.tolist(), counts.tolist(), strict=True)):
                 w = short[s : s + c].tobytes()
                 seen.append(w)
                 # texts without words are told apart by their characters
                 digests.append(hashlib.blake2b(w, digest_size=16).digest() if c else b"-" + hashlib.blake2b(raw[ends[i] - ends[0] : ends[i + 1] - ends[0]].tobytes(), digest_size=16).digest())
-                buckets.append(next(keys) if c else [])
             nodes = base + n + np.arange(len(seen))
             n += len(seen)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), b.column(0), b.column(2), pa.array(digests, pa.binary()), pa.array(seen, pa.binary()), pa.array(buckets, pa.list_(pa.int64()))], [x.split()[0] for x in SKETCHED.split(", ")])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), b.column(0), b.column(2), pa.array(digests, pa.binary()), pa.array(seen, pa.binary()), pa.array([k.view(np.int64) for k in buckets], pa.list_(pa.int64()))], [x.split()[0] for x in SKETCHED.split(", ")])
 
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     return docs.select(F.col(f"`{key}`").cast("long").alias("key"), t.alias("text"), F.xxhash64(t).alias("content")).mapInArrow(run, SKETCHED)
@@ -353,7 +388,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     # the words of a copy are those of its representative: one row for each digest
     nodes = put(base.select("node", "digest").join(dealt_anew(reps, "digest"), "digest").select("node", "rep"))
     firsts = base.join(nodes.where("node = rep").select("node"), "node", "left_semi")
-    exploded = firsts.select("node", F.posexplode("buckets").alias("place", "value")).select("node", F.xxhash64("place", "value").alias("bucket"))
+    exploded = firsts.select("node", F.explode("buckets").alias("bucket"))
     shared = exploded.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = put(exploded.join(dealt_anew(shared, "bucket"), "bucket"))
     wanted = members.select("node").distinct()

@@ -148,6 +148,42 @@ def test_near_classes_equal_brute_force(spark, monkeypatch):
     assert kept.columns == d.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want))
 
 
+def scattered(words, k, seed):
+    out = list(words)
+    for i in random.Random(seed).sample(range(len(out)), k):
+        out[i] = f"sub{seed}x{i}"
+    return out
+
+
+def test_near_classes_reach_the_stated_similarity(spark):
+    """Links of short texts, and of longer ones with scattered edits down to similarity 0.8."""
+    pairs = [(n, k) for n, k in ((5, 1), (9, 1), (10, 1), (12, 1), (14, 2), (19, 3), (40, 8), (63, 12), (100, 15), (100, 20), (400, 80)) for _ in range(10)]
+    texts = []
+    for s, (n, k) in enumerate(pairs):
+        base = prose(5000 + s, n)
+        texts += [" ".join(base), " ".join(scattered(base, k, s))]
+    base = prose(9000, 9)
+    texts += [" ".join(base), " ".join(base[:4] + base[5:])]  # one word less
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in omh_dedup.near_classes(d).collect()}
+    assert got == {i: i - i % 2 for i in range(len(texts))}
+
+
+def test_short_links_share_a_key():
+    r = random.Random(3)
+    for n in range(5, omh_dedup.SHORT):
+        for k in {1, n // 5}:
+            a = prose(n, n)
+            for trial in range(10):
+                b = list(a)
+                at = range(2, n, max(2, n // k))[:k] if trial == 0 else r.sample(range(n), k)  # evenly spaced edits leave the shortest pieces
+                for i in sorted(at, reverse=True):
+                    b[i : i + 1] = [[f"q{trial}"], []][trial % 2]
+                pair = [np.array([zlib.crc32(w.encode()) for w in t], np.uint64) for t in (a, b)]
+                x, y = omh_dedup.keyed(np.concatenate(pair), np.array([len(p) for p in pair]))
+                assert set(x.tolist()) & set(y.tolist()), (n, k, trial)
+
+
 def test_near_classes_of_odd_rows(spark):
     d = spark.createDataFrame([(None, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f"), (None, "z")], "doc_id long, text string")
     got = sorted((r["doc_id"] or -1, r["class_id"] or -1, r["class_size"], r["kept"]) for r in omh_dedup.near_classes(d).collect())

@@ -5,13 +5,13 @@ its nearest codeword, one byte each, and the vector keeps the norm e of what the
 
 Probes. A vector also visits every list whose border lies within tau of it. A segment between two linked vectors a and b crosses the
 border between their lists, so one of the two lies within half of the segment's extent across the border: of
-every link one end at least visits the other's list if tau is that half. It is |a - b| / 2 at most, which `spread=None`
-takes for certainty; but a segment of that length hardly ever stands upright on a border. In d dimensions its extent across is about
-|a - b| / sqrt(d) (standard deviation), and tau is `spread` times half of that. Measured against brute force over the test tables (10k
-and 51k vectors), spread 2.5 finds every link with an eighth to a twentieth of the comparisons.
+every link one end at least visits the other's list if tau is that half. It is |a - b| / 2 at most, which is what tau is by default: no link is
+missed, whatever the vectors are. Where they fill all their dimensions evenly nearly all lists are visited, and comparisons grow with the
+square of the rows. A number as `spread` takes tau as so many halves of |a - b| / sqrt(d), which is the extent's standard deviation only if links
+point evenly in all d dimensions; it misses links of vectors of lower rank.
 
-Search. In a list, each query's dot product with a member is estimated from the codes by table lookup
-(asymmetric: the query is not quantised). It is off by e at most, so members whose estimate is below threshold - e are ruled
+Search. In a list, each query's dot product with a member is estimated from the codes
+(asymmetric: the query is not quantised) by a matrix product with the decoded members. It is off by e at most, so members whose estimate is below threshold - e are ruled
 out for certain; the rest are reranked by the exact cosine in double precision. Of the lists that are
 visited every link is found.
 
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import removed, written
 from .components import components
 
-SAMPLE, LISTS, LIST_ROWS, SUBSPACES, CODEWORDS, BLOCK, SPREAD = 16_384, 2048, 128, 8, 256, 2048, 2.5
+SAMPLE, LISTS, LIST_ROWS, SUBSPACES, CODEWORDS, BLOCK, SPREAD = 16_384, 2048, 8192, 8, 256, 8192, None
 NONE = np.int64(1) << 62
 
 
@@ -99,12 +99,10 @@ class Quantizer:
             rest[:, p] -= w[codes[:, m]]
         return codes, np.linalg.norm(rest, axis=1)
 
-    def estimate(self, queries: np.ndarray, which: int, codes: np.ndarray) -> np.ndarray:
-        """Estimated dot products of queries with the coded members of one list: a lookup for each subspace."""
-        total = np.repeat((queries @ self.centroids[which])[:, None], len(codes), 1)
-        for m, (p, w) in enumerate(zip(self.parts, self.codewords, strict=True)):
-            total += (queries[:, p] @ w.T)[:, codes[:, m]]
-        return total
+    def decoded(self, which: int, codes: np.ndarray) -> np.ndarray:
+        """What the codes of one list's members stand for, in single precision."""
+        rest = [w[codes[:, m]] for m, w in enumerate(self.codewords)]
+        return (self.centroids[which] + np.concatenate(rest, 1)).astype(np.float32)
 
 
 @dataclass
@@ -130,10 +128,12 @@ def compare(q: Quantizer, which: int, threshold: float, members: Rows, queries:
     links_m, links_q = np.zeros(n, np.int64), np.zeros(len(queries.node), np.int64)
     label_m, label_q = members.node.copy(), queries.node.copy()
     masks = []
+    coded = q.decoded(which, members.codes).T
+    # single precision is off by d * 2 ** -24 for each of two norms, of 2 at most
+    least = (threshold - members.missed - 3e-7 * (len(coded) + 8)).astype(np.float32)
     for a in range(0, len(queries.node), 256):
         x = queries.x[a : a + 256]
-        near = q.estimate(x, which, members.codes) >= threshold - members.missed - 1e-9
-        i, j = np.nonzero(near)
+        i, j = np.nonzero(x.astype(np.float32) @ coded >= least)
         hit = np.concatenate([np.einsum("ij,ij->i", x[i[s : s + 65536]], members.x[j[s : s + 65536]]) >= threshold for s in range(0, len(i), 65536)] or [np.empty(0, bool)])
         i, j = i[hit], j[hit]
         if same:

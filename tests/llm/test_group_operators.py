@@ -252,6 +252,21 @@ def test_vectors_equal_brute_force(spark):
     assert [(v["n_links"], v["component_id"]) for v in pq_dedup.near_vectors(twice).collect()] == [(3, 1)] * 4
 
 
+def link_counts(x):
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    return (u @ u.T >= 0.9).sum(1) - 1
+
+
+def test_vectors_of_low_rank_lose_no_link(spark):
+    """Links that point in few of the dimensions cross borders upright."""
+    r = np.random.default_rng(4)
+    x = (r.normal(size=(3000, 6)) @ r.normal(size=(6, 64))).astype(np.float32)
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    for how in ({}, {"lists": 23, "block": 200}):
+        got = {v["vec_id"]: v["n_links"] for v in pq_dedup.near_vectors(d, 0.9, **how).collect()}
+        assert [got[i] for i in range(len(x))] == link_counts(x).tolist()
+
+
 # -- quality --------------------------------------------------------------------------------------
 
 

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -182,15 +183,54 @@ def linkable(embedding: Column) -> Column:
 def links(vectors: DataFrame, threshold: float, sample: int = SAMPLE, block: int = BLOCK, lists: int | None = None, spread: float | None = SPREAD) -> tuple[DataFrame, DataFrame]:
     """(counts, edges) of distinct vectors (node long, weight long, embedding): counts (node, links), edges (src, dst) that span each component.
 
-    `vectors` must be a written table. Only vectors of the commonest dimension are compared.
+    `vectors` must be a written table. Vectors of different dimensions have no link. The commonest dimension and those of more than `block` vectors
+    have an index each; a group of another dimension fits into a task.
     """
     spark = vectors.sparkSession
-    sizes = vectors.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
-    empty = spark.createDataFrame([], "node long, links long, root long")
-    if not sizes:
-        return empty.select("node", "links"), empty.select(F.col("node").alias("src"), F.col("root").alias("dst"))
-    dim, count = sizes[0]
-    rows = vectors.where(F.size("embedding") == dim)
+    sizes = vectors.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "d")
+    first = sizes.limit(1).collect()
+    large = first + [x for x in sizes.where(F.col("n") > block).collect() if x not in first]
+    found = [_indexed_links(vectors.where(F.size("embedding") == d), d, n, threshold, sample, block, lists, spread) for d, n in large]
+    found.append(written(_small_links(vectors.where(~F.size("embedding").isin([d for d, _ in large])), threshold), spark))
+    rows = reduce(DataFrame.unionByName, found)
+    return rows.groupBy("node").agg(F.sum("links").alias("links")), rows.where("node <> root").select(F.col("node").alias("src"), F.col("root").alias("dst"))
+
+
+def _small_links(vectors: DataFrame, threshold: float) -> DataFrame:
+    """(node, links, root) of vectors of any dimensions, of each of which a task can hold all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            t = pa.Table.from_batches(held) if held else None
+            if t is None or len(t) < 2:
+                return
+            x = _unit(t.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(t), now))
+            q, home = Quantizer.fit(x, 1, threshold), np.zeros(len(x), int)
+            side = Rows(t.column("node").to_numpy(), t.column("weight").to_numpy(), x, home, *q.encode(x, home), [])
+            for node, n, root in compare(q, 0, threshold, side, side, True, True):
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n), pa.array(root)], ["node", "links", "root"])
+
+        for b in batches:
+            d = b.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(d[1:] != d[:-1]) + 1).tolist(), b.num_rows]
+            for s, e in zip(cuts, cuts[1:], strict=False):
+                if e == s:
+                    continue
+                if d[s] != now:
+                    yield from done()
+                    now, held = int(d[s]), []
+                held.append(b.slice(s, e - s))
+        yield from done()
+
+    rows = vectors.select(F.size("embedding").alias("d"), "node", "weight", F.col("embedding").cast("array<double>").alias("embedding"))
+    return rows.repartition("d").sortWithinPartitions("d").mapInArrow(run, "node long, links long, root long")
+
+
+def _indexed_links(rows: DataFrame, dim: int, count: int, threshold: float, sample: int, block: int, lists: int | None, spread: float | None) -> DataFrame:
+    """(node, links, root) of vectors of one dimension."""
+    spark = rows.sparkSession
     # a bounded sample: those with the smallest hashes
     taken = rows.select("embedding").orderBy(F.xxhash64("embedding"), "embedding").limit(sample).toArrow().column(0).combine_chunks()
     taken = taken.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dim)
@@ -269,14 +309,14 @@ def links(vectors: DataFrame, threshold: float, sample: int = SAMPLE, block: int
 
     found = written(order.mapInArrow(run, "node long, links long, root long"), spark)
     removed(spark, temporary)
-    return found.groupBy("node").agg(F.sum("links").alias("links")), found.where("node <> root").select(F.col("node").alias("src"), F.col("root").alias("dst"))
+    return found
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.9, key: str = "vec_id", embedding: str = "embedding", **how) -> DataFrame:
     """Each row of vectors with n_links, component_id (the smallest key reachable) and kept.
 
-    Vectors that are null, empty, zero or hold null or non-finite components link with nothing, and neither do those of another dimension than the
-    commonest. Rows with equal vectors (also with equal keys) are linked to each other. Null keys are never a component's smallest if it has others.
+    Vectors that are null, empty, zero or hold null or non-finite components link with nothing; vectors of one
+    dimension link with each other only. Rows with equal vectors (also with equal keys) are linked to each other. Null keys are never a component's smallest if it has others.
     """
     spark = vectors.sparkSession
     made = ["n_links", "component_id", "kept"]

@@ -267,6 +267,22 @@ def test_vectors_of_low_rank_lose_no_link(spark):
         assert [got[i] for i in range(len(x))] == link_counts(x).tolist()
 
 
+def test_vectors_of_every_dimension_link(spark):
+    r = np.random.default_rng(6)
+    rows, want = [], []
+    for n, d in ((300, 8), (150, 4), (40, 3), (2, 5), (1, 6)):
+        x = r.normal(size=(n, d)).astype(np.float32)
+        if n == 2:
+            x[1] = x[0] * [1, 1, 1, 1, 1.01]
+        rows += [(len(rows) + i, v.tolist()) for i, v in enumerate(x)]
+        want += link_counts(x).tolist()
+    assert want[490:] == [1, 1, 0]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    for how in ({}, {"block": 100}):  # one index and groups in a task; two indexes
+        got = {v["vec_id"]: v["n_links"] for v in pq_dedup.near_vectors(d, 0.9, **how).collect()}
+        assert [got[i] for i in range(len(rows))] == want
+
+
 # -- quality --------------------------------------------------------------------------------------
 
 

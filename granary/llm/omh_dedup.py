@@ -430,6 +430,8 @@ def _union(edges: list[DataFrame]) -> DataFrame:
 
 def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """One document of each class, with the columns of docs; rows are matched by key and content, of equal ones one stays."""
-    kept = near_classes(docs, key, text, **how).where("kept").select(F.col(key).alias("__key"), F.col("content").alias("__content"))
-    rows = docs.withColumn("__h", F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
-    return rows.join(kept, F.col(f"`{key}`").cast("long").eqNullSafe(F.col("__key")) & (F.col("__h") == F.col("__content")), "left_semi").drop("__h")
+    named = lambda k: [F.coalesce(k, F.lit(0)).alias("__key"), k.isNull().alias("__null")]
+    kept = near_classes(docs, key, text, **how).where("kept").select(*named(F.col(key)), F.col("content").alias("__content"))
+    rows = docs.select("*", *named(F.col(f"`{key}`").cast("long")), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("__content"))
+    by = ["__key", "__null", "__content"]
+    return rows.dropDuplicates(by).join(kept, by, "left_semi").drop(*by)

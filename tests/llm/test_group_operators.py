@@ -191,6 +191,13 @@ def test_near_classes_of_odd_rows(spark):
     assert omh_dedup.near_classes(d.limit(0)).count() == 0
 
 
+def test_drop_near_keeps_one_of_repeated_rows(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (None, "z"), (None, "z"), (0, "z y"), (3, None), (3, "")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in omh_dedup.drop_near(d).collect())
+    assert got == [(False, 0, "z y"), (False, 1, "a b c d e f"), (False, 3, ""), (True, 0, "z")]
+
+
 def test_block_bound_loses_nothing():
     rows = [(i, i, np.array([zlib.crc32(w.encode()) for w in re.findall(r"\w+", t)], "<u4").tobytes()) for i, t in enumerate(near_texts()) if t and re.search(r"\w", t) and len(t) < 2000]
     words = {i: np.frombuffer(b, "<u4").tolist() for i, _, b in rows}

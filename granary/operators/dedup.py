@@ -195,15 +195,16 @@ def _checkpointing(spark) -> None:
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/granary-checkpoints")
 
 
-def global_decisions(docs: DataFrame, simhash: bool = True, minhash: bool = True, chunk: bool = True, distance: int = SIMHASH_DISTANCE, threshold: float = MINHASH_THRESHOLD) -> DataFrame:
+def global_decisions(docs: DataFrame, simhash: bool = True, minhash: bool = True, chunk: bool = True, distance: int = SIMHASH_DISTANCE, threshold: float = MINHASH_THRESHOLD, limit: int | None = None) -> DataFrame:
     """(seq, action, match_type, links) of documents (seq, text): drop, keep_link (chunks shared) or keep.
 
     A document is dropped if an earlier kept one matches by SimHash, else by MinHash; chunks shared with kept ones only link.
+    SimHash signs whole texts; `limit` takes so many words of each (the reference: hashing.SIMHASH_WORDS).
     """
     spark = docs.sparkSession
     members = spark.createDataFrame([], "seq long, bucket long, kind string")
     if simhash:
-        signed = docs.select("seq", hashing.simhash(F.col("text")).alias("sig"))
+        signed = docs.select("seq", hashing.simhash(F.col("text"), limit=limit).alias("sig"))
         members = members.unionByName(simhash_buckets(signed, distance).withColumn("kind", F.lit("simhash")))
     if minhash:
         bands = minhash_bands(docs, threshold)

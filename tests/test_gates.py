@@ -148,3 +148,12 @@ def test_registry():
         registry.register_stage("mine", lambda df, idx: df)
     registry.unregister_stage("mine")
     assert registry.out_of_order(["quality_gate", "exact_dedup"]) == [("quality_gate", "exact_dedup")]
+
+
+def test_global_decisions_read_whole_texts(spark):
+    head = " ".join(f"head{i % 700}" for i in range(2000))
+    rows = [(i, head + " " + " ".join(f"tail{i}x{j}" for j in range(6000))) for i in range(3)] + [(3, head)]
+    d = spark.createDataFrame(rows, "seq long, text string")
+    action = lambda **how: [r["action"] for r in dedup.global_decisions(d, minhash=False, chunk=False, **how).orderBy("seq").collect()]
+    assert action() == ["keep"] * 4
+    assert action(limit=dedup.hashing.SIMHASH_WORDS) == ["keep"] + ["drop"] * 3  # the reference's cap

@@ -82,13 +82,17 @@ def document_pieces(docs: DataFrame, tokenizer: str, capacity: int, key: str = "
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(tokenizer)
-        for b in slices(batches):
-            rows = []
-            for k, found in zip(b.column(0).to_pylist(), e.ids(b.column(1).to_pylist(), end), strict=True):
-                ids = found.astype("<u4")
-                rows += [(k, i // capacity, i, len(p := ids[i : i + capacity]), zlib.crc32(p.tobytes())) for i in range(0, len(ids), capacity)]
-            k, piece, start, length, crc = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        for b in slices(batches, 8192, 4):
+            ids, counts = e.ids(b.column(1).to_pylist(), end)
+            ids = ids.astype("<u4")
+            cuts = -(-counts // capacity)
+            doc = np.repeat(np.arange(len(counts)), cuts)
+            piece = np.arange(len(doc)) - (np.cumsum(cuts) - cuts)[doc]
+            start = piece * capacity
+            length = np.minimum(capacity, counts[doc] - start)
+            at = (np.cumsum(counts) - counts)[doc] + start
+            crc = [zlib.crc32(ids[a:z]) for a, z in zip(at.tolist(), (at + length).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col(f"`{key}`").cast("long"), F.col(f"`{text}`")).mapInArrow(cut, PIECES)
 
@@ -125,5 +129,10 @@ def pack_pieces(pieces: DataFrame, capacity: int, group: int = GROUP) -> DataFra
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Tokenises, cuts and packs documents: a row for each piece. The pieces (without ids) are written to the shared folder once."""
+    """Tokenises, cuts and packs documents: a row for each piece. The pieces (without ids) are written to the shared folder once.
+
+    A null or empty text is one piece of one token; a very long one is encoded whole and cut. Rows that repeat a key or a whole document
+    are packed each by itself, and pieces of equal length have no set order. Keys are whole numbers or null. Other columns are not read,
+    whatever their names. An empty table gives an empty result.
+    """
     return pack_pieces(written(document_pieces(docs, tokenizer, capacity, key, text), docs.sparkSession), capacity)

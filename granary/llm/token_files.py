@@ -50,7 +50,8 @@ def mapped(fs: pafs.FileSystem, path: str, dtype: np.dtype, start: int, count: i
 def write_tokens(docs: DataFrame, uri: str, tokenizer: str, key: str = "doc_id", text: str = "text", end: int | None = 0) -> list[dict]:
     """Writes the folder and returns its partitions; the driver gets three numbers for each.
 
-    Null texts are empty and hold the end id alone. Documents that share a key stay apart, in an order by content.
+    Null texts are empty and hold the end id alone. Documents that share a key stay apart, in an order by content; keys are
+    whole numbers, null ones come first. A very long text is encoded whole, in a batch of its own. Other columns are not read, whatever their names.
     An empty table writes an index without partitions.
     """
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
@@ -63,17 +64,16 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer: str, key: str = "doc_id",
         names = {k: f"{folder}/{part:06d}.{k}" for k in ("ids", "offsets", "keys")}
         files = None
         docs_n = tokens = 0
-        for b in slices(batches):
+        for b in slices(batches, 8192, 4):
             if files is None:
                 fs.create_dir(folder, recursive=True)
                 files = {k: fs.open_output_stream(f"{n}.{context.taskAttemptId()}") for k, n in names.items()}
                 files["offsets"].write(np.zeros(1, "<u8").tobytes())
-            each = e.ids(b.column(1).to_pylist(), end)
-            ends = np.cumsum([len(x) for x in each], dtype="<u8") + np.uint64(tokens)
-            files["ids"].write(b"".join(x.tobytes() for x in each))
-            files["offsets"].write(ends.astype("<u8").tobytes())
+            ids, counts = e.ids(b.column(1).to_pylist(), end)
+            files["ids"].write(ids.tobytes())
+            files["offsets"].write((np.cumsum(counts) + tokens).astype("<u8").tobytes())
             files["keys"].write(np.array([NULL_KEY if k is None else k for k in b.column(0).to_pylist()], "<i8").tobytes())
-            docs_n, tokens = docs_n + len(each), int(ends[-1])
+            docs_n, tokens = docs_n + len(counts), tokens + len(ids)
         if files is not None:
             for k, f in files.items():
                 f.close()

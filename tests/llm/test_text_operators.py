@@ -57,10 +57,18 @@ def test_encode_and_decode_frames(spark):
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_cached_words_equal_the_library(name):
     e = tokenizing.TextEncoder(P.path(name))
-    e.known.cap = 50  # so that the cache lets go of words while texts wait for them
-    texts = HARD + random_texts(1500)
-    got = [x for i in range(0, len(texts), 64) for x in e.ids(texts[i : i + 64], 0)]
-    assert [x.tolist() for x in got] == [e.library.encode(t or "", add_special_tokens=False).ids + [0] for t in texts]
+    e.known.cap = 3000  # so that the cache lets go of words again and again
+    r = random.Random(8)
+    plain = [" ".join(r.choice(["word", "Ça", "end", "x" * 90, "naïve", "9a7"]) + r.choice(["", ".", ",", "!?", "***"]) for _ in range(r.randint(1, 40))) for _ in range(300)]
+    texts = HARD + random_texts(1500) + plain + ["long text, " * 30_000]
+    r.shuffle(texts)
+    want = [[*e.library.encode(t or "", add_special_tokens=False).ids] for t in texts]
+    for end in (0, None):
+        for i in range(0, len(texts), 64):
+            ids, counts = e.ids(texts[i : i + 64], end)
+            got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+            assert got == [w + [end] * (end is not None) for w in want[i : i + 64]]
+            assert e.known.words.nbytes + 24 * len(e.known.used) < 2 * e.known.cap
 
 
 def test_token_files_round_trip(spark, tmp_path):
@@ -117,6 +125,11 @@ def test_packing_is_whole_and_tight(spark):
     r = random.Random(3)
     texts = ["word " * r.choice([0, 3, 40, 300, 900, 2047, 2048, 5000]) for _ in range(300)] + [None, "", ""]
     out = packing.pack_documents(docs(spark, texts), P.path("word_bpe_49k.json")).collect()
+    lib = tokenizing.encoder(P.path("word_bpe_49k.json")).library
+    ids = {i: [*lib.encode(t or "", add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    for x in out:
+        part = ids[x["doc_id"]][x["start"] : x["start"] + x["length"]]
+        assert len(part) == x["length"] and x["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes())
     by_doc, by_sequence = {}, {}
     for x in out:
         by_doc.setdefault(x["doc_id"], []).append(x)

@@ -178,12 +178,13 @@ def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", normal
 
 
 def drop_exact(docs: DataFrame, text: str = "text", key: str = "doc_id", limit: int = TABLE_BYTES) -> DataFrame:
-    """The rows that stay, with the columns of docs; of fully repeated rows one stays.
+    """The rows that stay, with the columns of docs, whatever their names; of fully repeated rows one stays.
 
-    Rows are matched to the groups by key and digest, so that no join key is held by a group of copies.
+    Rows are matched to the groups by key and digest, so that no join key is held by a group of copies. Null texts count as
+    empty; keys are whole numbers, a null one stays only where a group has no other. An empty table gives an empty result.
     """
-    on = ["__key", "__digest"]
-    groups = text_groups(docs, F.col(f"`{text}`"), F.col(f"`{key}`"), limit).select(F.col("best").alias("__best"), F.sha2("content", 256).alias("__sha"))
-    rows = docs.withColumn("__key", F.col(f"`{key}`").cast("long")).withColumn("__digest", F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"), 256)).dropDuplicates(on)
-    kept = rows.join(groups, (F.col("__digest") == F.col("__sha")) & F.col("__key").eqNullSafe(F.col("__best")), "left_semi")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    best = lambda k: [F.coalesce(k, F.lit(0)).alias("key"), k.isNull().alias("none")]
+    by = ["key", "none", "digest"]
+    groups = text_groups(docs, F.col(f"`{text}`"), F.col(f"`{key}`"), limit).select(*best(F.col("best")), F.sha2("content", 256).alias("digest"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *best(F.col(f"`{key}`").cast("long")), F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"), 256).alias("digest"))
+    return rows.join(groups, by, "left_semi").dropDuplicates(by).select("row.*")

@@ -1,23 +1,25 @@
 """Near-duplicate documents by Order MinHash, verified by banded alignment.
 
 Words are runs of characters other than ASCII punctuation and white space, in lower case (ASCII). Shingles are SHINGLE
-words in a row, labelled with their occurrence in the text. Each of SKETCHES hash functions takes the LENGTH labelled
-shingles of a text with the smallest values and keeps them in the order of the text; that sequence is a
+words in a row, labelled with their occurrence in the text. Each of SKETCHES hash functions takes LENGTH labelled
+shingles of a text, the one with the smallest value in each of LENGTH equal parts of it, in the order of the text; that sequence is a
 bucket. Two texts that share a bucket are candidates: the chance grows with the overlap of their shingles and with how far
-they agree in order, which is what edit similarity asks for. Texts below SHORT words have buckets that every link among them shares,
+they agree in order, which is what edit similarity asks for. As the shingles come from different parts, one passage that many
+texts share does not make them candidates. Texts below SHORT words have buckets that every link among them shares,
 see `keyed`. A candidate is a link if the edit distance
 of the two word sequences is at most (1 - SIMILARITY) of the longer one. The distance is computed in a band of that width, one
 machine operation for many cells (bit-parallel, after Hyyro 2003).
 
 Order of work, so that no step makes pairs of a group:
 
-1.  `sketched`: one pass over the texts gives words (hashed), digest and buckets, written once. Texts with the same words are one
-    node from here on; copies are never compared.
-2.  Star rounds: each node is aligned with one hub, the smallest node of one of its buckets.
+1.  `sketched`: one pass over the texts gives digests of words and buckets, written once. Texts with the same words are one
+    node from here on; copies are never compared. A second pass (`worded`) fetches the words of nodes that share a bucket.
+2.  Buckets are parted by length, as links differ by a fifth of their words at most. Star rounds: each node is aligned with one hub, the smallest node of one of its buckets.
 3.  Buckets whose nodes lie in one component are done. In each other bucket the nodes outside its largest component are
     aligned with all nodes of other components, block against block; a bound on the distance from
     common words, computed for whole blocks by matrix products, rules out most of these. So a link between any two
-    candidates is either found or implied by found ones, and components are as if all candidates had been aligned.
+    candidates is either found or implied by found ones, and components are as if all candidates had been aligned. A bucket of n texts of like length of which none
+    is linked costs n * n / 2 comparisons by that bound, on as many tasks as it has pairs of blocks.
 """
 
 from __future__ import annotations
@@ -38,8 +40,10 @@ SHINGLE, SKETCHES, LENGTH, SIMILARITY = 3, 80, 2, 0.8
 #: Links of fewer words (in the longer text) share a bucket for certain.
 SHORT = 64
 #: Nodes of a block, and nodes that one task aligns with a hub.
-BLOCK, HUB = 256, 1024
+BLOCK, HUB = 128, 192
 STAR_ROUNDS = 2
+#: Words of two blocks that are compared at once.
+AT_ONCE = 400_000
 
 U = np.uint64
 TOP = U(0xFFFFFFFFFFFFFFFF)
@@ -119,28 +123,20 @@ def shingles(words: np.ndarray, counts: np.ndarray, size: int = 5) -> tuple[np.n
 
 
 def sketches(found: np.ndarray, counts: np.ndarray, number: int = SKETCHES, length: int = LENGTH) -> np.ndarray:
-    """A row of `number` bucket keys for each text that has shingles."""
+    """A row of `number` bucket keys for each text that has shingles: the smallest shingles of its `length` parts, in order."""
     counts = counts[counts > 0]
     starts = np.cumsum(counts) - counts
+    # a part without shingles (of fewer shingles than parts) takes the next one's first
+    parts = (starts[:, None] + np.arange(length) * counts[:, None] // length).ravel()
     out = np.empty((len(counts), number), U)
-    doc = np.repeat(np.arange(len(counts)), counts)
     for s in range(number):
-        left = mix(found ^ SEEDS[s])
-        chosen = np.zeros(len(found), bool)
-        for _ in range(length):
-            least = np.minimum.reduceat(left, starts)
-            hit = np.flatnonzero((left == least[doc]) & (left != TOP))
-            left[hit] = TOP
-            chosen[hit] = True
-        at = np.flatnonzero(chosen)
-        place = np.arange(len(at)) - np.searchsorted(at, starts)[doc[at]]
-        key = np.add.reduceat(found[at] * PLACES[np.minimum(place, 63)], np.searchsorted(at, starts))
-        out[:, s] = mix(key ^ SEEDS[64 + s])
+        least = np.minimum.reduceat(mix(found ^ SEEDS[s]), parts).reshape(-1, length)
+        out[:, s] = mix((least * PLACES[:length]).sum(1, dtype=U) ^ SEEDS[128 + s])
     return out
 
 
 def keyed(words: np.ndarray, counts: np.ndarray, number: int = SKETCHES, length: int = LENGTH) -> list[np.ndarray]:
-    """The bucket keys of each text: sketches, and for short texts keys that two texts of edit similarity 0.8 or more share for certain.
+    """The bucket keys of each text: sketches of shingles, and for short texts (which have few shingles) keys that two texts of edit similarity 0.8 or more share for certain.
 
     With k edits, one of k + 1 pieces of the longer text is in the other one unchanged. From 20 words on such pieces have four words at least, from
     10 on three. Below 10 words k is 1 at most, and the texts are equal once the right word is left out of one or of both.
@@ -217,34 +213,61 @@ def similar(a: list, b: list, similarity: float = SIMILARITY) -> bool:
     return within(a, b, int((1 - similarity) * longer + 1e-9))
 
 
-SKETCHED = "node long, key long, content long, digest binary, words binary, buckets array<long>"
+SKETCHED = "node long, key long, content long, digest binary, n int, buckets array<long>"
+WORDED = "digest binary, k long, words binary"
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Batch, words, counts of words and digests of the words of each text; the text is a batch's first column."""
+    for b in slices(batches, 2048, 2):
+        texts = b.column(0).cast(pa.large_string())
+        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+        ends = ends - ends[0]
+        words, counts = word_hashes(raw, ends)
+        digests = []
+        for i, (e, c) in enumerate(zip(np.cumsum(counts).tolist(), counts.tolist(), strict=True)):
+            # texts without words are told apart by their characters
+            seen = words[e - c : e] if c else raw[ends[i] : ends[i + 1]]
+            digests.append(hashlib.blake2b(seen.tobytes(), digest_size=16, person=b"words" if c else b"text").digest())
+        yield b, words, counts, digests
+
+
+def _batch(schema: str, *columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), [x.split()[0] for x in schema.split(", ")])
+
+
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    return docs.select(t.alias("text"), F.col(f"`{key}`").cast("long").alias("key"), F.xxhash64(t).alias("content"))
 
 
 def sketched(docs: DataFrame, key: str, text: str, number: int, length: int) -> DataFrame:
-    """A row for each document: node (a number of the row), content (a hash of the text), digest of the words, words (32 bits each), buckets."""
+    """A row for each document: node (a number of the row), key, content (a hash of the text), digest and number of the words, buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, n = TaskContext.get().partitionId() << 33, 0
-        for b in slices(batches, 2048, 2):
-            texts = b.column(1).cast(pa.large_string())
-            ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-            raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
-            words, counts = word_hashes(raw, ends - ends[0])
-            buckets = keyed(words, counts, number, length)
+        for b, words, counts, digests in _hashed(batches):
+            buckets = [k.view(np.int64) for k in keyed(words, counts, number, length)]
+            nodes = base + n + np.arange(len(digests))
+            n += len(digests)
+            yield _batch(SKETCHED, pa.array(nodes), b.column(1), b.column(2), pa.array(digests, pa.binary()), pa.array(counts, pa.int32()), pa.array(buckets, pa.list_(pa.int64())))
+
+    return _texts(docs, key, text).mapInArrow(run, SKETCHED)
+
+
+def worded(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Words (32 bits each) of texts by digest and key (null: 0), for each digest once in a batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, words, counts, digests in _hashed(batches):
             short = (words >> U(32)).astype("<u4")
-            at = np.cumsum(counts) - counts
-            seen, digests = [], []
-            for i, (s, c) in enumerate(zip(at.tolist(), counts.tolist(), strict=True)):
-                w = short[s : s + c].tobytes()
-                seen.append(w)
-                # texts without words are told apart by their characters
-                digests.append(hashlib.blake2b(w, digest_size=16).digest() if c else b"-" + hashlib.blake2b(raw[ends[i] - ends[0] : ends[i + 1] - ends[0]].tobytes(), digest_size=16).digest())
-            nodes = base + n + np.arange(len(seen))
-            n += len(seen)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), b.column(0), b.column(2), pa.array(digests, pa.binary()), pa.array(seen, pa.binary()), pa.array([k.view(np.int64) for k in buckets], pa.list_(pa.int64()))], [x.split()[0] for x in SKETCHED.split(", ")])
+            keys = b.column(1).fill_null(0).to_pylist()
+            first = list({row: i for i, row in reversed(list(enumerate(zip(digests, keys, strict=True)))) if counts[i]}.values())
+            ends = np.cumsum(counts)
+            yield _batch(WORDED, pa.array([digests[i] for i in first], pa.binary()), pa.array([keys[i] for i in first], pa.int64()), pa.array([short[ends[i] - counts[i] : ends[i]].tobytes() for i in first], pa.binary()))
 
-    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    return docs.select(F.col(f"`{key}`").cast("long").alias("key"), t.alias("text"), F.xxhash64(t).alias("content")).mapInArrow(run, SKETCHED)
+    return _texts(docs, key, text).mapInArrow(run, WORDED)
 
 
 def _words(raw: bytes) -> list[int]:
@@ -283,14 +306,25 @@ def verified_stars(pairs: DataFrame, words: DataFrame, similarity: float) -> Dat
     return order.mapInArrow(run, EDGES)
 
 
-def compare_blocks(left: list[tuple], right: list[tuple], similarity: float) -> list[tuple[int, int]]:
+def compare_blocks(left: list[tuple], right: list[tuple], similarity: float, parent: dict | None = None) -> list[tuple[int, int]]:
     """Edges between (node, component, words) of two blocks (or one, if right is left) that join different components.
 
     Sequences of n and m words with `common` words (with multiplicity) in common have a distance of max(n, m) - common at least.
+    Blocks of very long texts are compared in parts. parent: components joined so far.
     """
     rows = left if right is left else left + right
     if not left or not right:
         return []
+    parent = {} if parent is None else parent
+    if len(rows) > 2 and sum(len(r[2]) for r in rows) > 4 * AT_ONCE:
+        if right is left:
+            one, two = left[: len(left) // 2], left[len(left) // 2 :]
+            parts = [(one, one), (two, two), (one, two)]
+        elif len(left) >= len(right):
+            parts = [(left[: len(left) // 2], right), (left[len(left) // 2 :], right)]
+        else:
+            parts = [(left, right[: len(right) // 2]), (left, right[len(right) // 2 :])]
+        return [e for part in parts for e in compare_blocks(*part, similarity, parent)]
     each = [np.frombuffer(r[2], "<u4").astype(U) for r in rows]
     counts = np.array([len(x) for x in each])
     flat, doc = np.concatenate(each), np.repeat(np.arange(len(rows)), counts)
@@ -313,7 +347,6 @@ def compare_blocks(left: list[tuple], right: list[tuple], similarity: float) ->
         common += has[:n] @ has[second].T
     longer = np.maximum(counts[:n, None], counts[second][None])
     able = longer - common <= (1 - similarity) * longer + 1e-6
-    parent: dict = {}
 
     def root(x):
         while (p := parent.get(x, x)) != x:
@@ -377,22 +410,28 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     """A row for each document: key, content (xxhash64 of its text), class_id (the smallest key of its class), class_size, kept.
 
     A class is a component of the links. `kept` marks one row of each: the first of those with the smallest key. Texts that share their
-    words are copies; texts without words (empty, null: empty) are copies only of equal texts. Rows with a null key stay
-    in their class, whose class_id is null only if all keys are. An empty table gives an empty result.
+    words are copies; texts without words (empty, null: empty) are copies only of equal texts. Keys are whole numbers; rows with a null key stay
+    in their class, whose class_id is null only if all keys are. A very long text is read whole, in a batch of its own. Other columns are not read, whatever
+    their names. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     temporary: list[str] = []
     put = lambda df: written(df, spark, temporary)
     base = put(sketched(docs, key, text, number, length))
     reps = base.groupBy("digest").agg(F.min("node").alias("rep"))
-    # the words of a copy are those of its representative: one row for each digest
     nodes = put(base.select("node", "digest").join(dealt_anew(reps, "digest"), "digest").select("node", "rep"))
     firsts = base.join(nodes.where("node = rep").select("node"), "node", "left_semi")
-    exploded = firsts.select("node", F.explode("buckets").alias("bucket"))
-    shared = exploded.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = put(exploded.join(dealt_anew(shared, "bucket"), "bucket"))
-    wanted = members.select("node").distinct()
-    words = put(base.select("node", "words").join(wanted, "node", "left_semi"))
+    exploded = firsts.select("node", "n", F.explode("buckets").alias("bucket"))
+    shared = exploded.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
+    near = exploded.join(dealt_anew(shared, "bucket"), "bucket", "left_semi")
+    # texts whose lengths differ by more than links do have no length class in common: each is in its own and the next
+    own = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(similarity - 1e-6))).cast("int")
+    banded = put(near.select("node", F.explode(F.array(own, own + 1)).alias("band"), "bucket").select(F.xxhash64("bucket", "band").alias("bucket"), "node"))
+    hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").drop("last")
+    members = put(banded.join(dealt_anew(hubs, "bucket"), "bucket"))
+    wanted = base.join(members.select("node").distinct(), "node", "left_semi").select("node", "digest", F.coalesce("key", F.lit(0)).alias("k"))
+    # rows that repeat a digest and key repeat the words
+    words = put(worded(docs, key, text).join(wanted, ["digest", "k"]).dropDuplicates(["digest", "k"]).select("node", "words"))
     edges, label = [], None
     for _ in range(star_rounds):
         if label is None:
@@ -429,9 +468,12 @@ def _union(edges: list[DataFrame]) -> DataFrame:
 
 
 def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """One document of each class, with the columns of docs; rows are matched by key and content, of equal ones one stays."""
-    named = lambda k: [F.coalesce(k, F.lit(0)).alias("__key"), k.isNull().alias("__null")]
-    kept = near_classes(docs, key, text, **how).where("kept").select(*named(F.col(key)), F.col("content").alias("__content"))
-    rows = docs.select("*", *named(F.col(f"`{key}`").cast("long")), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("__content"))
-    by = ["__key", "__null", "__content"]
-    return rows.dropDuplicates(by).join(kept, by, "left_semi").drop(*by)
+    """One document of each class, with the columns of docs, whatever their names; rows are matched by key and content, of equal ones one stays.
+
+    Nulls, empty and very long texts and empty tables: as near_classes.
+    """
+    named = lambda k: [F.coalesce(k, F.lit(0)).alias("key"), k.isNull().alias("none")]
+    by = ["key", "none", "content"]
+    kept = near_classes(docs, key, text, **how).where("kept").select(*named(F.col(key)), "content")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *named(F.col(f"`{key}`").cast("long")), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("content"))
+    return rows.join(kept, by, "left_semi").dropDuplicates(by).select("row.*")

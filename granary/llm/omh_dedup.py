@@ -14,12 +14,14 @@ Order of work, so that no step makes pairs of a group:
 
 1.  `sketched`: one pass over the texts gives digests of words and buckets, written once. Texts with the same words are one
     node from here on; copies are never compared. A second pass (`worded`) fetches the words of nodes that share a bucket.
-2.  Buckets are parted by length, as links differ by a fifth of their words at most. Star rounds: each node is aligned with one hub, the smallest node of one of its buckets.
-3.  Buckets whose nodes lie in one component are done. In each other bucket the nodes outside its largest component are
-    aligned with all nodes of other components, block against block; a bound on the distance from
-    common words, computed for whole blocks by matrix products, rules out most of these. So a link between any two
-    candidates is either found or implied by found ones, and components are as if all candidates had been aligned. A bucket of n texts of like length of which none
-    is linked costs n * n / 2 comparisons by that bound, on as many tasks as it has pairs of blocks.
+2.  Buckets are parted by length, as links differ by a fifth of their words at most. Each node is aligned with one hub, the smallest node of one of its buckets.
+3.  Buckets whose nodes lie in one component are done. In the others every node is aligned with the bucket's hub, which tells
+    those near the hub (linked) from those so far from it that, by the triangle inequality, no near one can be linked to them.
+4.  What is left are the nodes of a bucket that are not near its hub, among each other, and those neither near nor far against the near ones. Block is
+    compared with block; a bound on the distance from common words, computed for whole blocks by matrix products, rules out most pairs, and the
+    nodes of the largest component are not compared with each other. So a link between any two
+    candidates is either found or implied by found ones, and components are as if all candidates had been aligned. A bucket with n texts of like length that
+    have no links costs n * n / 2 comparisons by that bound, on as many tasks as it has pairs of blocks.
 """
 
 from __future__ import annotations
@@ -40,8 +42,7 @@ SHINGLE, SKETCHES, LENGTH, SIMILARITY = 3, 80, 2, 0.8
 #: Links of fewer words (in the longer text) share a bucket for certain.
 SHORT = 64
 #: Nodes of a block, and nodes that one task aligns with a hub.
-BLOCK, HUB = 128, 192
-STAR_ROUNDS = 2
+BLOCK, HUB = 128, 96
 #: Words of two blocks that are compared at once.
 AT_ONCE = 400_000
 
@@ -282,8 +283,26 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(s, pa.int64()), pa.array(d, pa.int64())], ["src", "dst"])
 
 
-def verified_stars(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """Of distinct (node, hub) the edges that alignment confirms. A hub with many nodes is sent to several tasks."""
+NEAR, BETWEEN, FAR = 0, 1, 2
+
+
+def place(centre: list, words: list, similarity: float) -> int:
+    """NEAR if linked to the centre, FAR if linked to nothing that is near it.
+
+    What is near has 1 / similarity of the centre's words at most, and so has a bound on its distance from the centre, as has a
+    text linked to it on the distance between these two; beyond the sum of both there is no such text.
+    """
+    if similar(centre, words, similarity):
+        return NEAR
+    most = len(centre) / similarity
+    return BETWEEN if within(centre, words, int((1 - similarity) * (most + max(most, len(words)))) + 1) else FAR
+
+
+PLACED = "src long, dst long, place int"
+
+
+def placed(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """Distinct (node, hub) as src and dst with the node's place. A hub with many nodes is sent to several tasks."""
     hubs = pairs.groupBy("hub").agg(F.ceil(F.count("*") / HUB).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     spokes = pairs.join(dealt_anew(hubs, "hub"), "hub").select("hub", part.alias("part"), F.lit(1).alias("side"), "node")
@@ -298,12 +317,13 @@ def verified_stars(pairs: DataFrame, words: DataFrame, similarity: float) -> Dat
             for h, side, node, raw in zip(*(b.column(i).to_pylist() for i in (0, 2, 3, 4)), strict=True):
                 if side == 0:
                     hub, centre = h, _words(raw)
-                elif h == hub and similar(centre, _words(raw), similarity):
-                    out.append((node, h))
+                elif h == hub:
+                    out.append((node, h, place(centre, _words(raw), similarity)))
             if out:
-                yield _edges(out)
+                s, d, p = zip(*out, strict=True)
+                yield _batch(PLACED, pa.array(s, pa.int64()), pa.array(d, pa.int64()), pa.array(p, pa.int32()))
 
-    return order.mapInArrow(run, EDGES)
+    return order.mapInArrow(run, PLACED)
 
 
 def compare_blocks(left: list[tuple], right: list[tuple], similarity: float, parent: dict | None = None) -> list[tuple[int, int]]:
@@ -406,7 +426,7 @@ def verified_buckets(members: DataFrame, words: DataFrame, similarity: float) ->
     return order.mapInArrow(run, EDGES)
 
 
-def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, number: int = SKETCHES, length: int = LENGTH, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, number: int = SKETCHES, length: int = LENGTH) -> DataFrame:
     """A row for each document: key, content (xxhash64 of its text), class_id (the smallest key of its class), class_size, kept.
 
     A class is a component of the links. `kept` marks one row of each: the first of those with the smallest key. Texts that share their
@@ -432,25 +452,28 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     wanted = base.join(members.select("node").distinct(), "node", "left_semi").select("node", "digest", F.coalesce("key", F.lit(0)).alias("k"))
     # rows that repeat a digest and key repeat the words
     words = put(worded(docs, key, text).join(wanted, ["digest", "k"]).dropDuplicates(["digest", "k"]).select("node", "words"))
-    edges, label = [], None
-    for _ in range(star_rounds):
-        if label is None:
-            pairs = members.where("node <> hub").groupBy("node").agg(F.min("hub").alias("hub"))
-        else:
-            # a bucket's nodes outside its hub's component, each with one hub not met before
-            to = label.select(F.col("node").alias("hub"), F.col("component").alias("of_hub"))
-            mine = members.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            open_ = mine.join(to, "hub", "left").where(F.col("component") != F.coalesce("of_hub", "hub"))
-            pairs = open_.select("node", "hub").distinct().join(tried, ["node", "hub"], "left_anti").groupBy("node").agg(F.min("hub").alias("hub"))
-        pairs = put(pairs)
-        tried = pairs if label is None else tried.unionByName(pairs)
-        edges.append(put(verified_stars(pairs, words, similarity)))
-        label = put(components(_union(edges)))
-    mine = members.select("bucket", "node").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = mine.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("bucket")
-    left = put(mine.join(dealt_anew(mixed, "bucket"), "bucket", "left_semi"))
-    edges.append(put(verified_buckets(left, words, similarity)))
-    label = components(_union(edges))
+    met = put(placed(members.where("node <> hub").groupBy("node").agg(F.min("hub").alias("hub")), words, similarity))
+    label = put(components(met.where(F.col("place") == NEAR)))
+
+    def mixed() -> DataFrame:
+        """The members of buckets that have several components, with their component."""
+        mine = members.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        several = mine.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("bucket")
+        return mine.join(dealt_anew(several, "bucket"), "bucket", "left_semi")
+
+    open_ = mixed().where("node <> hub").select("node", "hub").distinct()
+    pairs = put(open_.join(met.select(F.col("src").alias("node"), F.col("dst").alias("hub")), ["node", "hub"], "left_anti"))
+    met = met.unionByName(put(placed(pairs, words, similarity)))
+    links = met.where(F.col("place") == NEAR).select("src", "dst")
+    label = put(components(links))
+    to_hub = met.select(F.col("src").alias("node"), F.col("dst").alias("hub"), "place")
+    left = put(mixed().join(to_hub, ["node", "hub"], "left").select("bucket", "node", "component", F.coalesce("place", F.lit(NEAR)).alias("place")))
+    between = left.where(F.col("place") == BETWEEN).select("bucket").distinct()
+    of = lambda df, k: df.select(F.xxhash64("bucket", F.lit(k)).alias("bucket"), "node", "component")
+    apart = of(left.where(F.col("place") != NEAR), 0)
+    beside = of(left.where(F.col("place") != FAR).join(dealt_anew(between, "bucket"), "bucket", "left_semi"), 1)
+    found = put(verified_buckets(put(apart.unionByName(beside)), words, similarity))
+    label = components(links.unionByName(found))
     # the classes of all rows
     classes = nodes.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("node", F.coalesce("component", "rep").alias("class"))
     rows = written(base.select("node", "key", "content").join(classes, "node"), spark)
@@ -460,13 +483,6 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     return out.select(F.col("key").alias(key), "content", F.col("first.key").alias("class_id"), "class_size", (F.col("node") == F.col("first.node")).alias("kept"))
 
 
-def _union(edges: list[DataFrame]) -> DataFrame:
-    out = edges[0]
-    for e in edges[1:]:
-        out = out.unionByName(e)
-    return out
-
-
 def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """One document of each class, with the columns of docs, whatever their names; rows are matched by key and content, of equal ones one stays.
 

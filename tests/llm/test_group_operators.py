@@ -103,6 +103,29 @@ def test_words_and_shingles_equal_plain_ones():
     assert len(set(found[-4:].tolist())) == 4  # repeats of a shingle are labelled
 
 
+def test_far_texts_have_no_link_to_near_ones():
+    r = random.Random(6)
+    seen = Counter()
+    for _ in range(400):
+        centre = [r.randrange(30) for _ in range(r.randint(4, 25))]
+
+        def changed(words, share):
+            out = list(words)
+            for _ in range(int(share * len(words))):
+                at = r.randrange(len(out) + 1)
+                out[at : at + r.randrange(2)] = [r.randrange(30)] * r.randrange(2)
+            return out
+
+        others = [changed(centre, r.random()) for _ in range(8)]
+        places = [omh_dedup.place(centre, x, 0.8) for x in others]
+        seen.update(places)
+        for x, p in zip(others, places, strict=True):
+            assert (p == omh_dedup.NEAR) == (distance(centre, x) <= int(0.2 * max(len(centre), len(x)) + 1e-9))
+            if p == omh_dedup.FAR:
+                assert not any(omh_dedup.similar(x, y) for y, q in zip(others, places, strict=True) if q == omh_dedup.NEAR)
+    assert min(seen.values()) > 100 and len(seen) == 3
+
+
 def brute_classes(texts):
     """Smallest index reachable by copies and edit similarity of at least 0.8."""
     words = [re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").lower()) for t in texts]
@@ -140,7 +163,7 @@ def test_near_classes_equal_brute_force(spark, monkeypatch):
     for block in (2, 256):  # small blocks: several for each bucket
         monkeypatch.setattr(omh_dedup, "BLOCK", block)
         monkeypatch.setattr(omh_dedup, "HUB", 4 * block)
-        out = omh_dedup.near_classes(d, star_rounds=1 if block == 2 else 2).collect()
+        out = omh_dedup.near_classes(d).collect()
         assert {r["doc_id"]: r["class_id"] for r in out} == dict(enumerate(want))
     sizes = Counter(want)
     assert all(r["class_size"] == sizes[r["class_id"]] and r["kept"] == (r["doc_id"] == r["class_id"]) for r in out)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -54,6 +55,13 @@ def removed(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def swept(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of steps that are over: it does so once the driver's JVM has collected what refers to them, which
+    a driver with memory to spare puts off for long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256, mb: float = 8) -> Iterator[pa.RecordBatch]:
     """Batches cut into slices of at most so many rows and about so many MB (one row at least)."""
     for b in batches:

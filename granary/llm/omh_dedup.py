@@ -12,8 +12,8 @@ machine operation for many cells (bit-parallel, after Hyyro 2003).
 
 Order of work, so that no step makes pairs of a group:
 
-1.  `sketched`: one pass over the texts gives digests of words and buckets, written once. Texts with the same words are one
-    node from here on; copies are never compared. A second pass (`worded`) fetches the words of nodes that share a bucket.
+1.  `sketched`: one pass over the texts gives digests of words and buckets, written once. Copies that a task meets are one
+    node from here on; those of several tasks share all buckets. A second pass (`worded`) fetches the words of nodes that share a bucket.
 2.  Buckets are parted by length, as links differ by a fifth of their words at most. Each node is aligned with one hub, the smallest node of one of its buckets.
 3.  Buckets whose nodes lie in one component are done. In the others every node is aligned with the bucket's hub, which tells
     those near the hub (linked) from those so far from it that, by the triangle inequality, no near one can be linked to them.
@@ -35,14 +35,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dealt_anew, removed, slices, written
+from .common import dealt_anew, removed, slices, swept, written
 from .components import components
 
 SHINGLE, SKETCHES, LENGTH, SIMILARITY = 3, 80, 2, 0.8
 #: Links of fewer words (in the longer text) share a bucket for certain.
 SHORT = 64
 #: Nodes of a block, and nodes that one task aligns with a hub.
-BLOCK, HUB = 128, 96
+BLOCK, HUB = 256, 96
+#: Digests that a task remembers to find copies among its own rows; others are found by their buckets.
+REMEMBERED = 200_000
 #: Words of two blocks that are compared at once.
 AT_ONCE = 400_000
 
@@ -214,7 +216,7 @@ def similar(a: list, b: list, similarity: float = SIMILARITY) -> bool:
     return within(a, b, int((1 - similarity) * longer + 1e-9))
 
 
-SKETCHED = "node long, key long, content long, digest binary, n int, buckets array<long>"
+SKETCHED = "node long, rep long, key long, content long, digest binary, n int, buckets array<long>"
 WORDED = "digest binary, k long, words binary"
 
 
@@ -244,15 +246,26 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def sketched(docs: DataFrame, key: str, text: str, number: int, length: int) -> DataFrame:
-    """A row for each document: node (a number of the row), key, content (a hash of the text), digest and number of the words, buckets."""
+    """A row for each document: node (a number of the row), rep (the node of its first copy in the task), key, content (a hash of the text), digest and number of the words, buckets (of first copies).
+
+    Texts without words have one bucket, of equal texts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, n = TaskContext.get().partitionId() << 33, 0
+        node, known = TaskContext.get().partitionId() << 33, {}
         for b, words, counts, digests in _hashed(batches):
-            buckets = [k.view(np.int64) for k in keyed(words, counts, number, length)]
-            nodes = base + n + np.arange(len(digests))
-            n += len(digests)
-            yield _batch(SKETCHED, pa.array(nodes), b.column(1), b.column(2), pa.array(digests, pa.binary()), pa.array(counts, pa.int32()), pa.array(buckets, pa.list_(pa.int64())))
+            reps, first = [], np.zeros(len(digests), bool)
+            for i, d in enumerate(digests):
+                if (rep := known.get(d)) is None:
+                    rep, first[i] = node + i, True
+                    if len(known) < REMEMBERED:
+                        known[d] = rep
+                reps.append(rep)
+            keys = iter(keyed(words[np.repeat(first, counts)], counts[first], number, length))
+            buckets = [k.view(np.int64) if f and len(k := next(keys)) else np.frombuffer(d[:8] if f else b"", np.int64) for f, d in zip(first.tolist(), digests, strict=True)]
+            nodes = np.arange(node, node + len(digests))
+            node += len(digests)
+            yield _batch(SKETCHED, pa.array(nodes), pa.array(reps, pa.int64()), b.column(1), b.column(2), pa.array(digests, pa.binary()), pa.array(counts, pa.int32()), pa.array(buckets, pa.list_(pa.int64())))
 
     return _texts(docs, key, text).mapInArrow(run, SKETCHED)
 
@@ -264,7 +277,7 @@ def worded(docs: DataFrame, key: str, text: str) -> DataFrame:
         for b, words, counts, digests in _hashed(batches):
             short = (words >> U(32)).astype("<u4")
             keys = b.column(1).fill_null(0).to_pylist()
-            first = list({row: i for i, row in reversed(list(enumerate(zip(digests, keys, strict=True)))) if counts[i]}.values())
+            first = list({row: i for i, row in reversed(list(enumerate(zip(digests, keys, strict=True))))}.values())
             ends = np.cumsum(counts)
             yield _batch(WORDED, pa.array([digests[i] for i in first], pa.binary()), pa.array([keys[i] for i in first], pa.int64()), pa.array([short[ends[i] - counts[i] : ends[i]].tobytes() for i in first], pa.binary()))
 
@@ -438,20 +451,20 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     temporary: list[str] = []
     put = lambda df: written(df, spark, temporary)
     base = put(sketched(docs, key, text, number, length))
-    reps = base.groupBy("digest").agg(F.min("node").alias("rep"))
-    nodes = put(base.select("node", "digest").join(dealt_anew(reps, "digest"), "digest").select("node", "rep"))
-    firsts = base.join(nodes.where("node = rep").select("node"), "node", "left_semi")
-    exploded = firsts.select("node", "n", F.explode("buckets").alias("bucket"))
+    exploded = base.where("node = rep").select("node", "n", F.explode("buckets").alias("bucket"))
     shared = exploded.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
     near = exploded.join(dealt_anew(shared, "bucket"), "bucket", "left_semi")
-    # texts whose lengths differ by more than links do have no length class in common: each is in its own and the next
-    own = F.floor(F.log(F.col("n").cast("double")) / float(-np.log(similarity - 1e-6))).cast("int")
-    banded = put(near.select("node", F.explode(F.array(own, own + 1)).alias("band"), "bucket").select(F.xxhash64("bucket", "band").alias("bucket"), "node"))
-    hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").drop("last")
-    members = put(banded.join(dealt_anew(hubs, "bucket"), "bucket"))
+    # each text is in its own length class and, as a guest, in the next; links lie in one class or in two neighbours
+    own = F.floor(F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")) / float(-np.log(similarity - 1e-6))).cast("int")
+    banded = near.select("node", F.explode(F.array(own, own + 1)).alias("band"), (F.col("band") == own).alias("home"), "bucket")
+    banded = put(banded.select(F.xxhash64("bucket", "band").alias("bucket"), "node", "home"))
+    hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.max("home").alias("home")).where("hub <> last and home")
+    members = put(banded.drop("home").join(dealt_anew(hubs.select("bucket", "hub"), "bucket"), "bucket"))
+    swept(spark)
     wanted = base.join(members.select("node").distinct(), "node", "left_semi").select("node", "digest", F.coalesce("key", F.lit(0)).alias("k"))
     # rows that repeat a digest and key repeat the words
-    words = put(worded(docs, key, text).join(wanted, ["digest", "k"]).dropDuplicates(["digest", "k"]).select("node", "words"))
+    words = put(worded(docs, key, text).join(wanted, ["digest", "k"]).dropDuplicates(["digest", "k", "node"]).select("node", "words"))
+    swept(spark)
     met = put(placed(members.where("node <> hub").groupBy("node").agg(F.min("hub").alias("hub")), words, similarity))
     label = put(components(met.where(F.col("place") == NEAR)))
 
@@ -467,16 +480,21 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     links = met.where(F.col("place") == NEAR).select("src", "dst")
     label = put(components(links))
     to_hub = met.select(F.col("src").alias("node"), F.col("dst").alias("hub"), "place")
-    left = put(mixed().join(to_hub, ["node", "hub"], "left").select("bucket", "node", "component", F.coalesce("place", F.lit(NEAR)).alias("place")))
-    between = left.where(F.col("place") == BETWEEN).select("bucket").distinct()
+    left = put(mixed().join(to_hub, ["node", "hub"], "left").select("bucket", "node", "component", F.when(F.col("node") == F.col("hub"), F.col("component")).alias("of_hub"), F.coalesce("place", F.lit(NEAR)).alias("place")))
+    counts = left.groupBy("bucket").agg(F.max("of_hub").alias("hub"), F.count_if(F.col("place") == FAR).alias("far"))
+    rows = left.drop("of_hub").join(dealt_anew(counts, "bucket"), "bucket")
+    between = rows.where((F.col("place") == BETWEEN) & (F.col("component") != F.col("hub"))).groupBy("bucket").agg(F.count("*").alias("between"))
+    rows = put(rows.join(dealt_anew(between, "bucket"), "bucket", "left").fillna(0, ["between"]))
     of = lambda df, k: df.select(F.xxhash64("bucket", F.lit(k)).alias("bucket"), "node", "component")
-    apart = of(left.where(F.col("place") != NEAR), 0)
-    beside = of(left.where(F.col("place") != FAR).join(dealt_anew(between, "bucket"), "bucket", "left_semi"), 1)
+    # a bucket with more between than far is compared as a whole
+    apart = of(rows.where((F.col("place") != NEAR) & ((F.col("between") == 0) | (F.col("far") > F.col("between")))), 0)
+    beside = of(rows.where((F.col("between") > 0) & ((F.col("place") != FAR) | (F.col("far") <= F.col("between")))), 1)
+    swept(spark)
     found = put(verified_buckets(put(apart.unionByName(beside)), words, similarity))
     label = components(links.unionByName(found))
+    swept(spark)
     # the classes of all rows
-    classes = nodes.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("node", F.coalesce("component", "rep").alias("class"))
-    rows = written(base.select("node", "key", "content").join(classes, "node"), spark)
+    rows = written(base.select("node", "rep", "key", "content").join(label.withColumnRenamed("node", "rep"), "rep", "left").select("node", "key", "content", F.coalesce("component", "rep").alias("class")), spark)
     removed(spark, temporary)  # rows is all that the result reads
     sums = rows.groupBy("class").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "node")).alias("first"), F.count("*").alias("class_size"))
     out = rows.join(dealt_anew(sums, "class"), "class")

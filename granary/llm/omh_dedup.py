@@ -42,7 +42,7 @@ SHINGLE, SKETCHES, LENGTH, SIMILARITY = 3, 80, 2, 0.8
 #: Links of fewer words (in the longer text) share a bucket for certain.
 SHORT = 64
 #: Nodes of a block, and nodes that one task aligns with a hub.
-BLOCK, HUB = 256, 96
+BLOCK, HUB = 512, 96
 #: Digests that a task remembers to find copies among its own rows; others are found by their buckets.
 REMEMBERED = 200_000
 #: Words of two blocks that are compared at once.
@@ -311,6 +311,13 @@ def place(centre: list, words: list, similarity: float) -> int:
     return BETWEEN if within(centre, words, int((1 - similarity) * (most + max(most, len(words)))) + 1) else FAR
 
 
+def forest(up: DataFrame, jumps: int = 3) -> DataFrame:
+    """(node, component) from (node, component: a smaller node): each goes up by 2 ** jumps steps, or to the root if that is nearer."""
+    for _ in range(jumps):
+        up = up.join(up.select(F.col("node").alias("component"), F.col("component").alias("next")), "component", "left").select("node", F.coalesce("next", "component").alias("component"))
+    return up
+
+
 PLACED = "src long, dst long, place int"
 
 
@@ -452,35 +459,38 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     put = lambda df: written(df, spark, temporary)
     base = put(sketched(docs, key, text, number, length))
     exploded = base.where("node = rep").select("node", "n", F.explode("buckets").alias("bucket"))
-    shared = exploded.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
-    near = exploded.join(dealt_anew(shared, "bucket"), "bucket", "left_semi")
-    # each text is in its own length class and, as a guest, in the next; links lie in one class or in two neighbours
-    own = F.floor(F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")) / float(-np.log(similarity - 1e-6))).cast("int")
-    banded = near.select("node", F.explode(F.array(own, own + 1)).alias("band"), (F.col("band") == own).alias("home"), "bucket")
-    banded = put(banded.select(F.xxhash64("bucket", "band").alias("bucket"), "node", "home"))
-    hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.max("home").alias("home")).where("hub <> last and home")
-    members = put(banded.drop("home").join(dealt_anew(hubs.select("bucket", "hub"), "bucket"), "bucket"))
-    swept(spark)
+    shared = exploded.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("first"), F.count("*").alias("c")).where("c > 1")
+    shared = shared.select("bucket", F.col("first.node").alias("hub"), F.col("first.n").alias("hub_n"))
+    members = put(exploded.join(dealt_anew(shared, "bucket"), "bucket"))
     wanted = base.join(members.select("node").distinct(), "node", "left_semi").select("node", "digest", F.coalesce("key", F.lit(0)).alias("k"))
     # rows that repeat a digest and key repeat the words
     words = put(worded(docs, key, text).join(wanted, ["digest", "k"]).dropDuplicates(["digest", "k", "node"]).select("node", "words"))
     swept(spark)
-    met = put(placed(members.where("node <> hub").groupBy("node").agg(F.min("hub").alias("hub")), words, similarity))
-    label = put(components(met.where(F.col("place") == NEAR)))
+    alike = F.least("n", "hub_n") >= similarity * F.greatest("n", "hub_n") - 1e-6
+    met = put(placed(members.where((F.col("node") != F.col("hub")) & alike).groupBy("node").agg(F.min("hub").alias("hub")), words, similarity))
+    label = put(forest(met.where(F.col("place") == NEAR).select(F.col("src").alias("node"), F.col("dst").alias("component"))))
 
-    def mixed() -> DataFrame:
-        """The members of buckets that have several components, with their component."""
-        mine = members.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    def mixed(rows: DataFrame) -> DataFrame:
+        """The rows of buckets that have several components, with their component."""
+        mine = rows.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
         several = mine.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("bucket")
         return mine.join(dealt_anew(several, "bucket"), "bucket", "left_semi")
 
-    open_ = mixed().where("node <> hub").select("node", "hub").distinct()
+    # each text is in its own length class and, as a guest, in the next; links lie in one class or in two neighbours
+    own = F.floor(F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")) / float(-np.log(similarity - 1e-6))).cast("int")
+    banded = mixed(members.select("bucket", "node", "n")).select("node", "component", F.explode(F.array(own, own + 1)).alias("band"), (F.col("band") == own).alias("home"), "bucket")
+    banded = put(banded.select(F.xxhash64("bucket", "band").alias("bucket"), "node", "component", "home"))
+    several = (F.min("component") != F.max("component")) & F.max("home")
+    hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), several.alias("several")).where("several").drop("several")
+    members = put(banded.select("bucket", "node").join(dealt_anew(hubs, "bucket"), "bucket"))
+    swept(spark)
+    open_ = members.where("node <> hub").select("node", "hub").distinct()
     pairs = put(open_.join(met.select(F.col("src").alias("node"), F.col("dst").alias("hub")), ["node", "hub"], "left_anti"))
     met = met.unionByName(put(placed(pairs, words, similarity)))
     links = met.where(F.col("place") == NEAR).select("src", "dst")
     label = put(components(links))
     to_hub = met.select(F.col("src").alias("node"), F.col("dst").alias("hub"), "place")
-    left = put(mixed().join(to_hub, ["node", "hub"], "left").select("bucket", "node", "component", F.when(F.col("node") == F.col("hub"), F.col("component")).alias("of_hub"), F.coalesce("place", F.lit(NEAR)).alias("place")))
+    left = put(mixed(members).join(to_hub, ["node", "hub"], "left").select("bucket", "node", "component", F.when(F.col("node") == F.col("hub"), F.col("component")).alias("of_hub"), F.coalesce("place", F.lit(NEAR)).alias("place")))
     counts = left.groupBy("bucket").agg(F.max("of_hub").alias("hub"), F.count_if(F.col("place") == FAR).alias("far"))
     rows = left.drop("of_hub").join(dealt_anew(counts, "bucket"), "bucket")
     between = rows.where((F.col("place") == BETWEEN) & (F.col("component") != F.col("hub"))).groupBy("bucket").agg(F.count("*").alias("between"))

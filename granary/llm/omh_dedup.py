@@ -42,7 +42,7 @@ SHINGLE, SKETCHES, LENGTH, SIMILARITY = 3, 80, 2, 0.8
 #: Links of fewer words (in the longer text) share a bucket for certain.
 SHORT = 64
 #: Nodes of a block, and nodes that one task aligns with a hub.
-BLOCK, HUB = 512, 96
+BLOCK, HUB = 1024, 96
 #: Digests that a task remembers to find copies among its own rows; others are found by their buckets.
 REMEMBERED = 200_000
 #: Words of two blocks that are compared at once.
@@ -318,6 +318,15 @@ def forest(up: DataFrame, jumps: int = 3) -> DataFrame:
     return up
 
 
+def merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """label (node, component) with components that links join put under the smallest of them, as far as `forest` reaches."""
+    end = lambda df, side, name: df.join(label.select(F.col("node").alias(side), F.col("component").alias(name)), side, "left").withColumn(name, F.coalesce(name, side))
+    both = end(end(links, "src", "a"), "dst", "b").where("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("component"))
+    up = forest(both.groupBy("node").agg(F.min("component").alias("component")))
+    moved = label.join(dealt_anew(up.select(F.col("node").alias("component"), F.col("component").alias("next")), "component"), "component", "left")
+    return moved.select("node", F.coalesce("next", "component").alias("component")).unionByName(up).groupBy("node").agg(F.min("component").alias("component"))
+
+
 PLACED = "src long, dst long, place int"
 
 
@@ -458,16 +467,14 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     temporary: list[str] = []
     put = lambda df: written(df, spark, temporary)
     base = put(sketched(docs, key, text, number, length))
-    exploded = base.where("node = rep").select("node", "n", F.explode("buckets").alias("bucket"))
-    shared = exploded.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("first"), F.count("*").alias("c")).where("c > 1")
-    shared = shared.select("bucket", F.col("first.node").alias("hub"), F.col("first.n").alias("hub_n"))
+    exploded = base.where("node = rep").select("node", F.explode("buckets").alias("bucket"))
+    shared = exploded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").drop("last")
     members = put(exploded.join(dealt_anew(shared, "bucket"), "bucket"))
     wanted = base.join(members.select("node").distinct(), "node", "left_semi").select("node", "digest", F.coalesce("key", F.lit(0)).alias("k"))
     # rows that repeat a digest and key repeat the words
     words = put(worded(docs, key, text).join(wanted, ["digest", "k"]).dropDuplicates(["digest", "k", "node"]).select("node", "words"))
     swept(spark)
-    alike = F.least("n", "hub_n") >= similarity * F.greatest("n", "hub_n") - 1e-6
-    met = put(placed(members.where((F.col("node") != F.col("hub")) & alike).groupBy("node").agg(F.min("hub").alias("hub")), words, similarity))
+    met = put(placed(members.where("node <> hub").groupBy("node").agg(F.min("hub").alias("hub")), words, similarity))
     label = put(forest(met.where(F.col("place") == NEAR).select(F.col("src").alias("node"), F.col("dst").alias("component"))))
 
     def mixed(rows: DataFrame) -> DataFrame:
@@ -478,7 +485,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
 
     # each text is in its own length class and, as a guest, in the next; links lie in one class or in two neighbours
     own = F.floor(F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")) / float(-np.log(similarity - 1e-6))).cast("int")
-    banded = mixed(members.select("bucket", "node", "n")).select("node", "component", F.explode(F.array(own, own + 1)).alias("band"), (F.col("band") == own).alias("home"), "bucket")
+    banded = mixed(members.select("bucket", "node")).join(base.select("node", "n"), "node").select("node", "component", F.explode(F.array(own, own + 1)).alias("band"), (F.col("band") == own).alias("home"), "bucket")
     banded = put(banded.select(F.xxhash64("bucket", "band").alias("bucket"), "node", "component", "home"))
     several = (F.min("component") != F.max("component")) & F.max("home")
     hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), several.alias("several")).where("several").drop("several")
@@ -488,7 +495,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     pairs = put(open_.join(met.select(F.col("src").alias("node"), F.col("dst").alias("hub")), ["node", "hub"], "left_anti"))
     met = met.unionByName(put(placed(pairs, words, similarity)))
     links = met.where(F.col("place") == NEAR).select("src", "dst")
-    label = put(components(links))
+    label = put(merged(label, links))
     to_hub = met.select(F.col("src").alias("node"), F.col("dst").alias("hub"), "place")
     left = put(mixed(members).join(to_hub, ["node", "hub"], "left").select("bucket", "node", "component", F.when(F.col("node") == F.col("hub"), F.col("component")).alias("of_hub"), F.coalesce("place", F.lit(NEAR)).alias("place")))
     counts = left.groupBy("bucket").agg(F.max("of_hub").alias("hub"), F.count_if(F.col("place") == FAR).alias("far"))

@@ -477,19 +477,18 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     met = put(placed(members.where("node <> hub").groupBy("node").agg(F.min("hub").alias("hub")), words, similarity))
     label = put(forest(met.where(F.col("place") == NEAR).select(F.col("src").alias("node"), F.col("dst").alias("component"))))
 
-    def mixed(rows: DataFrame) -> DataFrame:
-        """The rows of buckets that have several components, with their component."""
-        mine = rows.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        several = mine.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("bucket")
-        return mine.join(dealt_anew(several, "bucket"), "bucket", "left_semi")
-
+    # rows of buckets that have several components, with their component
+    several = lambda: (F.min("component") != F.max("component")).alias("several")
+    labelled = lambda rows: rows.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mine = labelled(members.select("bucket", "node"))
+    mixed = mine.groupBy("bucket").agg(several()).where("several").select("bucket")
+    mixed = mine.join(dealt_anew(mixed, "bucket"), "bucket", "left_semi")
     # each text is in its own length class and, as a guest, in the next; links lie in one class or in two neighbours
     own = F.floor(F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")) / float(-np.log(similarity - 1e-6))).cast("int")
-    banded = mixed(members.select("bucket", "node")).join(base.select("node", "n"), "node").select("node", "component", F.explode(F.array(own, own + 1)).alias("band"), (F.col("band") == own).alias("home"), "bucket")
+    banded = mixed.join(base.select("node", "n"), "node").select("node", "component", F.explode(F.array(own, own + 1)).alias("band"), (F.col("band") == own).alias("home"), "bucket")
     banded = put(banded.select(F.xxhash64("bucket", "band").alias("bucket"), "node", "component", "home"))
-    several = (F.min("component") != F.max("component")) & F.max("home")
-    hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), several.alias("several")).where("several").drop("several")
-    members = put(banded.select("bucket", "node").join(dealt_anew(hubs, "bucket"), "bucket"))
+    hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), several(), F.max("home").alias("home")).where("several and home")
+    members = put(banded.select("bucket", "node").join(dealt_anew(hubs.select("bucket", "hub"), "bucket"), "bucket"))
     swept(spark)
     open_ = members.where("node <> hub").select("node", "hub").distinct()
     pairs = put(open_.join(met.select(F.col("src").alias("node"), F.col("dst").alias("hub")), ["node", "hub"], "left_anti"))
@@ -497,8 +496,8 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     links = met.where(F.col("place") == NEAR).select("src", "dst")
     label = put(merged(label, links))
     to_hub = met.select(F.col("src").alias("node"), F.col("dst").alias("hub"), "place")
-    left = put(mixed(members).join(to_hub, ["node", "hub"], "left").select("bucket", "node", "component", F.when(F.col("node") == F.col("hub"), F.col("component")).alias("of_hub"), F.coalesce("place", F.lit(NEAR)).alias("place")))
-    counts = left.groupBy("bucket").agg(F.max("of_hub").alias("hub"), F.count_if(F.col("place") == FAR).alias("far"))
+    left = put(labelled(members).join(to_hub, ["node", "hub"], "left").select("bucket", "node", "component", F.when(F.col("node") == F.col("hub"), F.col("component")).alias("of_hub"), F.coalesce("place", F.lit(NEAR)).alias("place")))
+    counts = left.groupBy("bucket").agg(F.max("of_hub").alias("hub"), F.count_if(F.col("place") == FAR).alias("far"), several()).where("several").drop("several")
     rows = left.drop("of_hub").join(dealt_anew(counts, "bucket"), "bucket")
     between = rows.where((F.col("place") == BETWEEN) & (F.col("component") != F.col("hub"))).groupBy("bucket").agg(F.count("*").alias("between"))
     rows = put(rows.join(dealt_anew(between, "bucket"), "bucket", "left").fillna(0, ["between"]))

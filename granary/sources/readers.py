@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import collapse_white
@@ -97,6 +97,20 @@ def paths_of(spec: SourceSpec) -> list[str]:
     return list(dict.fromkeys(d if isinstance(d, list) else [d]))
 
 
+#: Files of a source whose numbers fit below the next source's; up to SENT of them are sent to every task.
+FILES, SENT = 1 << 20, 100_000
+
+
+def with_file_no(rows: DataFrame, path: Column, files: list[str]) -> DataFrame:
+    """rows with file_no, the place of their path among the source's files in order; the driver has the list from Spark's own listing."""
+    local = "^file:/+"  # Spark spells local paths with one slash or three
+    files = sorted({re.sub(local, "file:/", f) for f in files})
+    if len(files) > FILES:
+        raise ValueError(f"a source has at most {FILES} files, not {len(files)}")
+    numbers = rows.sparkSession.createDataFrame(list(zip(files, range(len(files)), strict=True)), "numbered_path string, file_no long")
+    return rows.join(F.broadcast(numbers) if len(files) <= SENT else numbers, F.regexp_replace(path, local, "file:/") == F.col("numbered_path")).drop("numbered_path")
+
+
 # -- JSON lines -----------------------------------------------------------------------------------
 
 
@@ -118,8 +132,7 @@ def numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").option("ignoreMissingFiles", "true").load(paths)
     lines = files.select("path", "content").mapInArrow(run, "source_file string, source_line long, value string")
-    names = files.select(F.col("path").alias("source_file")).withColumn("file_no", F.row_number().over(Window.orderBy("source_file")).cast("long"))
-    return lines.join(names, "source_file")
+    return with_file_no(lines, F.col("source_file"), [r["path"] for r in files.select("path").collect()])
 
 
 def local_jsonl(spark: SparkSession, spec: SourceSpec) -> DataFrame:
@@ -143,9 +156,9 @@ def parquet_table(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     col = lambda c: F.col(f"`{c}`").cast("string") if c in df.columns else F.lit(None).cast("string")
     others = [c for c in df.columns if c not in named]
     extra = F.create_map(*[x for c in others for x in (F.lit(c), F.col(f"`{c}`").cast("string"))]) if others else F.create_map()
-    # a row's place in its file is stable; so is the file's hash, which orders files of one source
-    seq = F.shiftrightunsigned(F.xxhash64("_metadata.file_path"), 45) * (1 << 32) + F.col("_metadata.row_index")
-    return df.select(F.coalesce(col(spec.id_field), F.lit("")).alias("raw_id"), F.coalesce(col(spec.text_field), F.lit("")).alias("text"), F.lit(spec.name).alias("source"), col(spec.url_field).alias("url"), col(spec.license_field).alias("license"), col("created_at").alias("created_at"), F.map_filter(extra.cast("map<string,string>"), lambda _, x: x.isNotNull()).alias("extra"), F.col("_metadata.file_path").alias("source_file"), (F.col("_metadata.row_index") + 1).alias("source_line"), seq.alias("seq"))
+    path, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    made = df.select(F.coalesce(col(spec.id_field), F.lit("")).alias("raw_id"), F.coalesce(col(spec.text_field), F.lit("")).alias("text"), F.lit(spec.name).alias("source"), col(spec.url_field).alias("url"), col(spec.license_field).alias("license"), col("created_at").alias("created_at"), F.map_filter(extra.cast("map<string,string>"), lambda _, x: x.isNotNull()).alias("extra"), path.alias("source_file"), (row + 1).alias("source_line"))
+    return with_file_no(made, F.col("source_file"), df.inputFiles()).withColumn("seq", F.col("file_no") * (1 << 32) + F.col("source_line") - 1).drop("file_no")
 
 
 # -- PDF -----------------------------------------------------------------------------------------
@@ -159,7 +172,7 @@ def register_extractor(name: str, extract: Callable[[bytes], tuple[dict[str, str
 
 
 def fixed_size_chunks(text: str, size: int, overlap: int) -> list[str]:
-    """Windows that end at a space or line feed where their last tenth has one."""
+    """Windows that end behind the last space or line feed of their last tenth, where it has one."""
     if size <= 0 or len(text) <= size:
         return [text]
     if not 0 <= overlap < 0.9 * size:
@@ -170,7 +183,7 @@ def fixed_size_chunks(text: str, size: int, overlap: int) -> list[str]:
         if end < len(text):
             floor = at + int(size * 0.9)
             cut = max(text.rfind(" ", at, end), text.rfind("\n", at, end))
-            end = cut if cut > floor else end
+            end = cut + 1 if cut > floor else end
         out.append(text[at:end])
         if end >= len(text):
             break
@@ -213,7 +226,8 @@ def pdf_units(spark: SparkSession, spec: SourceSpec) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["raw_id", "text", "unit", "no", "metadata", "path", "error"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.pdf").load(paths_of(spec))
-    return files.select("path", "content").mapInArrow(run, PDF_UNITS)
+    units = files.select("path", "content").mapInArrow(run, PDF_UNITS)
+    return with_file_no(units, F.col("path"), [r["path"] for r in files.select("path").collect()])
 
 
 def _without(entries: Column, key: str) -> Column:
@@ -232,7 +246,7 @@ def pdf(spark: SparkSession, spec: SourceSpec) -> DataFrame:
         for target, origin in (s.get("metadata_mapping") or {}).items():
             extra = F.when(fits & F.map_contains_key("metadata", origin), F.map_concat(_without(extra, target), F.create_map(F.lit(target), F.col("metadata")[origin]))).otherwise(extra)
         license = F.coalesce(F.when(fits, F.lit(s.get("default_license"))), license)
-    seq = F.shiftrightunsigned(F.xxhash64("path"), 45) * (1 << 32) + F.col("no")
+    seq = F.col("file_no") * (1 << 32) + F.col("no")
     return u.select("raw_id", body.alias("text"), F.lit(spec.name).alias("source"), url.alias("url"), license.cast("string").alias("license"), F.lit(None).cast("string").alias("created_at"), extra.alias("extra"), F.col("path").alias("source_file"), F.lit(None).cast("long").alias("source_line"), seq.alias("seq"))
 
 

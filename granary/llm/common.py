@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -20,10 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A new folder's URI below spark.checkpoint.dir, which driver and executors share.
 
-    Only where the setting is absent (tests in local mode) a folder of this machine is set.
+    Only where the setting is absent in local mode (tests) a folder of this machine is set; a cluster has to name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
         base = f"file:///tmp/granary-checkpoints-{os.getuid()}"
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:

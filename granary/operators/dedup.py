@@ -6,6 +6,8 @@ shuffled; first occurrences are aggregated before they move, so a key with very
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -191,8 +193,12 @@ def buckets_of_edges(edges: DataFrame) -> DataFrame:
 
 
 def _checkpointing(spark) -> None:
+    """Checkpoints go to the session's shared folder; only in local mode (tests) may one of this machine stand in."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/granary-checkpoints")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(folder or f"file:///tmp/granary-checkpoints-{os.getuid()}")
 
 
 def global_decisions(docs: DataFrame, simhash: bool = True, minhash: bool = True, chunk: bool = True, distance: int = SIMHASH_DISTANCE, threshold: float = MINHASH_THRESHOLD, limit: int | None = None) -> DataFrame:

@@ -75,26 +75,40 @@ def simhash(c: Column, ascii_words: bool = False, limit: int | None = SIMHASH_WO
     return run(c)
 
 
-def minhash(c: Column, n: int = 5, permutations: int = 128) -> Column:
-    """MinHash of a text's character n-grams, side by side (a shorter text is one gram); null for null."""
+def gram_hashes(text: str, n: int = 5) -> np.ndarray:
+    """64-bit hashes of a text's distinct n-grams, side by side; a text shorter than n is one gram."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    grams = points[: len(points) // n * n].reshape(-1, n) if len(points) >= n else points[None, :]
+    h = np.full(len(grams), grams.shape[1] + 1, np.uint64)
+    for j in range(grams.shape[1]):
+        h = (h ^ grams[:, j]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return np.unique(h)
+
+
+def minhash_rows(permutations: int = 128) -> tuple[np.ndarray, np.ndarray]:
+    """Factors (odd) and summands of the permutations h -> h * a + b modulo 2 ** 64."""
     rng = np.random.default_rng(1)
-    prime = np.uint64((1 << 31) - 1)
-    a = rng.integers(1, int(prime), permutations, dtype=np.uint64)
-    b = rng.integers(0, int(prime), permutations, dtype=np.uint64)
+    a = rng.integers(0, 1 << 64, permutations, dtype=np.uint64) | np.uint64(1)
+    return a, rng.integers(0, 1 << 64, permutations, dtype=np.uint64)
+
+
+def minhash(c: Column, n: int = 5, permutations: int = 128) -> Column:
+    """MinHash of a text's character n-grams, side by side (a shorter text is one gram); null for null. Values have 63 bits."""
+    a, b = minhash_rows(permutations)
 
     @F.arrow_udf(ArrayType(LongType()))
     def run(texts: pa.Array) -> pa.Array:
         def one(t: str | None):
             if t is None:
                 return None
-            grams = {t[i : i + n] for i in range(0, len(t) - n + 1, n)} or {t}
-            h = np.array([int.from_bytes(hashlib.blake2b(g.encode(), digest_size=4).digest(), "little") for g in grams], np.uint64) % prime
-            least = np.full(permutations, prime, np.uint64)
+            h = gram_hashes(t, n)
+            least = np.full(permutations, np.iinfo(np.uint64).max, np.uint64)
             for s in range(0, len(h), 1024):
-                least = np.minimum(least, ((h[s : s + 1024, None] * a + b) % prime).min(0))
-            return least.astype(np.int64)
+                least = np.minimum(least, (h[s : s + 1024, None] * a + b).min(0))
+            return (least >> np.uint64(1)).astype(np.int64)
 
-        return pa.array([one(t) for t in texts.to_pylist()], pa.list_(pa.int64()))
+        return pa.array([one(t.as_py()) for t in texts], pa.list_(pa.int64()))
 
     return run(c)
 

@@ -7,6 +7,7 @@ shuffled; first occurrences are aggregated before they move, so a key with very
 from __future__ import annotations
 
 import os
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,28 +35,44 @@ def exact_dedup(df: DataFrame, idx: int, store: DataFrame | None = None) -> Data
     # behind a shuffle of its own, so that the join can split a digest that very many rows have
     df = df.join(first.repartition(F.xxhash64("__h")), F.when(alive(), F.col("doc_id")) == F.col("__h"), "left")
     reason = F.when(F.col("seq") != F.col("__first"), "DUP_EXACT")
-    return marked(rejecting(df, "exact_dedup", idx, reason), "exact_dedup_v1").drop("__h", "__first")
+    return marked(rejecting(df, "exact_dedup", idx, reason, F.lit("duplicate content hash")), "exact_dedup_v1").drop("__h", "__first")
 
 
 # -- SimHash --------------------------------------------------------------------------------------
 
 
-def hamming_pairs(signatures: DataFrame, sig: str = "sig", bits: int = hashing.SIMHASH_BITS, distance: int = SIMHASH_DISTANCE) -> DataFrame:
+def _dealt_anew(grouped: DataFrame, *keys: str) -> DataFrame:
+    """An aggregate's rows behind a shuffle of their own, so that a join on its keys can split those that very many rows of the other side have."""
+    return grouped.repartition(F.xxhash64(*keys))
+
+
+def hamming_pairs(signatures: DataFrame, sig: str = "sig", bits: int = hashing.SIMHASH_BITS, distance: int = SIMHASH_DISTANCE, known: DataFrame | None = None) -> DataFrame:
     """(a, b, distance), a < b, for all pairs of distinct signatures within the distance.
 
-    Two signatures that differ in at most k bits agree in one of k + 1 blocks (pigeonhole; Manku et al. 2007), so an
-    equi-join on blocks finds them; a pair is taken from the first block it agrees in. Copies of a signature are
-    one row here: join the result with the members of each signature.
+    With known (the same column), a is one of signatures and b one of known, equal ones included; pairs within either table are not formed.
+
+    Two signatures that differ in at most k of k + 3 blocks agree in three of them (pigeonhole; Manku et al. 2007), so an
+    equi-join on every choice of three blocks (half of the bits at k = 3) finds them; a pair is taken from the first
+    choice it agrees in. Copies of a signature are one row here: join the result with the members of each signature.
     """
-    n = distance + 1
+    n = distance + 3
     edges = [bits * i // n for i in range(n + 1)]
-    part = lambda c, i: F.shiftrightunsigned(c, edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1))
-    s = signatures.select(F.col(sig).alias("s")).where("s is not null").distinct()
-    keyed = s.select("s", F.explode(F.array(*[F.struct(F.lit(i).alias("block"), part(F.col("s"), i).alias("value")) for i in range(n)])).alias("k")).select("s", "k.*")
-    a, b = keyed.withColumnRenamed("s", "a"), keyed.withColumnRenamed("s", "b")
-    first = F.coalesce(*[F.when(part(F.col("a"), i) == part(F.col("b"), i), F.lit(i)) for i in range(n)])
+    choices = list(combinations(range(n), 3))
+    masks = [sum((1 << edges[i + 1]) - (1 << edges[i]) for i in c) for c in choices]
+    part = lambda c, i: c.bitwiseAND(F.lit(masks[i]))
+
+    def keyed(t: DataFrame, name: str) -> DataFrame:
+        # written once: signatures are dear, and each choice reads them
+        s = t.select(F.col(sig).alias(name)).distinct().checkpoint().where(F.col(name).isNotNull())
+        return s.select(name, F.posexplode(F.array(*[part(F.col(name), i) for i in range(len(choices))])).alias("choice", "value"))
+
+    _checkpointing(signatures.sparkSession)
+    a = keyed(signatures, "a")
+    b = a.withColumnRenamed("a", "b") if known is None else keyed(known, "b")
+    first = F.coalesce(*[F.when(part(F.col("a"), i) == part(F.col("b"), i), F.lit(i)) for i in range(len(choices))])
     d = hashing.hamming(F.col("a"), F.col("b"))
-    return a.join(b, ["block", "value"]).where((F.col("a") < F.col("b")) & (d <= distance) & (F.col("block") == first)).select("a", "b", d.alias("distance"))
+    order = F.col("a") < F.col("b") if known is None else F.lit(True)
+    return a.join(b, ["choice", "value"]).where(order & (d <= distance) & (F.col("choice") == first)).select("a", "b", d.alias("distance"))
 
 
 def simhash_buckets(docs: DataFrame, distance: int = SIMHASH_DISTANCE) -> DataFrame:
@@ -63,7 +80,8 @@ def simhash_buckets(docs: DataFrame, distance: int = SIMHASH_DISTANCE) -> DataFr
 
     A set is the documents of one signature, or those of two near ones.
     """
-    members = docs.where("sig is not null").select("sig", "seq")
+    _checkpointing(docs.sparkSession)
+    members = docs.select("sig", "seq").checkpoint().where("sig is not null")
     pairs = hamming_pairs(members.select("sig"), distance=distance).select("a", "b")
     sides = pairs.select(F.col("a").alias("sig"), F.struct("a", "b").alias("set")).unionByName(pairs.select(F.col("b").alias("sig"), F.struct("a", "b").alias("set")))
     own = members.select("seq", F.xxhash64(F.lit("simhash"), "sig", "sig").alias("bucket"))
@@ -76,23 +94,28 @@ def simhash_buckets(docs: DataFrame, distance: int = SIMHASH_DISTANCE) -> DataFr
 def minhash_bands(docs: DataFrame, threshold: float = MINHASH_THRESHOLD, ngram: int = MINHASH_NGRAM, permutations: int = MINHASH_PERMUTATIONS, id: str = "seq") -> DataFrame:
     """(id, band, hash) of each document's signature."""
     number, rows = hashing.bands(threshold, permutations)
-    s = docs.select(F.col(id), hashing.minhash(F.col("text"), ngram, permutations).alias("__s")).where("__s is not null")
+    # not filtered by the signature, which would be computed twice
+    s = docs.where("text is not null").select(F.col(id), hashing.minhash(F.col("text"), ngram, permutations).alias("__s"))
     return s.select(id, F.posexplode(hashing.band_hashes(F.col("__s"), number, rows)).alias("band", "hash"))
 
 
 def minhash_hits(bands: DataFrame, store: DataFrame | None = None) -> DataFrame:
     """(seq, first): documents that share a band with an earlier one (or with the store: first is -1) and the earliest such."""
+    _checkpointing(bands.sparkSession)
+    bands = bands.checkpoint()
     first = bands.groupBy("band", "hash").agg(F.min("seq").alias("first"))
     if store is not None:
         known = store.select("band", "hash").distinct().withColumn("known", F.lit(True))
         first = first.join(known, ["band", "hash"], "left").withColumn("first", F.when(F.col("known"), F.lit(-1)).otherwise(F.col("first"))).drop("known")
-    return bands.join(first, ["band", "hash"]).where("seq > first").groupBy("seq").agg(F.min("first").alias("first"))
+    return bands.join(_dealt_anew(first, "band", "hash"), ["band", "hash"]).where("seq > first").groupBy("seq").agg(F.min("first").alias("first"))
 
 
 def minhash_pairs(bands: DataFrame) -> DataFrame:
     """(a, b), a < b, of each bucket's first document with the others: candidates, unverified."""
+    _checkpointing(bands.sparkSession)
+    bands = bands.checkpoint()
     first = bands.groupBy("band", "hash").agg(F.min("seq").alias("a"))
-    return bands.join(first, ["band", "hash"]).where("seq > a").select("a", F.col("seq").alias("b")).distinct()
+    return bands.join(_dealt_anew(first, "band", "hash"), ["band", "hash"]).where("seq > a").select("a", F.col("seq").alias("b")).distinct()
 
 
 def near_dup_minhash(df: DataFrame, idx: int, threshold: float = MINHASH_THRESHOLD, hard_reject: bool = False, store: DataFrame | None = None) -> DataFrame:
@@ -119,10 +142,12 @@ def chunk_hashes(docs: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_O
 
 def chunk_links(hashes: DataFrame, store: DataFrame | None = None) -> DataFrame:
     """(seq, links): how many of a document's chunks an earlier document, or the store, has. Repeats within one document do not count."""
+    _checkpointing(hashes.sparkSession)
+    hashes = hashes.checkpoint()
     first = hashes.groupBy("hash").agg(F.min("seq").alias("first"))
     if store is not None:
         first = first.join(store.select("hash").distinct().withColumn("known", F.lit(True)), "hash", "left").withColumn("first", F.when(F.col("known"), F.lit(-1)).otherwise(F.col("first"))).drop("known")
-    return hashes.join(first, "hash").where("seq > first").groupBy("seq").agg(F.count("*").alias("links"))
+    return hashes.join(_dealt_anew(first, "hash"), "hash").where("seq > first").groupBy("seq").agg(F.count("*").alias("links"))
 
 
 # -- priority -------------------------------------------------------------------------------------
@@ -158,31 +183,27 @@ def keep_incoming(incoming: Column, best_type: Column | None, best_source: Colum
 # -- greedy decisions ------------------------------------------------------------------------------
 
 
-def greedy_keep(nodes: DataFrame, members: DataFrame, rounds: int = 500) -> DataFrame:
+def greedy_keep(nodes: DataFrame, members: DataFrame) -> DataFrame:
     """(seq, keep): a node stays exactly if no earlier node that stays shares a bucket (seq, bucket) with it.
 
     The set is that of a sequential pass, found in rounds (Blelloch et al. 2012): undecided nodes that are the first in all of
     their buckets stay, all others in those buckets go. Buckets are only aggregated, so a bucket that a third of all nodes
-    share costs no pairs. Each round is checkpointed in the folder of spark.checkpoint.dir.
+    share costs no pairs. Each round is checkpointed in the folder of spark.checkpoint.dir. A round decides the first open
+    node at least, so the rounds end; a chain of near copies takes half as many rounds as its links.
     """
     spark = nodes.sparkSession
     _checkpointing(spark)
     gone = spark.createDataFrame([], "seq long")
     shared = members.groupBy("bucket").agg(F.countDistinct("seq").alias("n")).where("n > 1").select("bucket")
     open_ = members.join(shared, "bucket", "left_semi").select("seq", "bucket").distinct().checkpoint()
-    for _ in range(rounds):
-        if open_.isEmpty():
-            break
-        first = open_.groupBy("bucket").agg(F.min("seq").alias("first"))
+    while not open_.isEmpty():
+        first = _dealt_anew(open_.groupBy("bucket").agg(F.min("seq").alias("first")), "bucket").checkpoint()
         seen = open_.join(first, "bucket")
-        stay = seen.groupBy("seq").agg(F.bool_and(F.col("seq") == F.col("first")).alias("stays")).where("stays").select("seq")
+        stay = seen.groupBy("seq").agg(F.bool_and(F.col("seq") == F.col("first")).alias("stays")).where("stays").select("seq").checkpoint()
         closed = first.join(stay.withColumnRenamed("seq", "first"), "first", "left_semi").select("bucket", "first")
         dropped = open_.join(closed, "bucket").where("seq <> first").select("seq").distinct().checkpoint()
         gone = gone.unionByName(dropped)
-        decided = dropped.unionByName(stay)
-        open_ = open_.join(decided, "seq", "left_anti").checkpoint()
-    else:
-        raise RuntimeError("greedy decisions did not settle")
+        open_ = open_.join(dropped.unionByName(stay), "seq", "left_anti").checkpoint()
     return nodes.select("seq").distinct().join(gone.withColumn("__gone", F.lit(True)), "seq", "left").select("seq", F.col("__gone").isNull().alias("keep"))
 
 
@@ -201,10 +222,10 @@ def _checkpointing(spark) -> None:
         spark.sparkContext.setCheckpointDir(folder or f"file:///tmp/granary-checkpoints-{os.getuid()}")
 
 
-def global_decisions(docs: DataFrame, simhash: bool = True, minhash: bool = True, chunk: bool = True, distance: int = SIMHASH_DISTANCE, threshold: float = MINHASH_THRESHOLD, limit: int | None = None) -> DataFrame:
+def global_decisions(docs: DataFrame, simhash: bool = True, minhash: bool = True, chunk: bool = True, distance: int = SIMHASH_DISTANCE, threshold: float = MINHASH_THRESHOLD, limit: int | None = None, known_chunks: DataFrame | None = None) -> DataFrame:
     """(seq, action, match_type, links) of documents (seq, text): drop, keep_link (chunks shared) or keep.
 
-    A document is dropped if an earlier kept one matches by SimHash, else by MinHash; chunks shared with kept ones only link.
+    A document is dropped if an earlier kept one matches by SimHash, else by MinHash; chunks shared with kept ones, or with known_chunks (hash), only link.
     SimHash signs whole texts; `limit` takes so many words of each (the reference: hashing.SIMHASH_WORDS).
     """
     spark = docs.sparkSession
@@ -220,11 +241,11 @@ def global_decisions(docs: DataFrame, simhash: bool = True, minhash: bool = True
     keep = greedy_keep(docs.select("seq"), members.select("seq", "bucket")).checkpoint()
     kept = keep.where("keep").select("seq")
     # a bucket has one kept node at most
-    held = members.join(kept, "seq", "left_semi").groupBy("bucket").agg(F.min("seq").alias("kept"))
+    held = _dealt_anew(members.join(kept, "seq", "left_semi").groupBy("bucket").agg(F.min("seq").alias("kept")), "bucket")
     by = members.join(held, "bucket").where("seq > kept").groupBy("seq").agg(F.max("kind").alias("match_type"))
     out = keep.join(by, "seq", "left")
     if chunk:
-        links = chunk_links(chunk_hashes(docs.join(kept, "seq", "left_semi")))
+        links = chunk_links(chunk_hashes(docs.join(kept, "seq", "left_semi")), known_chunks)
         out = out.join(links, "seq", "left")
     else:
         out = out.withColumn("links", F.lit(0).cast("long"))
@@ -234,9 +255,23 @@ def global_decisions(docs: DataFrame, simhash: bool = True, minhash: bool = True
     return out.select("seq", action.alias("action"), match.alias("match_type"), links.cast("long").alias("links"))
 
 
-def global_dedup(df: DataFrame, idx: int, **how) -> DataFrame:
-    """The stage: dropped documents are rejected as DUP_GLOBAL, kept ones marked with their links."""
-    d = global_decisions(df.where(alive()).select("seq", "text"), **how).select("seq", F.col("action").alias("__a"), F.col("match_type").alias("__m"), F.col("links").alias("__l"))
+def global_dedup(df: DataFrame, idx: int, store: FingerprintStore | None = None, types: tuple[list[str], dict[str, str]] | None = None, sources: list[str] | None = None, **how) -> DataFrame:
+    """The stage: dropped documents are rejected as DUP_GLOBAL, kept ones marked with their links.
+
+    store: documents that match those of earlier runs go first, unless their source's type or source has a strictly better
+    priority than all they match; the others are then decided among themselves, in their order (a run's sources come in
+    the order of priority, so that no later document outranks an earlier one).
+    """
+    live = df.where(alive()).select("seq", "source", "text")
+    if store is None:
+        d = global_decisions(live, **how)
+    else:
+        _checkpointing(df.sparkSession)
+        earlier = store.decide(live, types, sources).checkpoint()
+        gone = earlier.where(~F.col("keep"))
+        d = global_decisions(live.join(gone, "seq", "left_anti"), known_chunks=store.read("chunks"), **how)
+        d = d.unionByName(gone.select("seq", F.lit("drop").alias("action"), "match_type", F.lit(0).cast("long").alias("links")))
+    d = d.select("seq", F.col("action").alias("__a"), F.col("match_type").alias("__m"), F.col("links").alias("__l"))
     df = df.join(d, "seq", "left")
     df = rejecting(df, "global_dedup", idx, F.when(F.col("__a") == "drop", "DUP_GLOBAL"), F.col("__m"))
     marker = F.when(F.col("__a") == "keep_link", F.concat(F.lit("global_dedup_keep_link_chunks="), F.col("__l"), F.lit("_v1"))).otherwise("global_dedup_kept_v1")
@@ -247,17 +282,20 @@ def global_dedup(df: DataFrame, idx: int, **how) -> DataFrame:
 
 
 class FingerprintStore:
-    """Fingerprints of kept documents as Parquet tables below a folder, partitioned by version; append-only, so several runs share one."""
+    """Fingerprints of kept documents as Parquet tables below a folder, partitioned by version and run; runs only replace rows of their own, so several share one."""
 
     TABLES = ("exact", "simhash", "minhash", "chunks")
 
-    def __init__(self, spark, path: str, version: str = "v1"):
+    def __init__(self, spark, path: str, version: str = "v1", run: str | None = None):
+        """run: whose rows add() replaces and read() leaves out, so that a run can be repeated without meeting its own documents."""
         self.spark, self.path, self.version = spark, path.rstrip("/"), version
+        self.run = f"run-{run or ''}"
 
     def read(self, table: str) -> DataFrame | None:
-        """This version's rows; None before the first append."""
+        """This version's rows, without those of this run if it has a name; None before the first append."""
         try:
-            return self.spark.read.parquet(f"{self.path}/{table}").where(F.col("fingerprint_version") == self.version)
+            rows = self.spark.read.parquet(f"{self.path}/{table}").where(F.col("fingerprint_version") == self.version)
+            return rows if self.run == "run-" else rows.where(F.col("run") != self.run)
         except Exception as e:
             if "PATH_NOT_FOUND" in str(e):
                 return None
@@ -266,7 +304,9 @@ class FingerprintStore:
     def append(self, table: str, rows: DataFrame) -> None:
         if table not in self.TABLES:
             raise ValueError(f"unknown table {table}; there are {', '.join(self.TABLES)}")
-        rows.withColumn("fingerprint_version", F.lit(self.version)).write.mode("append").partitionBy("fingerprint_version").parquet(f"{self.path}/{table}")
+        out = rows.withColumns({"fingerprint_version": F.lit(self.version), "run": F.lit(self.run)}).write.partitionBy("fingerprint_version", "run")
+        out = out.mode("append") if self.run == "run-" else out.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        out.parquet(f"{self.path}/{table}")
 
     def add(self, docs: DataFrame, source: str = "source") -> None:
         """Appends all fingerprints of documents (seq, doc_id, text, source)."""
@@ -281,11 +321,12 @@ class FingerprintStore:
         found = self.spark.createDataFrame([], "seq long, match_type string, existing_source string")
         sim, mini = self.read("simhash"), self.read("minhash")
         if sim is not None:
-            mine = docs.select("seq", hashing.simhash(F.col("text")).alias("sig")).where("sig is not null")
-            pairs = hamming_pairs(mine.select("sig").unionByName(sim.select("sig")), distance=distance)
-            either = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(mine.select(F.col("sig").alias("a"), F.col("sig").alias("b")).distinct())
+            _checkpointing(self.spark)
+            mine = docs.select("seq", hashing.simhash(F.col("text")).alias("sig")).checkpoint().where("sig is not null")
+            pairs = hamming_pairs(mine.select("sig"), distance=distance, known=sim.select("sig")).select("a", "b")
             known = sim.select(F.col("sig").alias("b"), "source").distinct()
-            found = found.unionByName(either.join(mine.withColumnRenamed("sig", "a"), "a").join(known, "b").select("seq", F.lit("simhash").alias("match_type"), F.col("source").alias("existing_source")).distinct())
+            near = pairs.join(known, "b").select(F.col("a").alias("sig"), "source").distinct()
+            found = found.unionByName(mine.join(near, "sig").select("seq", F.lit("simhash").alias("match_type"), F.col("source").alias("existing_source")).distinct())
         if mini is not None:
             known = mini.select("band", "hash", "source").distinct()
             found = found.unionByName(minhash_bands(docs).join(known, ["band", "hash"]).select("seq", F.lit("minhash").alias("match_type"), F.col("source").alias("existing_source")).distinct())

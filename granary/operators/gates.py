@@ -6,8 +6,10 @@ detail) set by the first stage that rejected them; a null rejection means that t
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,7 +102,9 @@ def rejection_category(code: Column) -> Column:
 
 
 def license_gate(df: DataFrame, idx: int, policy: LicensePolicy = LicensePolicy()) -> DataFrame:
-    return marked(rejecting(df, "license_gate", idx, license_reason(F.col("license"), policy)), "license_gate_v1")
+    license = F.col("license")
+    detail = F.when(license.isNull(), "missing license metadata").otherwise(F.concat(F.lit("license="), license))
+    return marked(rejecting(df, "license_gate", idx, license_reason(license, policy), detail), "license_gate_v1")
 
 
 def sanitize(df: DataFrame, idx: int) -> DataFrame:
@@ -141,7 +145,7 @@ def pii_gate(df: DataFrame, idx: int, drop: bool = True) -> DataFrame:
     """The older gate: e-mail addresses only, dropped or flagged."""
     hit = pii.has(F.col("text"), "email")
     if drop:
-        return marked(rejecting(df, "pii_gate", idx, F.when(hit, "PII_EMAIL")), "pii_gate_v1")
+        return marked(rejecting(df, "pii_gate", idx, F.when(hit, "PII_EMAIL"), F.lit("email detected")), "pii_gate_v1")
     return marked(changed(df, pii_flag=hit, pii_types=F.when(hit, F.array(F.lit("email"))).otherwise(F.array().cast("array<string>"))), "pii_gate_v1")
 
 
@@ -150,7 +154,9 @@ def quality_gate(df: DataFrame, idx: int, policy: QualityPolicy = QualityPolicy(
     t = F.col("text")
     df = changed(df, chars=F.length(t).cast("long"), bytes_utf8=F.octet_length(t).cast("long"))
     df = df.withColumn("entropy", F.coalesce(text.char_entropy(F.when(alive() & (F.col("chars") >= policy.min_chars), t)), F.col("entropy")))
-    return marked(rejecting(df, "quality_gate", idx, quality_reason(F.col("chars"), F.col("entropy"), policy)), "quality_gate_v1")
+    chars, entropy = F.col("chars"), F.col("entropy")
+    detail = F.when(chars < policy.min_chars, F.concat(F.lit("chars="), chars)).otherwise(F.format_string("entropy=%.3f", entropy))
+    return marked(rejecting(df, "quality_gate", idx, quality_reason(chars, entropy, policy), detail), "quality_gate_v1")
 
 
 def curriculum_eligibility(df: DataFrame, idx: int, policy: CurriculumPolicy = CurriculumPolicy()) -> DataFrame:
@@ -194,6 +200,27 @@ def semantic_simhash(df: DataFrame, idx: int, ascii_words: bool = False) -> Data
     return marked(df, F.concat(F.lit("simhash64="), F.lower(F.lpad(F.hex(sig), 16, "0"))))
 
 
+def python_stage(df: DataFrame, idx: int, name: str, function: Callable[[str], str]) -> DataFrame:
+    """A text transform of yours, called for each alive text. A row for which it raises is rejected as RUNTIME_ERROR with the error; the run goes on."""
+
+    @F.arrow_udf("struct<text:string,error:string>")
+    def run(texts: pa.Array) -> pa.Array:
+        def one(t: str | None) -> dict:
+            if t is None:
+                return {"text": None, "error": None}
+            try:
+                return {"text": function(t), "error": None}
+            except Exception as e:
+                return {"text": t, "error": str(e) or type(e).__name__}
+
+        return pa.array([one(t) for t in texts.to_pylist()], pa.struct([("text", pa.string()), ("error", pa.string())]))
+
+    df = df.withColumn("__new", run(F.when(alive(), F.col("text"))))
+    error = F.col("__new.error")
+    df = rejecting(df, "runtime_error", idx, F.when(error.isNotNull(), "RUNTIME_ERROR"), error)
+    return marked(changed(df, text=F.col("__new.text")).drop("__new"), f"{name}_v1")
+
+
 def domain_tagging(df: DataFrame, idx: int, classifier=None, keywords: dict[str, list[str]] | None = None, threshold: float = 0.5, top: int = 5) -> DataFrame:
     """Marks the domains of a text: those of the `top` that a classifier (Column -> array of (label, score)) scores above the threshold, or those with a keyword."""
     t = F.col("text")

@@ -42,6 +42,9 @@ def documents(spark: SparkSession, cfg: RunConfig) -> DataFrame:
 def options(cfg: RunConfig, stage: str) -> dict:
     """A stage's arguments: its policy, then what stage_options says."""
     own = {"license_gate": {"policy": cfg.licenses}, "quality_gate": {"policy": cfg.quality}, "pii_policy_gate": {"policy": cfg.pii}, "curriculum_eligibility": {"policy": cfg.curriculum}, "unicode_normalize": {"enabled": cfg.unicode_normalize}, "tokenize": {"tokenizer": cfg.tokenizer}}.get(stage, {})
+    if stage == "global_dedup" and cfg.fingerprints_path:
+        store = dedup.FingerprintStore(SparkSession.getActiveSession(), cfg.fingerprints_path, run=cfg.run_id)
+        own = {"store": store, "types": (cfg.type_priority, cfg.source_types) if cfg.type_priority else None, "sources": cfg.source_priority}
     return own | cfg.stage_options.get(stage, {})
 
 
@@ -70,7 +73,7 @@ def run(spark: SparkSession, cfg: RunConfig, at_ms: int | None = None) -> dict:
     for name, value in writers.stats_reports(df).items():
         writers.write_json(spark, f"{out}/stats/{name}.json", value)
     if cfg.fingerprints_path:
-        dedup.FingerprintStore(spark, cfg.fingerprints_path).add(df.where("rejection is null"))
+        dedup.FingerprintStore(spark, cfg.fingerprints_path, run=cfg.run_id).add(df.where("rejection is null"))
     manifest = {
         "run_id": cfg.run_id,
         "created_at_ms": at,

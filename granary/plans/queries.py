@@ -259,6 +259,29 @@ def semantic_simhash(spark, sf):
     return d.select(F.col("seq").alias("doc_id"), F.get("transform_chain", F.lit(0)).alias("marker")).where("marker is not null")
 
 
+@query(f"""WITH a AS (SELECT doc_id, {LICENSE} AS license, text FROM documents), b AS (SELECT *, {REASON} AS lic, length(text) AS n, {ENTROPY.replace('(t,', '(text,')} AS x FROM a)
+    SELECT doc_id, coalesce(lic, CASE WHEN n < 200 THEN 'TOO_SHORT' ELSE 'ENTROPY_OUT_OF_RANGE' END) AS reason,
+           CASE WHEN lic IS NOT NULL THEN 'license=' || license WHEN n < 200 THEN 'chars=' || n ELSE printf('entropy=%.3f', x) END AS detail
+    FROM b WHERE lic IS NOT NULL OR n < 200 OR x < 3.5 OR x > 7.8""")
+def rejection_details(spark, sf):
+    d = apply_stages(docs(spark, sf), ["license_gate", "quality_gate"]).where("rejection is not null")
+    return d.select(F.col("seq").alias("doc_id"), F.col("rejection.reason_code").alias("reason"), F.col("rejection.reason_detail").alias("detail"))
+
+
+def _without_e(t: str) -> str:
+    if "@" in t:
+        raise ValueError("an address")
+    return t.replace("e", "3")
+
+
+@query("""SELECT doc_id, CASE WHEN contains(text, '@') THEN 'RUNTIME_ERROR' END AS reason, CASE WHEN contains(text, '@') THEN 'an address' END AS detail,
+    sha256(CASE WHEN contains(text, '@') THEN text ELSE replace(text, 'e', '3') END) AS text_sha256 FROM documents""")
+def runtime_errors(spark, sf):
+    """A transform that raises for some documents: these are rejected, the others go on."""
+    d = gates.python_stage(docs(spark, sf), 0, "without_e", _without_e)
+    return d.select(F.col("seq").alias("doc_id"), F.col("rejection.reason_code").alias("reason"), F.col("rejection.reason_detail").alias("detail"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 @query()
 def minhash_candidates(spark, sf):
     """Each bucket's first document with the others."""

@@ -140,6 +140,37 @@ def test_store(spark, tmp_path):
     assert {r["seq"]: r["keep"] for r in store.decide(docs.withColumn("source", F.lit("books")), sources=["books", "web"]).collect()}[0]
 
 
+def test_store_and_priorities_in_the_stage(spark, tmp_path):
+    words = [f"w{i}" for i in range(400)]
+    body = lambda k: " ".join(w + str(k) for w in words)
+    first = raw(spark, [("x", body(0), "web"), ("x", body(1), "web")])
+    store = dedup.FingerprintStore(spark, str(tmp_path / "prints"), run="a")
+    store.add(first)
+    later = raw(spark, [("x", body(0), "web"), ("x", body(1), "books"), ("x", body(2), "web"), ("x", body(2), "books")])
+    how = {"sources": ["books", "web"]}
+    b = dedup.FingerprintStore(spark, str(tmp_path / "prints"), run="b")
+    # a copy of an earlier run's goes, unless its source is better; in the run the first stays
+    assert reasons(dedup.global_dedup(later, 0, store=b, **how)) == ["DUP_GLOBAL", None, None, "DUP_GLOBAL"]
+    # chunks of the earlier run link the copy that stays
+    assert [r["transform_chain"][-1] for r in dedup.global_dedup(later, 0, store=b, **how).where("seq = 1").collect()] == [f"global_dedup_keep_link_chunks={-(-len(body(1)) // 512)}_v1"]
+    # a run does not meet its own documents, and repeating it adds none
+    assert reasons(dedup.global_dedup(first, 0, store=store)) == [None, None]
+    n = store.spark.read.parquet(f"{store.path}/simhash").count()
+    store.add(first)
+    assert store.spark.read.parquet(f"{store.path}/simhash").count() == n == 2
+
+
+def test_a_row_that_raises_is_rejected(spark):
+    def strict(t):
+        if t == "abc":
+            raise ValueError("no abc")
+        return t[:1]
+
+    d = gates.python_stage(raw(spark, [("x", "abc"), ("x", "abcd"), ("x", "")]), 0, "strict", strict)
+    got = d.orderBy("seq").select("text", "rejection.stage", "rejection.reason_code", "rejection.reason_detail").collect()
+    assert [tuple(r) for r in got] == [("abc", "runtime_error", "RUNTIME_ERROR", "no abc"), ("a", None, None, None), ("", None, None, None)]
+
+
 def test_registry():
     with pytest.raises(ValueError, match="unknown stage"):
         registry.get_stage("nope")

@@ -28,7 +28,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -103,7 +103,8 @@ def format_conversations(events: DataFrame) -> DataFrame:
 
     A conversation's segments in the order of position are its formatted text. Null texts and roles are empty; a null
     conv_id is a conversation of its own; a null turn or seq comes first. Conversations without a message that lasts have
-    no row.
+    no row. Other columns of events are left out; an empty log gives no rows. Repeated events apply repeatedly. A message
+    of any length is held in memory once.
     """
     rank = F.coalesce(F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")), F.lit(9))
     names = [x.split()[0] for x in EVENTS.split(", ")]
@@ -132,7 +133,10 @@ def format_conversations(events: DataFrame) -> DataFrame:
 
 
 def digests(segments: DataFrame) -> DataFrame:
-    """Reads conversations back from what format_conversations() returned (unshuffled): counts and digests of each."""
+    """Counts and digests of each conversation, from the characters of its segments; these are in order, as read_conversations() returns them.
+
+    A digest runs over a conversation from its first character to its last, so a conversation is one task's, which holds one message at a time.
+    """
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,19 +175,44 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def events_of_turns(rows: DataFrame, chunk: int = 1024) -> DataFrame:
-    """A log (EVENTS) that streams each row (conv_id, turn, role, text) of a table: it opens, then comes in deltas of `chunk` characters.
+    """A log (EVENTS) of a table's rows (conv_id, turn, role, text), as a chat service might have kept it.
+
+    Each row opens a slot and comes in deltas of `chunk` characters. By a hash of conversation and slot, a third of the
+    slots stream a draft first that is regenerated, another third a draft that is edited; after either draft the next slot
+    has an answer already, which lapses. Folding gives the table's texts again.
 
-    Rows that share a conversation and turn stay apart, ordered by role and text: each is a slot of its own.
+    Rows that share a conversation and turn stay apart, ordered by role and text: each is a slot of its own. Null texts
+    are empty, other columns are left out, an empty table has an empty log.
     """
     from pyspark.sql import Window
 
     slot = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
     t = F.coalesce("text", F.lit(""))
-    opened = F.array(F.struct(F.lit("open").alias("kind"), F.lit(None).cast("string").alias("text")))
+
+    def event(kind: str, text: Column | None = None, role: Column | None = None, ahead: int = 0) -> Column:
+        text = F.lit(None).cast("string") if text is None else text
+        return F.struct(F.lit(kind).alias("kind"), (F.col("role") if role is None else role).alias("role"), text.alias("text"), F.lit(ahead).alias("ahead"))
+
     starts = F.when(F.length(t) > 0, F.sequence(F.lit(0), F.length(t) - 1, F.lit(chunk))).otherwise(F.array().cast("array<int>"))
-    deltas = F.transform(starts, lambda i: F.struct(F.lit("delta").alias("kind"), t.substr(i + 1, F.lit(chunk)).alias("text")))
-    log = rows.withColumn("__slot", slot.cast("long")).select("conv_id", F.col("__slot").alias("turn"), "role", F.posexplode(F.concat(opened, deltas)).alias("at", "event"))
-    return log.select(F.col("conv_id").cast("long").alias("conv_id"), (F.col("turn") * (1 << 32) + F.col("at")).alias("seq"), "turn", F.col("event.kind").alias("kind"), "role", F.col("event.text").alias("text"))
+    deltas = F.transform(starts, lambda i: event("delta", t.substr(i + 1, F.lit(chunk))))
+    assistant = F.lit("assistant")
+    draft = [event("delta", F.lit("a draft")), event("open", role=assistant, ahead=1), event("delta", F.lit("lapses"), assistant, 1)]
+    plain = F.concat(F.array(event("open")), deltas)
+    regenerated = F.concat(F.array(event("open"), *draft, event("regenerate")), deltas)
+    edited = F.concat(F.array(event("open"), *draft, event("edit", t.substr(1, chunk))), F.slice(deltas, 2, F.greatest(F.size(deltas) - 1, F.lit(0))))
+    way = F.pmod(F.xxhash64("conv_id", "__slot"), F.lit(3))
+    log = rows.withColumn("__slot", slot.cast("long")).select("conv_id", "__slot", F.posexplode(F.when(way == 0, plain).when(way == 1, regenerated).otherwise(edited)).alias("at", "event"))
+    return log.select(F.col("conv_id").cast("long").alias("conv_id"), (F.col("__slot") * (1 << 32) + F.col("at")).alias("seq"), (F.col("__slot") + F.col("event.ahead")).alias("turn"), F.col("event.kind").alias("kind"), F.col("event.role").alias("role"), F.col("event.text").alias("text"))
+
+
+def write_conversations(events: DataFrame, path: str) -> None:
+    """Writes the final messages of a log as Parquet (SEGMENTS); an empty log gives a table without rows."""
+    format_conversations(events).write.parquet(path)
+
+
+def read_conversations(spark: SparkSession, path: str) -> DataFrame:
+    """The messages of a written table, conversations whole and in order within each partition."""
+    return spark.read.parquet(path).repartition("conv_id").sortWithinPartitions("conv_id", "position")
 
 
 def with_probe(rows: DataFrame, spark: SparkSession) -> DataFrame:

@@ -71,9 +71,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .chat import digests, events_of_turns, format_conversations, with_probe
+    from .chat import digests, events_of_turns, read_conversations, with_probe, write_conversations
 
-    return digests(format_conversations(events_of_turns(with_probe(table(spark, sf_dir, "conversations"), spark))))
+    folder = shared_dir(spark)
+    write_conversations(events_of_turns(with_probe(table(spark, sf_dir, "conversations"), spark)), folder)
+    return digests(read_conversations(spark, folder))
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

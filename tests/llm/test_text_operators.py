@@ -174,7 +174,26 @@ def test_fold_equals_the_sequential_one():
         events = [(s, r.randrange(4), r.choice(chat.KINDS + ("delta",) * 3), r.choice(["user", "assistant"]), r.choice("abc")) for s in range(r.randrange(14))]
         order = sorted(events, key=lambda e: (e[1], e[0]))
         got = [(t, role, x) for _, t, role, x in chat.fold(("c", *e) for e in order)]
-        assert [(t, x) for t, _, x in got] == [(t, x) for t, _, x in plain_fold(events)]
+        assert got == plain_fold(events)
+
+
+def test_logged_drafts_edits_and_regenerations_fold_to_the_table(spark, tmp_path):
+    r = random.Random(4)
+    rows = [(c, t // 2 if c == 7 else t, r.choice(["user", "assistant"]), r.choice([None, "", "z" * 9000, "line\n<|im_end|>", "ok"]), "x", 5) for c in range(30) for t in range(6)]
+    rows += rows[-3:]  # repeated rows are slots of their own
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, kind string, seq int").repartition(4)
+    log = chat.events_of_turns(frame, chunk=100)
+    assert {x["kind"] for x in log.select("kind").distinct().collect()} == set(chat.KINDS)
+    assert log.where("text = 'lapses'").count() > 20
+    chat.write_conversations(log, f"{tmp_path}/c")
+    got = {x["conv_id"]: x for x in chat.digests(chat.read_conversations(spark, f"{tmp_path}/c")).collect()}
+    for c in range(30):
+        turns = sorted(((t, role, x or "") for k, t, role, x, *_ in rows if k == c), key=lambda e: (e[0], e[1], e[2]))
+        # null and empty texts of one turn and role are alike
+        assert got[c]["n_turns"] == len(turns)
+        assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{role}\n{x}\n" for _, role, x in turns).encode()).hexdigest()
+        loss = "".join(x for _, role, x in turns if role == "assistant")
+        assert (got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
 
 
 def test_rendering_is_reversible(spark):

@@ -5,7 +5,8 @@ payload has a record already, a revisit record with HTTP headers alone. Blocks l
 split: the first part stays in the response record (WARC-Segment-Number 1), the others follow as continuation records
 that name the first one in WARC-Segment-Origin-ID; the last gives WARC-Segment-Total-Length. Spark's own text writer
 puts the records into files (the record separator is its line separator), so files appear in any store, only
-when a task commits, and compressed if asked.
+when a task commits, and compressed if asked (a file is one gzip member then, not one for each record). A revisit names the
+record that it refers to by target URI and date, as the revisit profile wants it, and by the page's key.
 
 Reading. Files are parsed one by one. Records that were never split are decoded where they are found; segments are
 grouped by the identifier of their origin, ordered by number and joined, and the sum of their lengths is held
@@ -116,33 +117,35 @@ def http_payload(block: bytes) -> tuple[dict[str, str], bytes]:
 # -- writing ------------------------------------------------------------------------------------
 
 
-def with_revisits(pages: DataFrame, payload: Column, key: str, least: int = 0) -> DataFrame:
-    """pages with __payload, __sha1 (hex) and __first: of equal payloads of at least `least` bytes the smallest key, null for that one itself and for shorter ones.
+def with_revisits(pages: DataFrame, payload: Column, key: str, url: str, least: int = 0) -> DataFrame:
+    """pages with __payload, __sha1 (hex), __first and __first_url: of equal payloads of at least `least` bytes the smallest key and that row's url (the smallest of repeated keys), null for that one itself and for shorter ones.
 
     Payloads are told apart by digest and length. Rows with a null key refer to the smallest key if there is one. Groups are
     counted before they move, and the join's hot partitions are split by adaptive execution.
     """
     rows = pages.withColumn("__payload", payload)
     rows = rows.withColumns({"__sha1": F.sha1("__payload"), "__size": F.octet_length("__payload")})
-    first = rows.where(F.col("__size") >= least).groupBy("__sha1", "__size").agg(F.min(f"`{key}`").alias("__first"))
+    first = rows.where(F.col("__size") >= least).groupBy("__sha1", "__size").agg(F.min(F.when(F.col(f"`{key}`").isNotNull(), F.struct(F.col(f"`{key}`").alias("key"), F.col(f"`{url}`").alias("url")))).alias("__least"))
     out = rows.join(dealt_anew(first, "__sha1", "__size"), ["__sha1", "__size"], "left")
-    return out.withColumn("__first", F.when(~F.col(f"`{key}`").eqNullSafe(F.col("__first")), F.col("__first"))).drop("__size")
+    other = ~F.col(f"`{key}`").eqNullSafe(F.col("__least.key"))
+    return out.withColumns({"__first": F.when(other, F.col("__least.key")), "__first_url": F.when(other, F.col("__least.url"))}).drop("__size", "__least")
 
 
 def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", least: int = 0, segment: int = SEGMENT, compression: str = "gzip") -> None:
     """Writes a record for each page (null html: an empty payload) into a folder of archives.
 
-    Repeated rows of one key and payload are a response each; null urls become urn:page:<key>.
+    Repeated rows of one key and payload are a response each; null urls become urn:page:<key>. Other columns are left out; no
+    pages give archives without records. A page of any length is one row's payload in memory, cut into segments one at a time.
     """
-    rows = with_revisits(pages.select(F.col(f"`{key}`").alias("id"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html")), F.coalesce(F.col("html").cast("binary"), F.lit(b"")), "id", least)
+    rows = with_revisits(pages.select(F.col(f"`{key}`").alias("id"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html")), F.coalesce(F.col("html").cast("binary"), F.lit(b"")), "id", "url", least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, n = TaskContext.get().partitionId(), 0
         for b in batches:
             out, size = [], 0
-            for i, u, payload, sha1, first in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for i, u, payload, sha1, first, first_url in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 n += 1
-                for r in page_records(i, u, payload, bytes.fromhex(sha1), first, f"{task}-{n}", segment):
+                for r in page_records(i, u, payload, bytes.fromhex(sha1), first, first_url, f"{task}-{n}", segment):
                     out.append(r)
                     size += len(r)
                 if size > 8 << 20:
@@ -151,25 +154,29 @@ def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "ur
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
-    made = rows.select("id", "url", "__payload", "__sha1", "__first").mapInArrow(run, "record binary")
+    made = rows.select("id", "url", "__payload", "__sha1", "__first", "__first_url").mapInArrow(run, "record binary")
     made.select(F.col("record").cast("string")).write.option("lineSep", SEPARATOR).option("compression", compression).option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
-def page_records(key, url: str | None, payload: bytes, sha1: bytes, first, mark: str, segment: int) -> Iterator[bytes]:
+def target_uri(key, url: str | None) -> str:
+    return quote(url, safe=":/?#[]@!$&'()*+,;=%~-._") if url else f"urn:page:{key}"
+
+
+def page_records(key, url: str | None, payload: bytes, sha1: bytes, first, first_url: str | None, mark: str, segment: int) -> Iterator[bytes]:
     """The records of one page; `mark` makes their identifiers unique in the archive."""
     name = f"<urn:granary:{key}:{mark}>"
     headers = {
         "WARC-Type": "response" if first is None else "revisit",
         "WARC-Record-ID": name,
         "WARC-Date": DATE,
-        "WARC-Target-URI": quote(url, safe=":/?#[]@!$&'()*+,;=%~-._") if url else f"urn:page:{key}",
+        "WARC-Target-URI": target_uri(key, url),
         "WARC-Page-ID": key,
         "WARC-Payload-Digest": f"sha1:{digest_name(sha1)}",
         "Content-Type": "application/http; msgtype=response",
     }
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
     if first is not None:
-        yield record(headers | {"WARC-Profile": PROFILE, "WARC-Refers-To": f"<urn:granary:{first}>", "WARC-Refers-To-Page-ID": first}, http + b"Content-Length: %d\r\n\r\n" % len(payload))
+        yield record(headers | {"WARC-Profile": PROFILE, "WARC-Refers-To-Target-URI": target_uri(first, first_url), "WARC-Refers-To-Date": DATE, "WARC-Refers-To-Page-ID": first}, http + b"Content-Length: %d\r\n\r\n" % len(payload))
         return
     block = http + b"Transfer-Encoding: chunked\r\n\r\n" + chunked(payload)
     if len(block) <= segment:
@@ -190,8 +197,8 @@ PARTS = "origin string, number int, total long, type string, url string, page_id
 WHOLE = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
 
 
-def read_parts(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each record of the archives: a segment, or a whole record (number null)."""
+def read_parts(spark: SparkSession, path: str, segments: bool | None = None) -> DataFrame:
+    """A row for each record of the archives: a segment, or a whole record (number null). segments: only those, or (False) none of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -203,6 +210,8 @@ def read_parts(spark: SparkSession, path: str) -> DataFrame:
                 out, size = [], 0
                 for h, block in records(content):
                     number = h.get("warc-segment-number")
+                    if segments is not None and segments == (number is None):
+                        continue
                     whole = lambda k, h=h: int(h[k]) if k in h and h[k] != "None" else None
                     origin = h.get("warc-segment-origin-id") or h.get("warc-record-id")
                     out.append((origin, None if number is None else int(number), whole("warc-segment-total-length"), h.get("warc-type"), h.get("warc-target-uri"), whole("warc-page-id"), whole("warc-refers-to-page-id"), h.get("warc-payload-digest"), block))
@@ -273,10 +282,12 @@ def decoded(parts: DataFrame) -> DataFrame:
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """The archives' pages. An empty folder of archives gives no rows."""
-    parts = read_parts(spark, path)
-    whole = decoded(parts.where(F.col("number").isNull()))
-    return whole.unionByName(decoded(reassembled(parts.where(F.col("number").isNotNull()))))
+    """The archives' pages. An empty folder of archives gives no rows.
+
+    Files are read twice, once for whole records and once for segments: that costs a second pass over compressed files and
+    their headers, where one pass would have to write or shuffle every payload.
+    """
+    return decoded(read_parts(spark, path, False)).unionByName(decoded(reassembled(read_parts(spark, path, True))))
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:

@@ -348,6 +348,23 @@ def test_quality_learns_and_holds_out(spark):
 # -- sharding -------------------------------------------------------------------------------------
 
 
+def test_shards_are_those_of_the_largest_score(spark):
+    import math
+    import struct
+
+    import xxhash
+
+    def shard(key, weights):
+        h = xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+        u = lambda s: ((xxhash.xxh64_intdigest(struct.pack("<i", s), h) >> 11) + 0.5) / 2**53
+        return max(range(len(weights)), key=lambda s: (-weights[s] / math.log(u(s)), -s))
+
+    d = spark.range(-500, 3000).withColumnRenamed("id", "doc_id")
+    for w, grown in ([1.0] * 16, [1.0] * 17), ([3.0, 1.0, 0.5], [3.0, 1.0, 0.5, 2.0]):
+        for r in sharding.assign_shards(d, "doc_id", w, grown).collect():
+            assert (r["shard"], r["grown_shard"]) == (shard(r["doc_id"], w), shard(r["doc_id"], grown))
+
+
 def test_sharding(spark):
     rows = [(i, "é" * (i % 7) if i % 5 else None, "s", 3) for i in range(6000)] + [(None, "x", "s", 3), (4, None, "s", 3), (4, None, "s", 3)]
     d = spark.createDataFrame(rows, "doc_id long, text string, shard string, slot int").repartition(5)

@@ -48,9 +48,21 @@ def test_encode_and_decode_frames(spark):
     back = {r["doc_id"]: r["text"] for r in sentencepiece_bpe.decode(out, model).collect()}
     lib = sentencepiece_bpe.codec(model).library
     assert all(back[r["doc_id"]] == r["decoded"] == lib.decode(r["ids"]) for r in out.collect())
+    assert all(list(r["ids"]) == lib.encode((HARD + HARD)[r["doc_id"]] or "") for r in out.collect())
     assert sentencepiece_bpe.encode(docs(spark, []), model).count() == 0
 
 
+def test_digests_of_the_encoding_query(spark, tmp_path):
+    from granary.llm import queries
+
+    docs(spark, HARD).write.parquet(f"{tmp_path}/documents.parquet")
+    lib = sentencepiece_bpe.codec(P.path("piece_bpe_32k.model")).library
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    got = {r["doc_id"]: tuple(r)[1:] for r in queries.op1_sentencepiece(spark, str(tmp_path)).collect()}
+    ids = [lib.encode(t or "") for t in HARD]
+    assert got == {i: (len(x), sha(",".join(map(str, x))), sha(lib.decode(x))) for i, x in enumerate(ids)}
+
+
 # -- token files ----------------------------------------------------------------------------------
 
 
@@ -247,6 +259,17 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.read_warc(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_revisits_name_a_record_that_is_there(spark, tmp_path):
+    rows = [(3, None, "ab"), (5, "http://h/5", "ab"), (1, "http://h/é 1", "q" * 300), (2, "http://h/2", "q" * 300), (None, "u", "ab"), (3, None, "ab")]
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), f"{tmp_path}/w", segment=100, compression="none")
+    found = [h for f in (tmp_path / "w").glob("*.txt") for h, _ in warc.records(f.read_bytes())]
+    there = {(h["warc-target-uri"], h["warc-date"], h["warc-payload-digest"]) for h in found if h["warc-type"] == "response"}
+    revisits = [h for h in found if h["warc-type"] == "revisit"]
+    assert len(revisits) == 3
+    assert all((h["warc-refers-to-target-uri"], h["warc-refers-to-date"], h["warc-payload-digest"]) in there for h in revisits)
+    assert len({h["warc-record-id"] for h in found}) == len(found)
+
+
 def test_payloads_below_the_least_are_all_responses(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abc"), (4, "u", "abc")], "page_id long, url string, html string")
     warc.write_warc(pages, f"{tmp_path}/w", least=3, compression="none")

@@ -2,11 +2,16 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next one's
 docs. All but the last return the columns of documents; the last returns a row for each packed piece.
+
+Null texts count as empty, and empty texts pass through every stage as any other. Fully repeated rows become one in exact_dedup; of equal texts
+the largest doc_id stays, of near ones the smallest. Null doc_ids are rows of their own. Columns beyond those of documents are
+carried along whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from granary.llm.common import shared_dir, table
 from granary.llm.exact_dedup import drop_exact
@@ -21,7 +26,8 @@ CAPACITY, THRESHOLD = 2048, 0.7
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the additive model scores at the threshold or above; it learns from the labelled ones among docs."""
     model = train(docs, table(spark, sf_dir, "labels"))
-    return classified(docs, model, threshold=THRESHOLD).where("predicted = 1").select(*[f"`{c}`" for c in docs.columns])
+    rows = docs.select("doc_id", "text", F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"))
+    return classified(rows, model, threshold=THRESHOLD).where("predicted = 1").select("row.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -167,7 +167,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", normal
     Texts are equal when their (normalised) characters are; null counts as empty. Of equal texts the row with
     the largest key stays; rows with a null key stay only if no row of the group has one, and rows
     that repeat the kept key (fully repeated rows) are all `kept`. Columns of docs with clashing names are replaced.
-    An empty table gives an empty result.
+    An empty table gives an empty result. Keys are whole numbers or null. A very long text is held whole, beyond `limit` if need be.
     """
     content = F.coalesce(F.col(f"`{text}`") if normalised is None else normalised, F.lit(""))
     made = ["keep_id", "group_size", "kept", "text_sha256"]

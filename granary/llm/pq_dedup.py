@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import removed, written
+from .common import dealt_anew, removed, written
 from .components import components
 
 SAMPLE, LISTS, LIST_ROWS, SUBSPACES, CODEWORDS, BLOCK, SPREAD = 16_384, 2048, 8192, 8, 256, 8192, None
@@ -317,6 +317,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, key: str = "vec_id"
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing; vectors of one
     dimension link with each other only. Rows with equal vectors (also with equal keys) are linked to each other. Null keys are never a component's smallest if it has others.
+    Columns named as the new ones are replaced, others stay; an empty table gives an empty result.
     """
     spark = vectors.sparkSession
     made = ["n_links", "component_id", "kept"]
@@ -329,7 +330,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, key: str = "vec_id"
     small = nodes.select("node", "weight", "least").join(counts, "node", "left").join(label, "node", "left")
     small = small.select("node", "least", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
     first = small.groupBy("component").agg(F.min("least").alias("component_id"))
-    done = nodes.select("node", F.col("embedding").alias("__embedding")).join(small.join(first, "component").select("node", "n_links", "component_id"), "node").drop("node")
+    done = nodes.select("node", F.col("embedding").alias("__embedding")).join(small.join(dealt_anew(first, "component"), "component").select("node", "n_links", "component_id"), "node").drop("node")
     out = rows.join(done, F.when(linkable(e), e) == F.col("__embedding"), "left").drop("__embedding")
     out = out.withColumns({"n_links": F.coalesce("n_links", F.lit(0)).cast("long"), "component_id": F.coalesce("component_id", k)})
     return out.withColumn("kept", k.eqNullSafe(F.col("component_id")))

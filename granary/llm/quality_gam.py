@@ -191,7 +191,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """Learns from at most `sample` labelled documents outside the held-out quarter.
 
     Labels that a key has twice are averaged, null labels and keys without a document are passed over. Of several documents
-    with one key the smallest features count.
+    with one key the smallest features count. Null and empty texts have features of 0, very long ones are counted whole.
+    Without labels or documents the model is a constant. Other columns are not read.
     """
     k = F.col(f"`{key}`")
     known = labels.where(F.col(label).isNotNull() & k.isNotNull() & ~held_out(k)).groupBy(k.alias("__key")).agg((F.avg(label) >= 0.5).cast("int").alias("__label"))
@@ -209,6 +210,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
 
 def classified(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", threshold: float = 0.7) -> DataFrame:
-    """docs with held_out, score and predicted (1 if score >= threshold). Columns with these names are replaced."""
-    rows = docs.withColumn("score", scorer(model)(F.col(f"`{text}`")))
+    """docs with held_out, score and predicted (1 if score >= threshold). Columns with these names are replaced.
+
+    Null and empty texts score alike, very long ones are read whole, repeated rows score each by itself; an empty table gives an
+    empty result.
+    """
+    made = ["held_out", "score", "predicted"]
+    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in made], scorer(model)(F.col(f"`{text}`")).alias("score"))
     return rows.withColumns({"held_out": held_out(F.col(f"`{key}`")), "predicted": (F.col("score") >= threshold).cast("int")})

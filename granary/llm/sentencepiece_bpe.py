@@ -175,7 +175,8 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
 
     Whole texts are encoded without begin and end ids, as the sentencepiece library does. Null and empty texts have no
     ids and decode to an empty text. Rows are handled one by one, so repeated rows and null keys stay as they are; other columns
-    are left out. Nothing is shuffled.
+    are left out. Nothing is shuffled. A very long text is one row's work and memory (about 30 bytes a character); an empty table
+    gives an empty result.
     """
     kind = docs.select(F.col(f"`{key}`")).schema[0].dataType
 

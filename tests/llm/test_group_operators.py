@@ -345,6 +345,94 @@ def test_quality_learns_and_holds_out(spark):
     assert quality_gam.classified(docs.limit(0), model).count() == 0
 
 
+def plain_boosting(x, y, rounds, pair_rounds, pairs):
+    """The same model in plain loops: borders, tables and the pairs' tables."""
+    import math
+
+    n, width = len(y), len(x[0])
+    cuts = []
+    for i in range(width):
+        v = sorted(r[i] for r in x)
+        cuts.append(sorted({v[math.ceil(q / quality_gam.BINS * (n - 1) - 1e-9)] for q in range(1, quality_gam.BINS)}))
+    place = [[sum(c <= r[i] for c in cuts[i]) for i in range(width)] for r in x]
+    total = [math.log(sum(y) / (n - sum(y)))] * n
+    tables = [[0.0] * (len(c) + 1) for c in cuts]
+    coarse = [[min(k * quality_gam.PAIR_BINS // len(t), quality_gam.PAIR_BINS - 1) for k in range(len(t))] for t in tables]
+    value = lambda rows: sum(g for g, _ in rows) / (sum(h for _, h in rows) + quality_gam.RIDGE)
+    gain = lambda rows: sum(g for g, _ in rows) ** 2 / (sum(h for _, h in rows) + quality_gam.RIDGE)
+
+    def slopes():
+        p = [1 / (1 + math.exp(-t)) for t in total]
+        return [(a - b, b * (1 - b)) for a, b in zip(y, p, strict=True)]
+
+    for _ in range(rounds):
+        for i in range(width):
+            cells = [(0.0, 0.0)] * len(tables[i])
+            for r, (g, h) in zip(place, slopes(), strict=True):
+                cells[r[i]] = (cells[r[i]][0] + g, cells[r[i]][1] + h)
+            leaves = [(0, len(cells))]
+            while len(leaves) < quality_gam.LEAVES:
+                won, a, m, b = max(((gain(cells[a:m]) + gain(cells[m:b]) - gain(cells[a:b]), a, m, b) for a, b in leaves for m in range(a + 1, b)), default=(0, 0, 0, 0))
+                if won <= 1e-9:
+                    break
+                leaves = [q for q in leaves if q != (a, b)] + [(a, m), (m, b)]
+            step = {k: quality_gam.RATE * value(cells[a:b]) for a, b in leaves for k in range(a, b)}
+            tables[i] = [t + step[k] for k, t in enumerate(tables[i])]
+            total = [t + step[r[i]] for t, r in zip(total, place, strict=True)]
+
+    def quadrants(i, j):
+        cells: dict = {}
+        for r, s in zip(place, slopes(), strict=True):
+            cells.setdefault((coarse[i][r[i]], coarse[j][r[j]]), []).append(s)
+        every = [s for c in cells.values() for s in c]
+        best, steps = 0.0, lambda a, b: 0.0
+        for p in range(1, quality_gam.PAIR_BINS):
+            for q in range(1, quality_gam.PAIR_BINS):
+                box: dict = {}
+                for (a, b), c in cells.items():
+                    box.setdefault((a >= p, b >= q), []).extend(c)
+                won = sum(map(gain, box.values())) - gain(every)
+                if won > best + 1e-12:
+                    v = {k: value(c) for k, c in box.items()}
+                    best, steps = won, lambda a, b, p=p, q=q, v=v: v.get((a >= p, b >= q), 0.0)
+        return best, steps
+
+    chosen = sorted(((quadrants(i, j)[0], i, j) for i in range(width) for j in range(i)), reverse=True)[:pairs]
+    found = {(i, j): np.zeros((quality_gam.PAIR_BINS,) * 2) for _, i, j in chosen}
+    for _ in range(pair_rounds):
+        for (i, j), t in found.items():
+            steps = quadrants(i, j)[1]
+            t += [[quality_gam.RATE * steps(a, b) for b in range(quality_gam.PAIR_BINS)] for a in range(quality_gam.PAIR_BINS)]
+            total = [v + quality_gam.RATE * steps(coarse[i][r[i]], coarse[j][r[j]]) for v, r in zip(total, place, strict=True)]
+    return tables, found, [1 / (1 + math.exp(-t)) for t in total]
+
+
+def test_boosting_equals_plain_loops(monkeypatch):
+    monkeypatch.setattr(quality_gam, "ROUNDS", 6)
+    monkeypatch.setattr(quality_gam, "PAIR_ROUNDS", 3)
+    monkeypatch.setattr(quality_gam, "PAIRS", 2)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(160, 4))
+    y = ((x[:, 0] * x[:, 1] + x[:, 2] + rng.normal(size=160) / 2) > 0).astype(float)
+    model = quality_gam.fit(x, y)
+    tables, pairs, scores = plain_boosting(x.tolist(), y.tolist(), 6, 3, 2)
+    assert [len(t) for t in tables] == [len(t) for t in model.tables]
+    assert all(np.allclose(a, b) for a, b in zip(tables, model.tables, strict=True))
+    assert list(pairs) == [(i, j) for i, j, _ in model.pairs] and all(np.allclose(pairs[i, j], t) for i, j, t in model.pairs)
+    assert np.allclose(scores, model.score(x))
+
+
+def test_scores_replace_columns_and_repeated_rows_stay(spark):
+    rows, labels = quality_rows(200)
+    d = spark.createDataFrame([(i, t, 9.0, "x") for i, t in rows + rows[:2]], "doc_id long, text string, score double, held_out string")
+    out = quality_gam.classified(d, quality_gam.train(d, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))).collect()
+    assert len(out) == 202 and all(r["score"] <= 1 and r["held_out"] in (True, False) for r in out)
+    by = {}
+    for r in out:
+        by.setdefault(r["doc_id"], set()).add(r["score"])
+    assert all(len(v) == 1 for v in by.values())
+
+
 # -- sharding -------------------------------------------------------------------------------------
 
 
@@ -413,3 +501,22 @@ def test_pipeline_equals_plain_steps(spark, tmp_path):
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     assert names == ["quality", "exact_dedup", "near_dedup", "packing"]
     assert all(f(spark, docs, str(tmp_path)).columns == docs.columns for _, f in corpus_pipeline.STAGES[:3])
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    monkeypatch.setattr(corpus_pipeline, "THRESHOLD", 0.0)  # every odd row reaches the later stages
+    rows, labels = quality_rows(240)
+    schema = "doc_id long, text string, score string, row int, digest string, content string, sequence_id string"
+    odd = [(*r, "s", 1, "d", "c", "q") for r in [*rows, rows[1], (900, " ".join(prose(5, 30_000)) + "."), (None, None), (901, "")]]
+    for name, t in (("some", odd), ("none", [])):
+        spark.createDataFrame(t, schema).repartition(2).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    d = spark.read.parquet(f"{tmp_path}/some/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        assert stage(spark, d, f"{tmp_path}/some").columns == d.columns
+    got = corpus_pipeline.run(spark, f"{tmp_path}/some").collect()
+    assert sum(r["length"] for r in got if r["doc_id"] == 900) > 30_000
+    assert sorted(r["piece"] for r in got if r["doc_id"] == rows[1][0]) == [0]
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0

@@ -222,7 +222,7 @@ WORDED = "digest binary, k long, words binary"
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Batch, words, counts of words and digests of the words of each text; the text is a batch's first column."""
-    for b in slices(batches, 2048, 2):
+    for b in slices(batches, 2048, 1):
         texts = b.column(0).cast(pa.large_string())
         ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]

@@ -176,7 +176,7 @@ def scorer(model: Model) -> Callable[[Column], Column]:
 
     @F.arrow_udf(DoubleType())
     def score(text: pa.Array) -> pa.Array:
-        x = np.array([features(t) for t in text.to_pylist()], float).reshape(-1, len(NAMES))
+        x = np.array([features(t.as_py()) for t in text], float).reshape(-1, len(NAMES))
         return pa.array(model.score(x), pa.float64())
 
     return score
@@ -200,7 +200,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     @F.arrow_udf(ArrayType(DoubleType()))
     def measured(text: pa.Array) -> pa.Array:
-        return pa.array([list(map(float, features(t))) for t in text.to_pylist()], pa.list_(pa.float64()))
+        return pa.array([list(map(float, features(t.as_py()))) for t in text], pa.list_(pa.float64()))
 
     # chosen has `sample` rows at most, so it may be sent to every executor
     found = docs.select(k.alias("__key"), F.col(f"`{text}`").alias("__text")).join(F.broadcast(chosen), "__key")

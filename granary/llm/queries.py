@@ -91,7 +91,46 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(docs, [1.0] * SHARDS, [1.0] * (SHARDS + 1)).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_omh_dedup, op3_pq_dedup, op4_warc, op5_quality, op6_token_files, op7_exact_dedup, op8_chat, op9_packing, op10_sharding)}
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic_runs import periodic_runs, with_planted_runs
+
+    found = periodic_runs(with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    r = F.col("runs")
+    best = F.array_max(F.transform(r, lambda x: F.struct(x["length"].alias("length"), (-x["start"]).alias("back"), (-x["period"]).alias("short"))))
+    length, period = best["length"], -best["short"]
+    lines = F.transform(r, lambda x: F.concat(x["start"].cast("string"), F.lit(","), x["length"].cast("string"), F.lit(","), x["period"].cast("string"), F.lit("\n")))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return found.select(
+        "doc_id",
+        F.size(r).cast("long").alias("n_runs"),
+        (-best["back"]).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.call_function("div", 1000 * length, period).alias("exponent_milli"),
+        digest(F.array_join(lines, "")).alias("runs_sha256"),
+        digest(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .source_divergence import source_divergence
+
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_main_text import extract_main_text
+
+    return extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_sentencepiece, op2_omh_dedup, op3_pq_dedup, op4_warc, op5_quality, op6_token_files, op7_exact_dedup, op8_chat, op9_packing, op10_sharding,
+        op11_periodic_runs, op12_source_divergence, op13_html_main_text,
+    )
+}
 
 ORACLES = {
     "op7_exact_dedup": """
@@ -135,4 +174,31 @@ ORACLES = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                CAST(sum(length('<|im_start|>' || head || chr(10) || body || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
         FROM escaped GROUP BY conv_id""",
+    # dense: every group times every kept term
+    "op12_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT id, lang, source, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{80}-\x{10FFFF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+        kept AS (SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+        langs AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+        c AS (SELECT lang, source, term, count(*) AS k FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+        g AS (SELECT lang, source, coalesce(sum(k), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+        s AS (SELECT g.lang, g.source, t.term, coalesce(k, 0) AS k,
+                     CAST(1 + 1000000000::HUGEINT * (coalesce(k, 0) + 5) // (g.n + 5 * v) AS BIGINT) AS p,
+                     CAST(1 + 1000000000::HUGEINT * (total + 5) // (langs.n + 5 * v) AS BIGINT) AS q
+              FROM g JOIN langs USING (lang) JOIN kept t USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = t.term),
+        f AS (SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+              FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        parts AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+            UNION ALL SELECT lang, source, 'term', term, p - q FROM s WHERE k > 0 AND p > q)
+        SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank FROM parts
+        QUALIFY part = 'pair' OR rank <= 50""",
+    # the pages of the given tables mark their article, and no other part of it than line breaks parts blocks
+    "op13_html_main_text": r"""
+        WITH a AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1),
+                          '</?(p|h1|br)>', chr(1), 'g'), '<[^>]*>', '', 'g') AS t FROM pages),
+        b AS (SELECT page_id, url, list_transform(string_split(t, chr(1)), lambda x: replace(replace(replace(regexp_replace(x, '&amp;?', chr(2), 'g'), '&quot;', '"'), '&middot;', '·'), chr(2), '&')) AS x FROM a),
+        c AS (SELECT page_id, url, list_filter(list_transform(x, lambda y: trim(regexp_replace(y, '[\s\v\x{1c}-\x{1f}\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g'))), lambda y: y <> '') AS x FROM b)
+        SELECT page_id, url, array_to_string(x, chr(10)) AS text, CAST(length(array_to_string(x, chr(10))) AS BIGINT) AS n_chars FROM c""",
 }

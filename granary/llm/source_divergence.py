@@ -28,7 +28,7 @@ from .common import dealt_anew, released, removed, slices, written
 TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 DEPTH, WIDTH, BLOCK = 4, 1 << 22, 1 << 16
 #: Entries that a task gathers before it passes them on.
-ENTRIES = 200_000
+ENTRIES = 500_000
 COUNTS = "lang string, source string, term string, n bigint, docs bigint"
 
 
@@ -114,7 +114,8 @@ def term_counts(docs: DataFrame, least: int = 30, width: int = WIDTH) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = np.frombuffer(bits.value, np.uint8)
         known: dict[bytes, dict[bytes, bool]] = {}
-        sums: dict[tuple[bytes, bytes], dict[bytes, list[int]]] = {}
+        # occurrences (from bit 32 on) and documents of each group's terms
+        sums: dict[tuple[bytes, bytes], dict[bytes, int]] = {}
 
         def frequent(lang: bytes, terms: list[bytes]) -> None:
             """Looks terms up whose cells have not been looked at."""
@@ -125,13 +126,12 @@ def term_counts(docs: DataFrame, least: int = 30, width: int = WIDTH) -> DataFra
             of.update(zip(terms, (may[at >> 3] >> (7 - (at & 7)) & 1).all(1).tolist(), strict=True))
 
         def passed() -> Iterator[pa.RecordBatch]:
-            rows = [(g[0], g[1], t, n, d) for g, c in sums.items() for t, (n, d) in [(None, (0, 0)), *c.items()]]
+            for (lang, source), c in sums.items():
+                both = np.fromiter(c.values(), np.int64, len(c))
+                own = [pa.repeat(pa.scalar(x.decode()), len(c) + 1) for x in (lang, source)]
+                numbers = [np.append(x, 0) for x in (both >> 32, both & 0xFFFFFFFF)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array([*c, None], pa.binary()).cast(pa.string()), *map(pa.array, numbers)], ["lang", "source", "term", "n", "docs"])
             sums.clear()
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            kinds = [pa.binary()] * 3 + [pa.int64()] * 2
-            names = ["lang", "source", "term", "n", "docs"]
-            made = [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([a.cast(pa.string()) if a.type == pa.binary() else a for a in made], names)
 
         for b in slices(batches):
             for lang, source, text in _columns(b):
@@ -141,11 +141,7 @@ def term_counts(docs: DataFrame, least: int = 30, width: int = WIDTH) -> DataFra
                 sum_ = sums.setdefault((lang, source), {})
                 for t, n in c.items():
                     if of[t]:
-                        if (s := sum_.get(t)) is None:
-                            sum_[t] = [n, 1]
-                        else:
-                            s[0] += n
-                            s[1] += 1
+                        sum_[t] = sum_.get(t, 0) + (n << 32 | 1)
             if sum(map(len, sums.values())) > ENTRIES:
                 yield from passed()
         yield from passed()
@@ -172,7 +168,7 @@ def source_divergence(docs: DataFrame, least: int = 30, alpha: int = 5, top: int
     spark = docs.sparkSession
     paths: list[str] = []
     parts = written(term_counts(docs.select("lang", "source", "text"), least, width), spark, paths)
-    sums = parts.where("term is not null").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    sums = written(parts.where("term is not null").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), spark, paths)
     frequent = sums.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("all")).where(F.col("docs") >= least).drop("docs")
     counts = written(sums.drop("docs").join(dealt_anew(frequent, "lang", "term"), ["lang", "term"]), spark, paths)
 

@@ -1,11 +1,10 @@
 """Near-duplicate documents by Order MinHash, verified by banded alignment.
 
 Words are runs of characters other than ASCII punctuation and white space, in lower case (ASCII). Shingles are SHINGLE
-words in a row, labelled with their occurrence in the text. Each of SKETCHES hash functions takes LENGTH labelled
-shingles of a text, the one with the smallest value in each of LENGTH equal parts of it, in the order of the text; that sequence is a
+words in a row, labelled with their occurrence in the text. Each of SKETCHES hash functions takes the LENGTH labelled
+shingles of a text with the smallest values, in the order of the text; that sequence is a
 bucket. Two texts that share a bucket are candidates: the chance grows with the overlap of their shingles and with how far
-they agree in order, which is what edit similarity asks for. As the shingles come from different parts, one passage that many
-texts share does not make them candidates. Texts below SHORT words have buckets that every link among them shares,
+they agree in order, which is what edit similarity asks for. Texts below SHORT words have buckets that every link among them shares,
 see `keyed`. A candidate is a link if the edit distance
 of the two word sequences is at most (1 - SIMILARITY) of the longer one. The distance is computed in a band of that width, one
 machine operation for many cells (bit-parallel, after Hyyro 2003).
@@ -17,7 +16,7 @@ Order of work, so that no step makes pairs of a group:
 2.  Buckets are parted by length, as links differ by a fifth of their words at most. Each node is aligned with one hub, the smallest node of one of its buckets.
 3.  Buckets whose nodes lie in one component are done. In the others every node is aligned with the bucket's hub, which tells
     those near the hub (linked) from those so far from it that, by the triangle inequality, no near one can be linked to them.
-4.  What is left are the nodes of a bucket that are not near its hub, among each other, and those neither near nor far against the near ones. Block is
+4.  Buckets that share nodes are joined where that is less work (`clustered`). What is left are the nodes of a bucket that are not near its hub, among each other, and those neither near nor far against the near ones. Block is
     compared with block; a bound on the distance from common words, computed for whole blocks by matrix products, rules out most pairs, and the
     nodes of the largest component are not compared with each other. So a link between any two
     candidates is either found or implied by found ones, and components are as if all candidates had been aligned. A bucket with n texts of like length that
@@ -126,15 +125,29 @@ def shingles(words: np.ndarray, counts: np.ndarray, size: int = 5) -> tuple[np.n
 
 
 def sketches(found: np.ndarray, counts: np.ndarray, number: int = SKETCHES, length: int = LENGTH) -> np.ndarray:
-    """A row of `number` bucket keys for each text that has shingles: the smallest shingles of its `length` parts, in order."""
+    """A row of `number` bucket keys for each text that has shingles: its `length` smallest shingles under each hash, in the order of the text.
+
+    Only shingles below a bound that about 8 * length of a text's values reach are sorted, all of a text where these are too few.
+    """
     counts = counts[counts > 0]
-    starts = np.cumsum(counts) - counts
-    # a part without shingles (of fewer shingles than parts) takes the next one's first
-    parts = (starts[:, None] + np.arange(length) * counts[:, None] // length).ravel()
+    doc = np.repeat(np.arange(len(counts)), counts)
+    few = np.minimum(1.0, 8 * length / np.maximum(counts, 1))
+    bound = np.where(few < 1, (np.minimum(few, 0.999) * 2.0**64).astype(U), TOP)[doc]
+    least = np.minimum(length, counts)
     out = np.empty((len(counts), number), U)
     for s in range(number):
-        least = np.minimum.reduceat(mix(found ^ SEEDS[s]), parts).reshape(-1, length)
-        out[:, s] = mix((least * PLACES[:length]).sum(1, dtype=U) ^ SEEDS[128 + s])
+        value = mix(found ^ SEEDS[s])
+        low = value <= bound
+        lacking = np.bincount(doc[low], minlength=len(counts)) < least
+        at = np.flatnonzero(low | lacking[doc] if lacking.any() else low)
+        order = np.lexsort((value[at], doc[at]))
+        at = at[order]
+        each = np.bincount(doc[at], minlength=len(counts))
+        rank = np.arange(len(at)) - np.repeat(np.cumsum(each) - each, each)
+        at = np.sort(at[rank < length])  # the order of the text
+        starts = np.cumsum(least) - least
+        place = np.arange(len(at)) - np.repeat(starts, least)
+        out[:, s] = mix(np.add.reduceat(value[at] * PLACES[place], starts) ^ SEEDS[128 + s]) if len(at) else 0
     return out
 
 
@@ -455,6 +468,25 @@ def verified_buckets(members: DataFrame, words: DataFrame, similarity: float) ->
     return order.mapInArrow(run, EDGES)
 
 
+def clustered(members: DataFrame) -> DataFrame:
+    """members (bucket, node, component) with buckets that share nodes made one, where comparing all of that is less work than bucket by bucket.
+
+    Texts that have much in common share many of their buckets, and would be compared again in each.
+    """
+    spark = members.sparkSession
+    hubs = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n"))
+    rows = written(members.join(dealt_anew(hubs, "bucket"), "bucket"), spark, paths := [])
+    label = components(rows.select(F.col("node").alias("src"), F.col("hub").alias("dst")))
+    of = rows.select("bucket", "hub", "n").distinct().join(label.select(F.col("node").alias("hub"), F.col("component").alias("cluster")), "hub")
+    work = of.groupBy("cluster").agg(F.sum(F.col("n").cast("double") ** 2).alias("single"))
+    size = label.groupBy(F.col("component").alias("cluster")).agg(F.count("*").cast("double").alias("m"))
+    whole = work.join(size, "cluster").where(F.col("m") ** 2 <= F.col("single")).select("cluster")
+    chosen = of.join(whole.withColumn("whole", F.lit(True)), "cluster", "left").select("bucket", F.when(F.col("whole"), F.xxhash64(F.lit("cluster"), "cluster")).otherwise(F.col("bucket")).alias("to"))
+    out = written(rows.join(dealt_anew(chosen, "bucket"), "bucket").select(F.col("to").alias("bucket"), "node", "component").distinct(), spark)
+    removed(spark, paths)
+    return out
+
+
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, number: int = SKETCHES, length: int = LENGTH) -> DataFrame:
     """A row for each document: key, content (xxhash64 of its text), class_id (the smallest key of its class), class_size, kept.
 
@@ -506,7 +538,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     apart = of(rows.where((F.col("place") != NEAR) & ((F.col("between") == 0) | (F.col("far") > F.col("between")))), 0)
     beside = of(rows.where((F.col("between") > 0) & ((F.col("place") != FAR) | (F.col("far") <= F.col("between")))), 1)
     swept(spark)
-    found = put(verified_buckets(put(apart.unionByName(beside)), words, similarity))
+    found = put(verified_buckets(clustered(put(apart.unionByName(beside))), words, similarity))
     label = components(links.unionByName(found))
     swept(spark)
     # the classes of all rows

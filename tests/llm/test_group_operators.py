@@ -192,6 +192,42 @@ def test_near_classes_reach_the_stated_similarity(spark):
     assert got == {i: i - i % 2 for i in range(len(texts))}
 
 
+def test_keys_are_the_smallest_shingles_in_the_order_of_the_text():
+    """Against a plain sort; texts whose blocks change places keep few keys, though they keep nearly all their shingles."""
+    r = random.Random(8)
+    texts = [[f"w{r.randrange(5000)}" for _ in range(n)] for n in (51, 64, 100, 600, 3000) + (600,) * 20]
+
+    def keys(texts, length):
+        raw = [" ".join(t).encode() for t in texts]
+        found, n = omh_dedup.shingles(*omh_dedup.word_hashes(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(x) for x in raw])), omh_dedup.SHINGLE)
+        return omh_dedup.sketches(found, n, 80, length), np.split(found, np.cumsum(n)[:-1])
+
+    for length in (2, 3):
+        got, found = keys(texts[:5], length)
+        for i, f in enumerate(found):
+            for s in range(0, 80, 9):
+                value = omh_dedup.mix(f ^ omh_dedup.SEEDS[s])
+                first = np.sort(np.argsort(value)[:length])
+                want = omh_dedup.mix((value[first] * omh_dedup.PLACES[:length]).sum(dtype=np.uint64, keepdims=True) ^ omh_dedup.SEEDS[128 + s])
+                assert got[i, s] == want[0]
+    blocks = [[t[k : k + 30] for k in range(0, 600, 30)] for t in texts[5:]]
+    mine, _ = keys(texts[5:], 2)
+    turned, _ = keys([sum(b[::-1], []) for b in blocks], 2)
+    shuffled, _ = keys([sum(r.sample(b, len(b)), []) for b in blocks], 2)
+    assert (mine == turned).mean() < 0.1 and (mine == shuffled).mean() < 0.5
+
+
+def test_clusters_replace_buckets_where_that_is_less_work(spark):
+    many = [(b, n, n) for b in range(9) for n in range(30) if (b + n) % 3]  # the same texts again and again
+    chain = [(100 + b, 1000 + b + i, 1000 + b + i) for b in range(20) for i in range(2)]
+    rows = spark.createDataFrame(many + chain, "bucket long, node long, component long")
+    got = omh_dedup.clustered(rows).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r["bucket"], set()).add(r["node"])
+    assert sorted(map(len, by.values())) == [2] * 20 + [30] and len(got) == 70
+
+
 def test_short_links_share_a_key():
     r = random.Random(3)
     for n in range(5, omh_dedup.SHORT):

@@ -5,14 +5,14 @@ its nearest codeword, one byte each, and the vector keeps the norm e of what the
 
 Probes. A vector also visits every list whose border lies within tau of it. A segment between two linked vectors a and b crosses the
 border between their lists, so one of the two lies within half of the segment's extent across the border: of
-every link one end at least visits the other's list if tau is that half. It is |a - b| / 2 at most, which is what tau is by default: no link is
-missed, whatever the vectors are. Where they fill all their dimensions evenly nearly all lists are visited, and comparisons grow with the
-square of the rows. A number as `spread` takes tau as so many halves of |a - b| / sqrt(d), which is the extent's standard deviation only if links
-point evenly in all d dimensions; it misses links of vectors of lower rank.
-
-Search. In a list, each query's dot product with a member is estimated from the codes
-(asymmetric: the query is not quantised) by a matrix product with the decoded members. It is off by e at most, so members whose estimate is below threshold - e are ruled
-out for certain; the rest are reranked by the exact cosine in double precision. Of the lists that are
+every link one end at least visits the other's list if tau is that half, |a - b| / 2 at most (`probes="certain"`). Real links cross
+borders at a slant, and so take far less. How much is measured: QUERIES vectors are compared exactly with all rows, and tau is MARGIN times
+what the most demanding of their links needs, up to the certain bound, which also holds where they have fewer than ENOUGH links. So
+recall on the query set is 1 by construction, whatever the vectors' rank.
+
+Search. In a list, each query's dot product with a member is estimated from the codes alone, by one table lookup for each subspace
+(asymmetric: the query is not quantised). It is off by e at most, so members whose estimate is below threshold - e are ruled
+out for certain; only of the rest vectors are read, for the exact cosine in double precision. Of the lists that are
 visited every link is found.
 
 Scale. Equal vectors are merged before anything else and counted by weight. Lists are cut into blocks of
@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 from .common import dealt_anew, removed, written
 from .components import components
 
-SAMPLE, LISTS, LIST_ROWS, SUBSPACES, CODEWORDS, BLOCK, SPREAD = 16_384, 2048, 8192, 8, 256, 8192, None
+SAMPLE, LISTS, LIST_ROWS, SUBSPACES, CODEWORDS, BLOCK = 16_384, 4096, 1024, 8, 256, 8192
+#: The measurement of probes.
+QUERIES, ENOUGH, MARGIN = 1024, 200, 1.25
 NONE = np.int64(1) << 62
 
 
@@ -72,23 +74,29 @@ class Quantizer:
     tau: float
 
     @classmethod
-    def fit(cls, sample: np.ndarray, lists: int, threshold: float, spread: float | None = SPREAD, subspaces: int = SUBSPACES, codewords: int = CODEWORDS) -> Quantizer:
+    def fit(cls, sample: np.ndarray, lists: int, threshold: float, subspaces: int = SUBSPACES, codewords: int = CODEWORDS) -> Quantizer:
+        """With certain probes."""
         x = _unit(sample)
         c = kmeans(x, max(1, min(lists, len(x))), 6, True)
         rest = x - c[_nearest(x, c, True)]
         cuts = np.linspace(0, x.shape[1], min(subspaces, x.shape[1]) + 1).astype(int)
         parts = [slice(a, b) for a, b in zip(cuts, cuts[1:], strict=False)]
-        tau = np.sqrt((1 - threshold) / 2) * (1 if spread is None else min(1, spread / np.sqrt(x.shape[1]))) + 1e-9
-        return cls(c, parts, [kmeans(rest[:, p], min(codewords, len(x)), 6, False) for p in parts], tau)
+        return cls(c, parts, [kmeans(rest[:, p], min(codewords, len(x)), 6, False) for p in parts], np.sqrt((1 - threshold) / 2) + 1e-9)
 
-    def lists(self, x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Home list and the other lists to visit, for unit vectors."""
+    def borders(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Home lists of unit vectors, and how far each vector is from every list's border with its own (in the centroids' distance)."""
         c = self.centroids
         dots = x @ c.T
         home = dots.argmax(1)
         if not hasattr(self, "_apart"):
             self._apart = np.sqrt(np.maximum(2 - 2 * (c @ c.T), 0))
-        visit = dots[np.arange(len(x)), home][:, None] - dots <= self.tau * self._apart[home] + 1e-12
+        far = dots[np.arange(len(x)), home][:, None] - dots
+        return home, np.divide(far, self._apart[home], out=np.where(far > 0, np.inf, 0.0), where=self._apart[home] > 1e-9)
+
+    def lists(self, x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Home list and the other lists to visit, for unit vectors."""
+        home, far = self.borders(x)
+        visit = far <= self.tau + 1e-9
         visit[np.arange(len(x)), home] = False
         return home, [np.flatnonzero(v) for v in visit]
 
@@ -100,24 +108,37 @@ class Quantizer:
             rest[:, p] -= w[codes[:, m]]
         return codes, np.linalg.norm(rest, axis=1)
 
-    def decoded(self, which: int, codes: np.ndarray) -> np.ndarray:
-        """What the codes of one list's members stand for, in single precision."""
-        rest = [w[codes[:, m]] for m, w in enumerate(self.codewords)]
-        return (self.centroids[which] + np.concatenate(rest, 1)).astype(np.float32)
+    def tables(self, which: int, x: np.ndarray) -> list[np.ndarray]:
+        """A table for each subspace: every codeword's dot product with queries (codewords x queries, single precision). The first also holds the centroid's."""
+        out = [(w @ x[:, p].T).astype(np.float32) for p, w in zip(self.parts, self.codewords, strict=True)]
+        out[0] += (x @ self.centroids[which]).astype(np.float32)
+        return out
 
 
 @dataclass
 class Rows:
-    """One side of a comparison."""
+    """One side of a comparison; vectors are as given and become unit vectors when they are read."""
 
     node: np.ndarray
     weight: np.ndarray
-    x: np.ndarray
+    given: np.ndarray
     home: np.ndarray
     codes: np.ndarray
     missed: np.ndarray
     visits: list
 
+    def unit(self, at: np.ndarray | slice) -> np.ndarray:
+        return _unit(self.given[at].astype(float))
+
+
+def cosines(x: np.ndarray, members: Rows, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the pairs (query i, member j) have the cosine; members' vectors are read here, for pairs that the codes left."""
+    if not len(i):
+        return np.empty(0, bool)
+    read, row = np.unique(j, return_inverse=True)
+    y = members.unit(read)
+    return np.concatenate([np.einsum("ij,ij->i", x[i[s : s + 65536]], y[row[s : s + 65536]]) >= threshold for s in range(0, len(i), 65536)])
+
 
 def compare(q: Quantizer, which: int, threshold: float, members: Rows, queries: Rows, same: bool, own: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(node, links, root) of both sides. own: queries belong to the list too; same: they are the members themselves.
@@ -129,13 +150,16 @@ def compare(q: Quantizer, which: int, threshold: float, members: Rows, queries:
     links_m, links_q = np.zeros(n, np.int64), np.zeros(len(queries.node), np.int64)
     label_m, label_q = members.node.copy(), queries.node.copy()
     masks = []
-    coded = q.decoded(which, members.codes).T
-    # single precision is off by d * 2 ** -24 for each of two norms, of 2 at most
-    least = (threshold - members.missed - 3e-7 * (len(coded) + 8)).astype(np.float32)
+    # sums of single precision are off by 2 ** -24 a term, the terms being 2 at most
+    least = (threshold - members.missed - 3e-7 * (2 * len(q.parts) + 8)).astype(np.float32)
     for a in range(0, len(queries.node), 256):
-        x = queries.x[a : a + 256]
-        i, j = np.nonzero(x.astype(np.float32) @ coded >= least)
-        hit = np.concatenate([np.einsum("ij,ij->i", x[i[s : s + 65536]], members.x[j[s : s + 65536]]) >= threshold for s in range(0, len(i), 65536)] or [np.empty(0, bool)])
+        x = queries.unit(slice(a, a + 256))
+        tables = q.tables(which, x)
+        estimate = tables[0][members.codes[:, 0]]
+        for m in range(1, len(tables)):
+            estimate += tables[m][members.codes[:, m]]
+        j, i = np.nonzero(estimate >= least[:, None])
+        hit = cosines(x, members, i, j, threshold)
         i, j = i[hit], j[hit]
         if same:
             other = i + a != j
@@ -170,7 +194,7 @@ def compare(q: Quantizer, which: int, threshold: float, members: Rows, queries:
             yield node[linked], links[linked], label[linked]
 
 
-SHIPPED = "list int, left int, right int, side int, node long, weight long, embedding array<double>, home int, codes binary, missed double, visits array<int>"
+INDEXED = "node long, weight long, embedding {}, home int, codes binary, missed double, visits array<int>"
 
 
 def linkable(embedding: Column) -> Column:
@@ -180,7 +204,7 @@ def linkable(embedding: Column) -> Column:
     return F.coalesce(embedding.isNotNull() & finite & F.exists(e, lambda x: x != 0), F.lit(False))
 
 
-def links(vectors: DataFrame, threshold: float, sample: int = SAMPLE, block: int = BLOCK, lists: int | None = None, spread: float | None = SPREAD) -> tuple[DataFrame, DataFrame]:
+def links(vectors: DataFrame, threshold: float, sample: int = SAMPLE, block: int = BLOCK, lists: int | None = None, probes: str = "measured") -> tuple[DataFrame, DataFrame]:
     """(counts, edges) of distinct vectors (node long, weight long, embedding): counts (node, links), edges (src, dst) that span each component.
 
     `vectors` must be a written table. Vectors of different dimensions have no link. The commonest dimension and those of more than `block` vectors
@@ -190,7 +214,7 @@ def links(vectors: DataFrame, threshold: float, sample: int = SAMPLE, block: int
     sizes = vectors.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "d")
     first = sizes.limit(1).collect()
     large = first + [x for x in sizes.where(F.col("n") > block).collect() if x not in first]
-    found = [_indexed_links(vectors.where(F.size("embedding") == d), d, n, threshold, sample, block, lists, spread) for d, n in large]
+    found = [_indexed_links(vectors.where(F.size("embedding") == d), d, n, threshold, sample, block, lists, probes) for d, n in large]
     found.append(written(_small_links(vectors.where(~F.size("embedding").isin([d for d, _ in large])), threshold), spark))
     rows = reduce(DataFrame.unionByName, found)
     return rows.groupBy("node").agg(F.sum("links").alias("links")), rows.where("node <> root").select(F.col("node").alias("src"), F.col("root").alias("dst"))
@@ -228,15 +252,43 @@ def _small_links(vectors: DataFrame, threshold: float) -> DataFrame:
     return rows.repartition("d").sortWithinPartitions("d").mapInArrow(run, "node long, links long, root long")
 
 
-def _indexed_links(rows: DataFrame, dim: int, count: int, threshold: float, sample: int, block: int, lists: int | None, spread: float | None) -> DataFrame:
+def needed(rows: DataFrame, q: Quantizer, queries: np.ndarray, threshold: float, dim: int) -> tuple[int, float]:
+    """How many links the queries (unit vectors) have among all rows, and the tau that the most demanding of them needs."""
+    home_q, far_q = q.borders(queries)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, most = 0, 0.0
+        for b in batches:
+            x = _unit(b.column(0).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dim))
+            for s in range(0, len(x), 1024):
+                i, j = np.nonzero(x[s : s + 1024] @ queries.T >= threshold)
+                if len(i):
+                    home, far = q.borders(x[s : s + 1024])
+                    need = np.where(home[i] == home_q[j], 0.0, np.minimum(far[i, home_q[j]], far_q[j, home[i]]))
+                    count, most = count + len(i), max(most, float(need.max()))
+        yield pa.RecordBatch.from_arrays([pa.array([count]), pa.array([most])], ["count", "most"])
+
+    out = rows.select("embedding").mapInArrow(run, "count long, most double").agg(F.sum("count"), F.max("most")).first()
+    # each query is linked to itself
+    return (out[0] or 0) - len(queries), out[1] or 0.0
+
+
+def _indexed_links(rows: DataFrame, dim: int, count: int, threshold: float, sample: int, block: int, lists: int | None, probes: str) -> DataFrame:
     """(node, links, root) of vectors of one dimension."""
     spark = rows.sparkSession
+    kind = rows.schema["embedding"].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
+    rows = rows.withColumn("embedding", F.col("embedding").cast(kind))
     # a bounded sample: those with the smallest hashes
     taken = rows.select("embedding").orderBy(F.xxhash64("embedding"), "embedding").limit(sample).toArrow().column(0).combine_chunks()
     taken = taken.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dim)
     k = lists or max(1, min(LISTS, count // LIST_ROWS))
-    q = Quantizer.fit(taken, k, threshold, spread)
+    q = Quantizer.fit(taken, k, threshold)
     k = len(q.centroids)
+    if probes == "measured" and k > 1:
+        found, most = needed(rows, q, _unit(taken[:QUERIES]), threshold, dim)
+        if found >= ENOUGH:
+            q.tau = min(q.tau, MARGIN * most)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -246,12 +298,12 @@ def _indexed_links(rows: DataFrame, dim: int, count: int, threshold: float, samp
                 home, visits = q.lists(x)
                 codes, missed = q.encode(x, home)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:2], pa.array(list(x), pa.list_(pa.float64())), pa.array(home.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(missed), pa.array(visits, pa.list_(pa.int32()))],
+                    [*part.columns, pa.array(home.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(missed), pa.array(visits, pa.list_(pa.int32()))],
                     ["node", "weight", "embedding", "home", "codes", "missed", "visits"],
                 )
 
     temporary: list[str] = []
-    indexed = written(rows.select("node", "weight", F.col("embedding").cast("array<double>")).mapInArrow(index, SHIPPED.split("side int, ")[1]), spark, temporary)
+    indexed = written(rows.select("node", "weight", "embedding").mapInArrow(index, INDEXED.format(kind)), spark, temporary)
     # k rows at most
     n_home = dict(indexed.groupBy("home").count().collect())
     n_visit = dict(indexed.select(F.explode("visits").alias("home")).groupBy("home").count().collect())
@@ -330,7 +382,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, key: str = "vec_id"
     small = nodes.select("node", "weight", "least").join(counts, "node", "left").join(label, "node", "left")
     small = small.select("node", "least", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
     first = small.groupBy("component").agg(F.min("least").alias("component_id"))
-    done = nodes.select("node", F.col("embedding").alias("__embedding")).join(small.join(dealt_anew(first, "component"), "component").select("node", "n_links", "component_id"), "node").drop("node")
-    out = rows.join(done, F.when(linkable(e), e) == F.col("__embedding"), "left").drop("__embedding")
-    out = out.withColumns({"n_links": F.coalesce("n_links", F.lit(0)).cast("long"), "component_id": F.coalesce("component_id", k)})
-    return out.withColumn("kept", k.eqNullSafe(F.col("component_id")))
+    done = nodes.select("node", F.col("embedding").alias("vector")).join(small.join(dealt_anew(first, "component"), "component").select("node", "n_links", "component_id"), "node").drop("node")
+    held = rows.select(F.struct("*").alias("row"), F.when(linkable(e), e).alias("mine"))
+    out = held.join(done, F.col("mine") == F.col("vector"), "left")
+    own = F.col(f"row.`{key}`")
+    label = F.coalesce("component_id", own)
+    return out.select("row.*", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), label.alias("component_id"), own.eqNullSafe(label).alias("kept"))

@@ -304,11 +304,11 @@ def test_vectors_equal_brute_force(spark):
     comp = np.arange(len(x))
     for _ in range(60):
         comp = np.minimum(comp, np.where(link, comp, 10**6).min(1))
-    for how in ({"spread": None, "lists": 9, "block": 16}, {"lists": 5}):
+    for how in ({"probes": "certain", "lists": 9, "block": 16}, {"lists": 5}):
         got = {v["vec_id"]: v for v in pq_dedup.near_vectors(d, 0.9, **how).collect()}
         assert len(got) == len(rows)
         links = np.array([got[i]["n_links"] for i in range(len(x))])
-        if "spread" in how:  # certain probes: nothing is missed
+        if "probes" in how:  # certain probes: nothing is missed
             assert (links == link.sum(1)).all() and all(got[i]["component_id"] == comp[i] for i in range(len(x)))
         else:
             assert links.sum() >= 0.9 * link.sum() and (links <= link.sum(1)).all()
@@ -333,6 +333,51 @@ def test_vectors_of_low_rank_lose_no_link(spark):
         assert [got[i] for i in range(len(x))] == link_counts(x).tolist()
 
 
+def test_codes_are_read_before_vectors():
+    """Estimates come from table lookups, off by what the codes miss at most; vectors are read of members that these leave."""
+    r = np.random.default_rng(9)
+    x = r.normal(size=(1500, 32))
+    x[1400:] = x[:100] + r.normal(size=(100, 32)) * 0.1
+    q = pq_dedup.Quantizer.fit(x, 7, 0.9)
+    u = pq_dedup._unit(x)
+    home, visits = q.lists(u)
+    codes, missed = q.encode(u, home)
+    which = int(np.bincount(home).argmax())
+    at = np.flatnonzero(home == which)
+    estimate = sum(t[codes[at, m]] for m, t in enumerate(q.tables(which, u)))
+    assert (np.abs(estimate - u[at] @ u.T) <= missed[at, None] + 1e-5).all()
+    read = []
+
+    class Watched(pq_dedup.Rows):
+        def unit(self, at):
+            read.append(at)
+            return super().unit(at)
+
+    side = lambda kind, a: kind(a, np.ones(len(a), int), x[a], home[a], codes[a], missed[a], [visits[i] for i in a])
+    for far, members in ((True, side(Watched, at)), (False, side(Watched, at))):
+        read.clear()
+        queries = side(pq_dedup.Rows, at)
+        if far:
+            queries.given = -queries.given
+        found = list(pq_dedup.compare(q, which, 0.9, members, queries, not far, True))
+        assert bool(found) != far and sum(len(a) for a in read) < (1 if far else len(at) // 2 + 200)
+
+
+@pytest.mark.parametrize("rank,lists", [(64, 40), (12, 40), (6, 60), (2, 30)])
+def test_measured_probes_reach_the_links(spark, rank, lists):
+    """All links, of vectors whose links point in all dimensions or in few; probes of even vectors are short of the certain ones."""
+    r = np.random.default_rng(rank)
+    centres = r.normal(size=(60, rank))
+    x = ((centres[r.integers(60, size=3000)] + r.normal(size=(3000, rank)) * 0.25) @ r.normal(size=(rank, 64))).astype(np.float32)
+    d = spark.createDataFrame([(i, v.tolist(), 1, 2) for i, v in enumerate(x)], "vec_id long, embedding array<float>, __embedding int, vector int")
+    out = pq_dedup.near_vectors(d, 0.9, lists=lists)
+    assert out.columns == ["vec_id", "embedding", "__embedding", "vector", "n_links", "component_id", "kept"]
+    got = {v["vec_id"]: v["n_links"] for v in out.collect()}
+    want = link_counts(x)
+    have = np.array([got[i] for i in range(len(x))])
+    assert (have <= want).all() and have.sum() >= 0.999 * want.sum() > 3000
+
+
 def test_vectors_of_every_dimension_link(spark):
     r = np.random.default_rng(6)
     rows, want = [], []

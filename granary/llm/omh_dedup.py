@@ -14,9 +14,9 @@ Order of work, so that no step makes pairs of a group:
 1.  `sketched`: one pass over the texts gives digests of words and buckets, written once. Copies that a task meets are one
     node from here on; those of several tasks share all buckets. A second pass (`worded`) fetches the words of nodes that share a bucket.
 2.  Buckets are parted by length, as links differ by a fifth of their words at most. Each node is aligned with one hub, the smallest node of one of its buckets.
-3.  Buckets whose nodes lie in one component are done. In the others every node is aligned with the bucket's hub, which tells
+3.  Buckets whose nodes lie in one component are done. Others that share nodes become one where that is less work (`clustered`). In each every node is aligned with the bucket's hub, which tells
     those near the hub (linked) from those so far from it that, by the triangle inequality, no near one can be linked to them.
-4.  Buckets that share nodes are joined where that is less work (`clustered`). What is left are the nodes of a bucket that are not near its hub, among each other, and those neither near nor far against the near ones. Block is
+4.  What is left are the nodes of a bucket that are not near its hub, among each other, and those neither near nor far against the near ones. Block is
     compared with block; a bound on the distance from common words, computed for whole blocks by matrix products, rules out most pairs, and the
     nodes of the largest component are not compared with each other. So a link between any two
     candidates is either found or implied by found ones, and components are as if all candidates had been aligned. A bucket with n texts of like length that
@@ -514,7 +514,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     labelled = lambda rows: rows.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mine = labelled(members.select("bucket", "node"))
     mixed = mine.groupBy("bucket").agg(several()).where("several").select("bucket")
-    mixed = mine.join(dealt_anew(mixed, "bucket"), "bucket", "left_semi")
+    mixed = clustered(put(mine.join(dealt_anew(mixed, "bucket"), "bucket", "left_semi")))
     # each text is in its own length class and, as a guest, in the next; links lie in one class or in two neighbours
     own = F.floor(F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")) / float(-np.log(similarity - 1e-6))).cast("int")
     banded = mixed.join(base.select("node", "n"), "node").select("node", "component", F.explode(F.array(own, own + 1)).alias("band"), (F.col("band") == own).alias("home"), "bucket")
@@ -538,7 +538,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     apart = of(rows.where((F.col("place") != NEAR) & ((F.col("between") == 0) | (F.col("far") > F.col("between")))), 0)
     beside = of(rows.where((F.col("between") > 0) & ((F.col("place") != FAR) | (F.col("far") <= F.col("between")))), 1)
     swept(spark)
-    found = put(verified_buckets(clustered(put(apart.unionByName(beside))), words, similarity))
+    found = put(verified_buckets(put(apart.unionByName(beside)), words, similarity))
     label = components(links.unionByName(found))
     swept(spark)
     # the classes of all rows

@@ -1,4 +1,4 @@
-"""python -m granary build CONFIG | verify CONFIG | policy-diff OLD NEW | report OUT_DIR"""
+"""python -m granary build CONFIG [--resume MODE] [--checkpoint RUN] | verify CONFIG | policy-diff OLD NEW | report OUT_DIR | checkpoints OUT_DIR [--reset RUN]"""
 
 from __future__ import annotations
 
@@ -7,14 +7,21 @@ import logging
 import os
 import sys
 
+RESUME_MODES = ("auto", "beginning", "checkpoint", "ignore")
+
 
 def main(args: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="granary", description=__doc__)
     sub = parser.add_subparsers(dest="what", required=True)
-    for name, *names in (("build", "config"), ("verify", "config"), ("policy-diff", "old", "new"), ("report", "out_dir")):
+    for name, *names in (("build", "config"), ("verify", "config"), ("policy-diff", "old", "new"), ("report", "out_dir"), ("checkpoints", "out_dir")):
         p = sub.add_parser(name)
         for n in names:
             p.add_argument(n)
+        if name == "build":
+            p.add_argument("--resume", default="auto", choices=RESUME_MODES)
+            p.add_argument("--checkpoint", help="the run to go on with, or how its name begins (with --resume checkpoint)")
+        elif name == "checkpoints":
+            p.add_argument("--reset", help="a run whose progress is forgotten")
     given = parser.parse_args(args)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
 
@@ -36,7 +43,16 @@ def main(args: list[str] | None = None) -> int:
         from .plans import pipeline
 
         cfg = config.parse(config.load_yaml(given.config), os.path.dirname(given.config) or ".")
-        print(writers.summary_text(pipeline.run(spark, cfg)))
+        print(writers.summary_text(pipeline.run(spark, cfg, resume=given.resume, named=given.checkpoint)))
+        return 0
+    if given.what == "checkpoints":
+        from .plans import ledger
+
+        base = f"{given.out_dir.rstrip('/')}/progress"
+        if given.reset:
+            print("forgotten" if ledger.Ledger(spark, base, given.reset).reset() else "there is no such run")
+        for r in ledger.progress(spark, base):
+            print(f"{r['run']}: {r['done']} of {r['units']} units, {r['rows']} rows")
         return 0
     manifest = writers.read_json(spark, f"{given.out_dir}/manifest.json")
     if manifest is None:

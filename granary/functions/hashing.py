@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
+from .text import once
+
 #: Of the placeholder identifier: characters of the raw text that it covers.
 PLACEHOLDER_CHARS = 512
 #: Bits of a SimHash: 15 hexadecimal digits of a word's md5.
@@ -72,7 +74,7 @@ def simhash(c: Column, ascii_words: bool = False, limit: int | None = SIMHASH_WO
 
         return pa.array([one(t) for t in texts.to_pylist()], pa.int64())
 
-    return run(c)
+    return once(run)(c)
 
 
 def gram_hashes(text: str, n: int = 5) -> np.ndarray:
@@ -110,7 +112,7 @@ def minhash(c: Column, n: int = 5, permutations: int = 128) -> Column:
 
         return pa.array([one(t.as_py()) for t in texts], pa.list_(pa.int64()))
 
-    return run(c)
+    return once(run)(c)
 
 
 def bands(threshold: float, permutations: int) -> tuple[int, int]:

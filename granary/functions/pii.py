@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import once
+
 # The detectors' patterns and confidences, in the order of registration.
 EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"
 PHONE = r"(?<!\d)(?:\+?\d{1,3}[\s-]?)?(?:\d[\s-]?){9,12}(?!\d)"
@@ -79,7 +81,7 @@ def signals(c: Column) -> Column:
         names = ("kind", "start", "end", "confidence")
         return pa.array([[dict(zip(names, s, strict=True)) for s in signals_of(t or "", found)] for t in texts.to_pylist()], kind)
 
-    return run(c)
+    return once(run)(c)
 
 
 def redacted(text: str, spans: list[tuple[str, int, int, float]], mask: Callable[[str], str] = lambda kind: f"<PII:{kind.upper()}>") -> str:
@@ -113,4 +115,4 @@ def redact(c: Column, threshold: float, wanted: list[str] | None = None) -> Colu
         return pa.array([None if t is None else redacted(t, signals_of(t, found)) for t in texts.to_pylist()], pa.string())
 
     hit = c.rlike(java("|".join(f"(?:{d.pattern})" for d in found)))
-    return F.coalesce(run(F.when(hit, c)), c)
+    return F.coalesce(once(run)(F.when(hit, c)), c)

@@ -16,6 +16,11 @@ WHITE = r"(?U)[\s\x1c-\x1f]+"
 TAG = r"<[^>]+>"
 
 
+def once(function: Callable) -> Callable:
+    """A Python function that the optimiser keeps in its place. It would otherwise copy the call into a filter on the result, and run it twice for every row."""
+    return function.asNondeterministic()
+
+
 def collapse_white(c: Column) -> Column:
     """Runs of white space become one space, none at the ends."""
     return F.trim(F.regexp_replace(c, WHITE, " "))
@@ -33,13 +38,11 @@ def _nfc(texts: pa.Array) -> pa.Array:
 
 def nfc(c: Column) -> Column:
     """Unicode NFC. ASCII texts, which it never changes, do not go to Python."""
-    return F.coalesce(_nfc(F.when(c.rlike(r"[^\x00-\x7f]"), c)), c)
+    return F.coalesce(once(_nfc)(F.when(c.rlike(r"[^\x00-\x7f]"), c)), c)
 
 
 @F.arrow_udf(DoubleType())
-def char_entropy(texts: pa.Array) -> pa.Array:
-    """Shannon entropy of the characters in bits; 0 for an empty text, null for null."""
-
+def _entropy(texts: pa.Array) -> pa.Array:
     def one(t: str | None) -> float | None:
         if not t:
             return None if t is None else 0.0
@@ -49,6 +52,11 @@ def char_entropy(texts: pa.Array) -> pa.Array:
     return pa.array([one(t) for t in texts.to_pylist()], pa.float64())
 
 
+def char_entropy(c: Column) -> Column:
+    """Shannon entropy of the characters in bits; 0 for an empty text, null for null."""
+    return once(_entropy)(c)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with the value computed once; an expression inside a lambda is otherwise computed for every element."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -6,24 +6,25 @@ shuffled; first occurrences are aggregated before they move, so a key with very
 
 from __future__ import annotations
 
-import os
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hashing, text
+from ..storage import checkpointing, delete, put
 from .gates import alive, changed, marked, rejecting
 
+#: The default thresholds and sizes.
 SIMHASH_DISTANCE = 3
 MINHASH_THRESHOLD, MINHASH_NGRAM, MINHASH_PERMUTATIONS = 0.9, 5, 128
 CHUNK_SIZE, CHUNK_OVERLAP = 512, 0
 
 
-def exact_dedup(df: DataFrame, idx: int, store: DataFrame | None = None) -> DataFrame:
+def exact_dedup(df: DataFrame, idx: int, store: DataFrame | None = None, first_as: str | None = None) -> DataFrame:
     """Sets doc_id to the text's SHA-256 and dup_group_id; rejects all but the first alive row of each (DUP_EXACT).
 
-    store: digests of earlier runs (column doc_id), all of which count as earlier.
+    store: digests of earlier runs (column doc_id), all of which count as earlier. first_as: a column for the seq of the first row with the text (-1: in the store).
     """
     digest = hashing.sha256(F.col("text"))
     df = changed(df, doc_id=digest)
@@ -35,7 +36,8 @@ def exact_dedup(df: DataFrame, idx: int, store: DataFrame | None = None) -> Data
     # behind a shuffle of its own, so that the join can split a digest that very many rows have
     df = df.join(first.repartition(F.xxhash64("__h")), F.when(alive(), F.col("doc_id")) == F.col("__h"), "left")
     reason = F.when(F.col("seq") != F.col("__first"), "DUP_EXACT")
-    return marked(rejecting(df, "exact_dedup", idx, reason, F.lit("duplicate content hash")), "exact_dedup_v1").drop("__h", "__first")
+    df = marked(rejecting(df, "exact_dedup", idx, reason, F.lit("duplicate content hash")), "exact_dedup_v1").drop("__h")
+    return df.withColumnRenamed("__first", first_as) if first_as else df.drop("__first")
 
 
 # -- SimHash --------------------------------------------------------------------------------------
@@ -66,7 +68,7 @@ def hamming_pairs(signatures: DataFrame, sig: str = "sig", bits: int = hashing.S
         s = t.select(F.col(sig).alias(name)).distinct().checkpoint().where(F.col(name).isNotNull())
         return s.select(name, F.posexplode(F.array(*[part(F.col(name), i) for i in range(len(choices))])).alias("choice", "value"))
 
-    _checkpointing(signatures.sparkSession)
+    checkpointing(signatures.sparkSession)
     a = keyed(signatures, "a")
     b = a.withColumnRenamed("a", "b") if known is None else keyed(known, "b")
     first = F.coalesce(*[F.when(part(F.col("a"), i) == part(F.col("b"), i), F.lit(i)) for i in range(len(choices))])
@@ -80,7 +82,7 @@ def simhash_buckets(docs: DataFrame, distance: int = SIMHASH_DISTANCE) -> DataFr
 
     A set is the documents of one signature, or those of two near ones.
     """
-    _checkpointing(docs.sparkSession)
+    checkpointing(docs.sparkSession)
     members = docs.select("sig", "seq").checkpoint().where("sig is not null")
     pairs = hamming_pairs(members.select("sig"), distance=distance).select("a", "b")
     sides = pairs.select(F.col("a").alias("sig"), F.struct("a", "b").alias("set")).unionByName(pairs.select(F.col("b").alias("sig"), F.struct("a", "b").alias("set")))
@@ -101,7 +103,7 @@ def minhash_bands(docs: DataFrame, threshold: float = MINHASH_THRESHOLD, ngram:
 
 def minhash_hits(bands: DataFrame, store: DataFrame | None = None) -> DataFrame:
     """(seq, first): documents that share a band with an earlier one (or with the store: first is -1) and the earliest such."""
-    _checkpointing(bands.sparkSession)
+    checkpointing(bands.sparkSession)
     bands = bands.checkpoint()
     first = bands.groupBy("band", "hash").agg(F.min("seq").alias("first"))
     if store is not None:
@@ -112,7 +114,7 @@ def minhash_hits(bands: DataFrame, store: DataFrame | None = None) -> DataFrame:
 
 def minhash_pairs(bands: DataFrame) -> DataFrame:
     """(a, b), a < b, of each bucket's first document with the others: candidates, unverified."""
-    _checkpointing(bands.sparkSession)
+    checkpointing(bands.sparkSession)
     bands = bands.checkpoint()
     first = bands.groupBy("band", "hash").agg(F.min("seq").alias("a"))
     return bands.join(_dealt_anew(first, "band", "hash"), ["band", "hash"]).where("seq > a").select("a", F.col("seq").alias("b")).distinct()
@@ -142,7 +144,7 @@ def chunk_hashes(docs: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_O
 
 def chunk_links(hashes: DataFrame, store: DataFrame | None = None) -> DataFrame:
     """(seq, links): how many of a document's chunks an earlier document, or the store, has. Repeats within one document do not count."""
-    _checkpointing(hashes.sparkSession)
+    checkpointing(hashes.sparkSession)
     hashes = hashes.checkpoint()
     first = hashes.groupBy("hash").agg(F.min("seq").alias("first"))
     if store is not None:
@@ -187,24 +189,58 @@ def greedy_keep(nodes: DataFrame, members: DataFrame) -> DataFrame:
     """(seq, keep): a node stays exactly if no earlier node that stays shares a bucket (seq, bucket) with it.
 
     The set is that of a sequential pass, found in rounds (Blelloch et al. 2012): undecided nodes that are the first in all of
-    their buckets stay, all others in those buckets go. Buckets are only aggregated, so a bucket that a third of all nodes
-    share costs no pairs. Each round is checkpointed in the folder of spark.checkpoint.dir. A round decides the first open
-    node at least, so the rounds end; a chain of near copies takes half as many rounds as its links.
+    their buckets stay, all others in those buckets go. From the third round on chains are shortened as well (`_chained`): a node that only one
+    earlier node stands before does the opposite of it, and pointers along such nodes double until they end, so that a chain
+    of any length takes as many steps as its length has digits. Buckets are only aggregated, so a bucket that a third of all nodes
+    share costs no pairs. Each step is written to the shared folder and the one before deleted; the driver sees a count a step.
     """
     spark = nodes.sparkSession
-    _checkpointing(spark)
-    gone = spark.createDataFrame([], "seq long")
-    shared = members.groupBy("bucket").agg(F.countDistinct("seq").alias("n")).where("n > 1").select("bucket")
-    open_ = members.join(shared, "bucket", "left_semi").select("seq", "bucket").distinct().checkpoint()
+    decided: list[str] = []  # (seq, keep) of each round
+    temporary: list[str] = []
+    shared = members.groupBy("bucket").agg(F.min("seq").alias("a"), F.max("seq").alias("b")).where("a <> b").select("bucket")
+    open_ = put(members.join(_dealt_anew(shared, "bucket"), "bucket", "left_semi").select("seq", "bucket").distinct(), temporary)
+    number = 0
     while not open_.isEmpty():
-        first = _dealt_anew(open_.groupBy("bucket").agg(F.min("seq").alias("first")), "bucket").checkpoint()
-        seen = open_.join(first, "bucket")
-        stay = seen.groupBy("seq").agg(F.bool_and(F.col("seq") == F.col("first")).alias("stays")).where("stays").select("seq").checkpoint()
-        closed = first.join(stay.withColumnRenamed("seq", "first"), "first", "left_semi").select("bucket", "first")
-        dropped = open_.join(closed, "bucket").where("seq <> first").select("seq").distinct().checkpoint()
-        gone = gone.unionByName(dropped)
-        open_ = open_.join(dropped.unionByName(stay), "seq", "left_anti").checkpoint()
-    return nodes.select("seq").distinct().join(gone.withColumn("__gone", F.lit(True)), "seq", "left").select("seq", F.col("__gone").isNull().alias("keep"))
+        number += 1
+        before = list(temporary)
+        first = _dealt_anew(open_.groupBy("bucket").agg(F.min("seq").alias("first")), "bucket")
+        seen = put(open_.join(first, "bucket"), temporary)
+        stay = seen.groupBy("seq").agg(F.bool_and(F.col("seq") == F.col("first")).alias("stays")).where("stays").select("seq")
+        known = stay.withColumn("keep", F.lit(True))
+        if number > 2:
+            known = put(known.unionByName(_chained(seen, put(stay, temporary), temporary)), temporary)
+        closed = seen.join(known.where("keep").select("seq"), "seq", "left_semi").select("bucket", F.col("seq").alias("kept"))
+        gone = seen.join(_dealt_anew(closed, "bucket"), "bucket").where("seq <> kept").select("seq", F.lit(False).alias("keep"))
+        verdict = put(known.unionByName(gone).groupBy("seq").agg(F.bool_and("keep").alias("keep")), decided)
+        open_ = put(seen.join(verdict, "seq", "left_anti").select("seq", "bucket"), temporary)
+        delete(spark, *before)
+        temporary = [t for t in temporary if t not in before]
+    gone = spark.createDataFrame([], "seq long, keep boolean")
+    if decided:
+        gone = spark.read.parquet(*decided).where("not keep")
+    out = put(nodes.select("seq").distinct().join(gone, "seq", "left").select("seq", F.coalesce("keep", F.lit(True)).alias("keep")))
+    delete(spark, *decided, *temporary)
+    return out
+
+
+def _chained(seen: DataFrame, stay: DataFrame, temporary: list[str]) -> DataFrame:
+    """(seq, keep) of open nodes (seen: seq, bucket, first) that follow from those that stay along nodes with one earlier node before them.
+
+    Such a node is the first or the second in each of its buckets, and where it is second the first is always the same one.
+    """
+    second = _dealt_anew(seen.where("seq > first").groupBy("bucket").agg(F.min("seq").alias("second")), "bucket")
+    at = seen.where("seq > first").join(second, "bucket")
+    one = at.groupBy("seq").agg(F.bool_and(F.col("seq") == F.col("second")).alias("ok"), F.min("first").alias("up"), F.max("first").alias("other")).where("ok and up = other")
+    # odd: whether the node does the opposite of `up`
+    chain = put(one.select("seq", "up", F.lit(True).alias("odd")), temporary)
+    while True:
+        ahead = _dealt_anew(chain.select(F.col("seq").alias("up"), F.col("up").alias("next"), F.col("odd").alias("more")), "up")
+        jumped = chain.join(ahead, "up", "left")
+        step = put(jumped.select("seq", F.coalesce("next", "up").alias("up"), (F.col("odd") != F.coalesce("more", F.lit(False))).alias("odd"), F.col("next").isNotNull().alias("moved")), temporary)
+        if step.where("moved").isEmpty():
+            break
+        chain = step.drop("moved")
+    return chain.join(stay.select(F.col("seq").alias("up")), "up", "left_semi").select("seq", (~F.col("odd")).alias("keep"))
 
 
 def buckets_of_edges(edges: DataFrame) -> DataFrame:
@@ -213,22 +249,15 @@ def buckets_of_edges(edges: DataFrame) -> DataFrame:
     return edges.where("a <> b").select(F.explode(F.array("a", "b")).alias("seq"), b)
 
 
-def _checkpointing(spark) -> None:
-    """Checkpoints go to the session's shared folder; only in local mode (tests) may one of this machine stand in."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(folder or f"file:///tmp/granary-checkpoints-{os.getuid()}")
-
-
-def global_decisions(docs: DataFrame, simhash: bool = True, minhash: bool = True, chunk: bool = True, distance: int = SIMHASH_DISTANCE, threshold: float = MINHASH_THRESHOLD, limit: int | None = None, known_chunks: DataFrame | None = None) -> DataFrame:
+def global_decisions(docs: DataFrame, simhash: bool = True, minhash: bool = True, chunk: bool = True, distance: int = SIMHASH_DISTANCE, threshold: float = MINHASH_THRESHOLD, limit: int | None = None, known_chunks: DataFrame | None = None, collisions: bool = False) -> DataFrame:
     """(seq, action, match_type, links) of documents (seq, text): drop, keep_link (chunks shared) or keep.
 
     A document is dropped if an earlier kept one matches by SimHash, else by MinHash; chunks shared with kept ones, or with known_chunks (hash), only link.
-    SimHash signs whole texts; `limit` takes so many words of each (the reference: hashing.SIMHASH_WORDS).
+    SimHash signs whole texts; `limit` takes so many words of each (the reference: hashing.SIMHASH_WORDS). collisions: a column that says whether
+    what a dropped document (seq, text, source) matches comes from several sources.
     """
     spark = docs.sparkSession
+    temporary: list[str] = []
     members = spark.createDataFrame([], "seq long, bucket long, kind string")
     if simhash:
         signed = docs.select("seq", hashing.simhash(F.col("text"), limit=limit).alias("sig"))
@@ -236,13 +265,16 @@ def global_decisions(docs: DataFrame, simhash: bool = True, minhash: bool = True
     if minhash:
         bands = minhash_bands(docs, threshold)
         members = members.unionByName(bands.select("seq", F.xxhash64(F.lit("minhash"), "band", "hash").alias("bucket"), F.lit("minhash").alias("kind")))
-    _checkpointing(spark)
-    members = members.checkpoint()
-    keep = greedy_keep(docs.select("seq"), members.select("seq", "bucket")).checkpoint()
+    members = put(members, temporary)
+    keep = greedy_keep(docs.select("seq"), members.select("seq", "bucket"))
     kept = keep.where("keep").select("seq")
     # a bucket has one kept node at most
-    held = _dealt_anew(members.join(kept, "seq", "left_semi").groupBy("bucket").agg(F.min("seq").alias("kept")), "bucket")
-    by = members.join(held, "bucket").where("seq > kept").groupBy("seq").agg(F.max("kind").alias("match_type"))
+    held = members.join(kept, "seq", "left_semi").groupBy("bucket").agg(F.min("seq").alias("kept"))
+    sums = [F.max("kind").alias("match_type")]
+    if collisions:
+        held = held.join(docs.select(F.col("seq").alias("kept"), F.col("source").alias("of")), "kept")
+        sums.append((F.min("of") != F.max("of")).alias("collides"))
+    by = members.join(_dealt_anew(held, "bucket"), "bucket").where("seq > kept").groupBy("seq").agg(*sums)
     out = keep.join(by, "seq", "left")
     if chunk:
         links = chunk_links(chunk_hashes(docs.join(kept, "seq", "left_semi")), known_chunks)
@@ -252,7 +284,10 @@ def global_decisions(docs: DataFrame, simhash: bool = True, minhash: bool = True
     links = F.when(F.col("keep"), F.coalesce("links", F.lit(0))).otherwise(0)
     action = F.when(~F.col("keep"), "drop").when(links > 0, "keep_link").otherwise("keep")
     match = F.when(~F.col("keep"), F.col("match_type")).when(links > 0, F.lit("chunk_hash"))
-    return out.select("seq", action.alias("action"), match.alias("match_type"), links.cast("long").alias("links"))
+    more = [F.coalesce(~F.col("keep") & F.col("collides"), F.lit(False)).alias("collides")] if collisions else []
+    done = put(out.select("seq", action.alias("action"), match.alias("match_type"), links.cast("long").alias("links"), *more))
+    delete(spark, *temporary)
+    return done
 
 
 def global_dedup(df: DataFrame, idx: int, store: FingerprintStore | None = None, types: tuple[list[str], dict[str, str]] | None = None, sources: list[str] | None = None, **how) -> DataFrame:
@@ -266,7 +301,7 @@ def global_dedup(df: DataFrame, idx: int, store: FingerprintStore | None = None,
     if store is None:
         d = global_decisions(live, **how)
     else:
-        _checkpointing(df.sparkSession)
+        checkpointing(df.sparkSession)
         earlier = store.decide(live, types, sources).checkpoint()
         gone = earlier.where(~F.col("keep"))
         d = global_decisions(live.join(gone, "seq", "left_anti"), known_chunks=store.read("chunks"), **how)
@@ -286,9 +321,13 @@ class FingerprintStore:
 
     TABLES = ("exact", "simhash", "minhash", "chunks")
 
-    def __init__(self, spark, path: str, version: str = "v1", run: str | None = None):
-        """run: whose rows add() replaces and read() leaves out, so that a run can be repeated without meeting its own documents."""
-        self.spark, self.path, self.version = spark, path.rstrip("/"), version
+    def __init__(self, spark, path: str, version: str = "v2", run: str | None = None, limit: int | None = None):
+        """run: whose rows add() replaces and read() leaves out, so that a run can be repeated without meeting its own documents.
+
+        limit: words of a text that its SimHash signs, all by default. It is part of the version, so signatures of whole texts and of heads never meet.
+        """
+        self.spark, self.path, self.limit = spark, path.rstrip("/"), limit
+        self.version = version if limit is None else f"{version}-{limit}-words"
         self.run = f"run-{run or ''}"
 
     def read(self, table: str) -> DataFrame | None:
@@ -312,7 +351,7 @@ class FingerprintStore:
         """Appends all fingerprints of documents (seq, doc_id, text, source)."""
         who = docs.select("seq", "doc_id", F.col(source).alias("source"))
         self.append("exact", who.drop("seq"))
-        self.append("simhash", docs.select("doc_id", F.col(source).alias("source"), hashing.simhash(F.col("text")).alias("sig")).where("sig is not null"))
+        self.append("simhash", docs.select("doc_id", F.col(source).alias("source"), hashing.simhash(F.col("text"), limit=self.limit).alias("sig")).where("sig is not null"))
         self.append("minhash", minhash_bands(docs).join(who, "seq").drop("seq"))
         self.append("chunks", chunk_hashes(docs).join(who, "seq").drop("seq"))
 
@@ -321,8 +360,8 @@ class FingerprintStore:
         found = self.spark.createDataFrame([], "seq long, match_type string, existing_source string")
         sim, mini = self.read("simhash"), self.read("minhash")
         if sim is not None:
-            _checkpointing(self.spark)
-            mine = docs.select("seq", hashing.simhash(F.col("text")).alias("sig")).checkpoint().where("sig is not null")
+            checkpointing(self.spark)
+            mine = docs.select("seq", hashing.simhash(F.col("text"), limit=self.limit).alias("sig")).checkpoint().where("sig is not null")
             pairs = hamming_pairs(mine.select("sig"), distance=distance, known=sim.select("sig")).select("a", "b")
             known = sim.select(F.col("sig").alias("b"), "source").distinct()
             near = pairs.join(known, "b").select(F.col("a").alias("sig"), "source").distinct()

@@ -196,8 +196,8 @@ def tokenize(df: DataFrame, idx: int, tokenizer: str | None = "words") -> DataFr
 
 def semantic_simhash(df: DataFrame, idx: int, ascii_words: bool = False) -> DataFrame:
     """Marks the SimHash signature of the text's first words in hexadecimal digits."""
-    sig = hashing.simhash(F.when(alive(), F.col("text")), ascii_words)
-    return marked(df, F.concat(F.lit("simhash64="), F.lower(F.lpad(F.hex(sig), 16, "0"))))
+    df = df.withColumn("__sig", hashing.simhash(F.when(alive(), F.col("text")), ascii_words))
+    return marked(df, F.concat(F.lit("simhash64="), F.lower(F.lpad(F.hex("__sig"), 16, "0")))).drop("__sig")
 
 
 def python_stage(df: DataFrame, idx: int, name: str, function: Callable[[str], str]) -> DataFrame:
@@ -215,7 +215,7 @@ def python_stage(df: DataFrame, idx: int, name: str, function: Callable[[str], s
 
         return pa.array([one(t) for t in texts.to_pylist()], pa.struct([("text", pa.string()), ("error", pa.string())]))
 
-    df = df.withColumn("__new", run(F.when(alive(), F.col("text"))))
+    df = df.withColumn("__new", text.once(run)(F.when(alive(), F.col("text"))))
     error = F.col("__new.error")
     df = rejecting(df, "runtime_error", idx, F.when(error.isNotNull(), "RUNTIME_ERROR"), error)
     return marked(changed(df, text=F.col("__new.text")).drop("__new"), f"{name}_v1")

@@ -38,6 +38,11 @@ def register_stage(name: str, stage: Stage) -> None:
     _stages[name] = stage
 
 
+def register_transform(name: str, function: Callable[[str], str]) -> None:
+    """A Python function on texts as a stage. A document for which it raises is rejected as RUNTIME_ERROR, once, with the error; the others go on."""
+    register_stage(name, lambda df, idx: gates.python_stage(df, idx, name, function))
+
+
 def unregister_stage(name: str) -> None:
     _stages.pop(name, None)
 

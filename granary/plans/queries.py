@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import hashing, pii, text
-from ..operators import dedup, gates, reports
+from ..operators import dedup, gates, quantiles, registry, reports
 from ..schema import from_raw, metadata
 from ..sinks import writers
 from ..sources import readers
+from ..storage import new_folder
 from .pipeline import apply_stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -210,9 +211,8 @@ def min_text_length(spark, sf):
 
 @query("SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) > 1 AS duplicate, min(doc_id) OVER (PARTITION BY text) AS first_id FROM documents")
 def exact_dedup(spark, sf):
-    d = apply_stages(docs(spark, sf), ["exact_dedup"])
-    first = d.where("rejection is null").select("dup_group_id", "doc_id", F.col("seq").alias("first_id"))
-    return d.join(first, ["dup_group_id", "doc_id"]).select(F.col("seq").alias("doc_id"), F.col("rejection").isNotNull().alias("duplicate"), "first_id")
+    d = apply_stages(docs(spark, sf), ["exact_dedup"], exact_dedup={"first_as": "first_id"})
+    return d.select(F.col("seq").alias("doc_id"), F.col("rejection").isNotNull().alias("duplicate"), "first_id")
 
 
 @query("SELECT text_sha256, n FROM (SELECT sha256(text) AS text_sha256, count(*) AS n FROM documents GROUP BY 1) WHERE n > 1")
@@ -277,8 +277,10 @@ def _without_e(t: str) -> str:
 @query("""SELECT doc_id, CASE WHEN contains(text, '@') THEN 'RUNTIME_ERROR' END AS reason, CASE WHEN contains(text, '@') THEN 'an address' END AS detail,
     sha256(CASE WHEN contains(text, '@') THEN text ELSE replace(text, 'e', '3') END) AS text_sha256 FROM documents""")
 def runtime_errors(spark, sf):
-    """A transform that raises for some documents: these are rejected, the others go on."""
-    d = gates.python_stage(docs(spark, sf), 0, "without_e", _without_e)
+    """A registered transform that raises for some documents: these are rejected, the others go on."""
+    if "without_e" not in registry.list_stages():
+        registry.register_transform("without_e", _without_e)
+    d = apply_stages(docs(spark, sf), ["without_e"])
     return d.select(F.col("seq").alias("doc_id"), F.col("rejection.reason_code").alias("reason"), F.col("rejection.reason_detail").alias("detail"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
@@ -307,7 +309,16 @@ def global_dedup_decisions(spark, sf):
 
 @query()
 def global_dedup_metrics(spark, sf):
-    return reports.dedup_metrics(global_dedup_decisions(spark, sf))
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("seq"), "text", "source")
+    return reports.dedup_metrics(dedup.global_decisions(d, collisions=True))
+
+
+@query("""WITH g AS (SELECT DISTINCT text, source FROM documents WHERE text IS NOT NULL AND source IS NOT NULL)
+    SELECT a.source AS source_a, b.source AS source_b, count(*) AS groups FROM g a JOIN g b ON a.text = b.text AND a.source < b.source GROUP BY ALL""")
+def source_collisions(spark, sf):
+    """How many texts each two sources have in common."""
+    t = table(spark, sf, "documents").where("text is not null")
+    return reports.source_collisions(t.select(hashing.sha256(F.col("text")).alias("group"), "source"))
 
 
 @query("SELECT DISTINCT source, CASE WHEN contains(source, 'src1') THEN 0 WHEN contains(source, 'src2') THEN 1 WHEN contains(source, 'src3') THEN 2 ELSE 3 END AS priority FROM documents")
@@ -398,6 +409,23 @@ def length_percentiles(spark, sf):
     return p.select("lang", *[F.round(c, 6).alias(c) for c in p.columns[1:]])
 
 
+@query("""SELECT event_type, round(quantile_cont(value, 0.5), 6) AS value_p50, round(quantile_cont(value, 0.9), 6) AS value_p90, round(quantile_cont(value, 0.99), 6) AS value_p99,
+    count(value) AS n, true AS merged_within_error FROM events GROUP BY event_type""")
+def event_value_percentiles(spark, sf):
+    """Exact percentiles, and whether those of stored daily sketches, merged, have ranks within twice the sketches' error."""
+    e = table(spark, sf, "events").select("event_type", "value", F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp_ms"))
+    folder = new_folder(spark, "sketches")
+    reports.daily_sketches(e, "value", ["event_type"]).write.partitionBy("date").parquet(folder)
+    whole = quantiles.merged(spark.read.parquet(folder), ["event_type"])
+    estimates = quantiles.estimates(whole, list(reports.PERCENTILES), ["event_type"], [f"q{i}" for i in range(len(reports.PERCENTILES))])
+    n, off, near = F.count("value"), 2 * quantiles.ERROR, F.lit(True)
+    for i, p in enumerate(reports.PERCENTILES):
+        near &= (F.count_if(F.col("value") < F.col(f"q{i}")) <= n * (p + off)) & (F.count_if(F.col("value") <= F.col(f"q{i}")) >= n * (p - off))
+    checked = e.join(estimates, "event_type").groupBy("event_type").agg(n.alias("n"), near.alias("merged_within_error"))
+    exact = reports.percentiles(e, "value", ["event_type"]).join(checked, "event_type")
+    return exact.select("event_type", *[F.round(c, 6).alias(c) for c in ("value_p50", "value_p90", "value_p99")], "n", "merged_within_error")
+
+
 @query(f"WITH e AS (SELECT {ENTROPY.replace('(t,', '(text,')} AS x FROM documents) SELECT round(quantile_cont(x, 0.5), 6) AS entropy_p50, round(quantile_cont(x, 0.9), 6) AS entropy_p90, round(quantile_cont(x, 0.99), 6) AS entropy_p99 FROM e")
 def entropy_percentiles(spark, sf):
     p = reports.percentiles(table(spark, sf, "documents").select(text.char_entropy(F.col("text")).alias("entropy")), "entropy")
@@ -460,6 +488,16 @@ def numbered(ranged: DataFrame) -> DataFrame:
     return ranged.withColumn("at", within).join(starts, "part").withColumn("place", F.col("start") + F.col("at"))
 
 
+@query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS place, length(coalesce(text, '')) AS chars, sha256(coalesce(text, '')) AS text_sha256, lang FROM documents")
+def jsonl_lines(spark, sf):
+    """The documents written as JSON lines in the order of doc_id and read back by byte ranges; place counts the lines of the source."""
+    folder = new_folder(spark, "jsonl")
+    t = table(spark, sf, "documents").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    t.select(F.to_json(F.struct(F.col("doc_id").alias("id"), "text", "lang"))).write.text(folder)
+    rows = readers.read_source(spark, readers.SourceSpec("documents", "local_jsonl", folder, file_glob="*.txt"))
+    return rows.select(F.col("raw_id").cast("long").alias("doc_id"), (F.col("seq") + 1).alias("place"), F.length("text").cast("long").alias("chars"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), F.col("extra")["lang"].alias("lang"))
+
+
 @query("SELECT doc_id FROM documents ORDER BY doc_id LIMIT 100")
 def limit_docs(spark, sf):
     d = readers.read_source(spark, readers.SourceSpec("documents", "parquet", f"{sf}/documents.parquet", id_field="doc_id", limit_docs=100))

@@ -20,11 +20,16 @@ DEFAULTS = {"lang": "en"}
 
 
 def from_raw(raw: DataFrame, policy_version: str = "policy_v0", data_tag: str | None = None, license: str | None = None, lang: str | None = None) -> DataFrame:
-    """Documents of raw records. A missing license is the source's or "Unknown"; the identifier covers the head of the text until exact dedup replaces it."""
+    """Documents of raw records. A missing license is the source's or "Unknown"; the identifier covers the head of the text until exact dedup replaces it.
+
+    A record that its reader could not read (a column error) is rejected from the start."""
     extra = F.coalesce("extra", F.create_map().cast("map<string,string>"))
     get = lambda k: F.element_at(extra, k)
     null = lambda t: F.lit(None).cast(t)
     t = F.coalesce("text", F.lit(""))
+    error = F.col("error") if "error" in raw.columns else F.lit(None).cast("string")
+    # stage -1: before the first stage
+    unread = F.struct(F.lit("source").alias("stage"), F.lit(-1).alias("stage_idx"), F.lit("CORRUPT_FILE").alias("reason_code"), error.alias("reason_detail"))
     return raw.select(
         hashing.placeholder_id(t).alias("doc_id"),
         "source",
@@ -44,7 +49,7 @@ def from_raw(raw: DataFrame, policy_version: str = "policy_v0", data_tag: str |
         "raw_id",
         extra.alias("extra"),
         "seq",
-        F.lit(None).cast(REJECTION).alias("rejection"),
+        F.when(error.isNotNull(), unread).cast(REJECTION).alias("rejection"),
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import path_segment
 from ..operators import reports
 from ..schema import corpus, metadata
+from ..storage import read_json, write_json  # noqa: F401 - part of this module's interface
 
 SHARD_DOCS = 5000
 
@@ -171,28 +171,6 @@ def stats_reports(df: DataFrame) -> dict[str, dict]:
     return {"pii_report": one("pii_policy_gate"), "dedup_report": {"stages": dups, "rejection_counts": {s: counts.get(s, {}) for s in dups}, **totals}, "quality_report": one("quality_gate")}
 
 
-def write_json(spark: SparkSession, path: str, value: object) -> None:
-    """One small JSON file through Hadoop's file systems, written beside its place and renamed."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    target, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".part")
-    fs = target.getFileSystem(conf)
-    out = fs.create(part, True)
-    out.write(bytearray(json.dumps(value, indent=2, ensure_ascii=False).encode()))
-    out.close()
-    fs.delete(target, False)
-    if not fs.rename(part, target):
-        raise OSError(f"cannot write {path}")
-
-
-def read_json(spark: SparkSession, path: str) -> object | None:
-    """What write_json() wrote; None if there is no such file."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(conf).exists(p):
-        return None
-    return json.loads(spark.read.text(path, wholetext=True).first()[0])
-
-
 def summary_text(manifest: dict) -> str:
     """A run's manifest as a report."""
     t = manifest["totals"]

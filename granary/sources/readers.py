@@ -1,7 +1,7 @@
 """Sources: from files to raw records (schema RAW), by kind.
 
-seq orders the records of a run: the source's rank, then file and line. Line numbers come from a position-aware reader,
-because Spark's text source does not give them.
+seq orders the records of a run: the source's rank, then file and line. Numbers of lines and rows are places within a split plus the counts of
+the splits before, which a first pass takes.
 """
 
 from __future__ import annotations
@@ -11,10 +11,11 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import collapse_white
+from ..storage import put
 
 
 @dataclass(frozen=True)
@@ -40,6 +41,8 @@ class SourceSpec:
     metadata: dict[str, str] = field(default_factory=dict)
     schema: dict | None = None
     extractor: str | None = None
+    #: The names of a folder's files that are read; None: those of its kind.
+    file_glob: str | None = None
 
 
 Reader = Callable[[SparkSession, SourceSpec], DataFrame]
@@ -68,7 +71,8 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
         raise ValueError(f"unknown source kind {spec.kind}; there are {', '.join(list_sources())}")
     df = reader(spark, spec)
     if spec.min_text_length:
-        df = df.where(F.length("text") >= spec.min_text_length)
+        long = F.length("text") >= spec.min_text_length
+        df = df.where(long | F.col("error").isNotNull() if "error" in df.columns else long)
     if spec.metadata:
         own = F.create_map(*[F.lit(str(x)) for kv in spec.metadata.items() for x in kv])
         df = df.withColumn("extra", F.map_from_entries(F.array_distinct(F.concat(F.map_entries(F.map_filter(F.coalesce("extra", F.create_map().cast("map<string,string>")), lambda k, _: ~k.isin(list(spec.metadata)))), F.map_entries(own)))))
@@ -97,53 +101,76 @@ def paths_of(spec: SourceSpec) -> list[str]:
     return list(dict.fromkeys(d if isinstance(d, list) else [d]))
 
 
-#: Files of a source whose numbers fit below the next source's; up to SENT of them are sent to every task.
-FILES, SENT = 1 << 20, 100_000
+#: Rows of a table of files, or of parts of files, that is sent to every task; larger ones are joined by a shuffle.
+SENT = 100_000
 
 
-def with_file_no(rows: DataFrame, path: Column, files: list[str]) -> DataFrame:
-    """rows with file_no, the place of their path among the source's files in order; the driver has the list from Spark's own listing."""
-    local = "^file:/+"  # Spark spells local paths with one slash or three
-    files = sorted({re.sub(local, "file:/", f) for f in files})
-    if len(files) > FILES:
-        raise ValueError(f"a source has at most {FILES} files, not {len(files)}")
-    numbers = rows.sparkSession.createDataFrame(list(zip(files, range(len(files)), strict=True)), "numbered_path string, file_no long")
-    return rows.join(F.broadcast(numbers) if len(files) <= SENT else numbers, F.regexp_replace(path, local, "file:/") == F.col("numbered_path")).drop("numbered_path")
+def with_place(rows: DataFrame, counts: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """rows with before (long): how many rows the parts of a source have that come before theirs. counts (keys..., n) has a row a part.
+
+    The window sees a row a file or split, never a row of data.
+    """
+    starts = counts.withColumn("before", F.sum("n").over(Window.orderBy(*order)) - F.col("n")).drop("n")
+    return rows.join(F.broadcast(starts) if counts.count() <= SENT else starts, keys)
+
+
+#: Names of the files of kinds that read files.
+GLOBS = {"local_jsonl": "*.jsonl", "pdf": "*.pdf", "web_pdf": "*.pdf", "parquet": "*.parquet", "hf_stream": "*.parquet", "html_pages": "*.parquet"}
+
+
+def source_files(spark: SparkSession, spec: SourceSpec) -> list[tuple[str, int]]:
+    """(path, bytes) of a source's files by path, from Spark's own listing; nothing for kinds that read no files. No file is opened."""
+    if spec.kind not in GLOBS or not spec.dataset:
+        return []
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", spec.file_glob or GLOBS[spec.kind]).load(paths_of(spec))
+    return sorted((r["path"], r["length"]) for r in files.select("path", "length").collect())
 
 
 # -- JSON lines -----------------------------------------------------------------------------------
 
 
-def numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(source_file, file_no, source_line, value): every line of every file with its number from 1.
+def text_splits(spark: SparkSession, paths: list[str], glob: str = "*.jsonl") -> DataFrame:
+    """(source_file, split, part, at, value): lines, the byte at which their split of the file begins, the task that reads it and a number that grows in it.
 
-    A file is read by one task (line numbers depend on all lines before); a folder's files run in parallel.
+    Spark cuts files at byte ranges and moves each cut to the next line feed, so one large file has many readers.
     """
+    # both passes over the files have to cut them alike, also if the cluster grows between them
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).option("lineSep", "\n").text(paths)
+    meta = F.col("_metadata")
+    return files.select(meta["file_path"].alias("source_file"), meta["file_block_start"].alias("split"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"), "value")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for path, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                lines = content.decode("utf-8", "replace").split("\n")
-                if lines and lines[-1] == "":
-                    lines.pop()
-                for s in range(0, len(lines), 10_000):
-                    part = lines[s : s + 10_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([path] * len(part)), pa.array(range(s + 1, s + 1 + len(part)), pa.int64()), pa.array(part)], ["source_file", "source_line", "value"])
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").option("ignoreMissingFiles", "true").load(paths)
-    lines = files.select("path", "content").mapInArrow(run, "source_file string, source_line long, value string")
-    return with_file_no(lines, F.col("source_file"), [r["path"] for r in files.select("path").collect()])
+def numbered_lines(spark: SparkSession, paths: list[str], glob: str = "*.jsonl") -> DataFrame:
+    """(source_file, source_line, seq, value): every line of every file with its number in the file, from 1, and in the source, from 0; files by name.
+
+    The first pass counts the lines of each split, the second adds the counts of the splits before. Neither shuffles a line. Bytes that are no
+    UTF-8 are replaced. Compressed files cannot be cut, a task reads each.
+    """
+    lines = text_splits(spark, paths, glob)
+    # files are named where all are listed; a line or more a split
+    counts = put(lines.groupBy("source_file", "split", "part").agg(F.count("*").alias("n"), F.min("at").alias("first")))
+    files = counts.groupBy("source_file").agg(F.sum("n").alias("n"))
+    of_file = files.withColumn("of_file", F.sum("n").over(Window.orderBy("source_file")) - F.col("n")).drop("n")
+    of_split = F.sum("n").over(Window.partitionBy("source_file").orderBy("split")) - F.col("n")
+    starts = counts.withColumn("of_split", of_split).drop("n").join(of_file, "source_file")
+    starts = F.broadcast(starts) if counts.count() <= SENT else starts
+    placed = lines.join(starts, ["source_file", "split", "part"], "left")
+    known = F.when(F.col("first").isNull(), F.raise_error(F.lit("files changed, or were cut otherwise, between two passes"))).otherwise(F.col("at") - F.col("first") + F.col("of_split"))
+    placed = placed.withColumn("line", known.cast("long"))
+    return placed.select("source_file", (F.col("line") + 1).alias("source_line"), (F.col("line") + F.col("of_file")).alias("seq"), F.make_valid_utf8("value").alias("value"))
 
 
 def local_jsonl(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """JSON lines in a file, list, folder or glob. Blank lines and lines that are not objects are passed over; without an id the file's stem and line serve."""
+    """JSON lines in a file, list, folder or glob; a path that does not exist is an error. Blank lines and lines that are not objects are passed over; without an id the file's stem and line serve."""
     v = F.col("value")
     get = lambda name: F.get_json_object(v, f"$['{name}']")
-    rows = numbered_lines(spark, paths_of(spec)).where(F.trim(v) != "").where(F.schema_of_variant(F.try_parse_json(v)).startswith("OBJECT"))
+    rows = numbered_lines(spark, paths_of(spec), spec.file_glob or GLOBS[spec.kind]).where(F.trim(v) != "").where(F.schema_of_variant(F.try_parse_json(v)).startswith("OBJECT"))
     stem = F.regexp_extract("source_file", r"([^/]+?)(\.[^./]*)?$", 1)
     fields = F.from_json(v, "map<string,string>")
     extra = F.map_filter(fields, lambda k, x: ~k.isin([spec.text_field, spec.license_field, spec.url_field, spec.id_field]) & x.isNotNull())
-    return rows.select(F.coalesce(get(spec.id_field), F.concat_ws("_", stem, "source_line")).alias("raw_id"), F.coalesce(get(spec.text_field), F.lit("")).alias("text"), F.lit(spec.name).alias("source"), get(spec.url_field).alias("url"), get(spec.license_field).alias("license"), get("created_at").alias("created_at"), extra.alias("extra"), "source_file", "source_line", (F.col("file_no") * (1 << 32) + F.col("source_line")).alias("seq"))
+    return rows.select(F.coalesce(get(spec.id_field), F.concat_ws("_", stem, "source_line")).alias("raw_id"), F.coalesce(get(spec.text_field), F.lit("")).alias("text"), F.lit(spec.name).alias("source"), get(spec.url_field).alias("url"), get(spec.license_field).alias("license"), get("created_at").alias("created_at"), extra.alias("extra"), "source_file", "source_line", "seq")
 
 
 # -- tables ---------------------------------------------------------------------------------------
@@ -158,7 +185,9 @@ def parquet_table(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     extra = F.create_map(*[x for c in others for x in (F.lit(c), F.col(f"`{c}`").cast("string"))]) if others else F.create_map()
     path, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
     made = df.select(F.coalesce(col(spec.id_field), F.lit("")).alias("raw_id"), F.coalesce(col(spec.text_field), F.lit("")).alias("text"), F.lit(spec.name).alias("source"), col(spec.url_field).alias("url"), col(spec.license_field).alias("license"), col("created_at").alias("created_at"), F.map_filter(extra.cast("map<string,string>"), lambda _, x: x.isNotNull()).alias("extra"), path.alias("source_file"), (row + 1).alias("source_line"))
-    return with_file_no(made, F.col("source_file"), df.inputFiles()).withColumn("seq", F.col("file_no") * (1 << 32) + F.col("source_line") - 1).drop("file_no")
+    # the rows of files come from their footers
+    counts = put(df.groupBy(path.alias("source_file")).agg(F.count("*").alias("n")))
+    return with_place(made, counts, ["source_file"], ["source_file"]).withColumn("seq", F.col("before") + F.col("source_line") - 1).drop("before")
 
 
 # -- PDF -----------------------------------------------------------------------------------------
@@ -172,23 +201,18 @@ def register_extractor(name: str, extract: Callable[[bytes], tuple[dict[str, str
 
 
 def fixed_size_chunks(text: str, size: int, overlap: int) -> list[str]:
-    """Windows that end behind the last space or line feed of their last tenth, where it has one."""
+    """Windows of `size` characters that end behind the last space or line feed of their last tenth, where it has one."""
     if size <= 0 or len(text) <= size:
         return [text]
     if not 0 <= overlap < 0.9 * size:
         raise ValueError("overlap must be at least 0 and below nine tenths of the size")
-    out, at = [], 0
-    while at < len(text):
-        end = min(at + size, len(text))
-        if end < len(text):
-            floor = at + int(size * 0.9)
-            cut = max(text.rfind(" ", at, end), text.rfind("\n", at, end))
-            end = cut + 1 if cut > floor else end
-        out.append(text[at:end])
-        if end >= len(text):
-            break
-        at = end - overlap
-    return out
+    # a window is its first nine tenths and as much of the rest as ends in white space, else all of it
+    window = re.compile(rf"(?s).{{{int(size * 0.9) + 1}}}(?:.{{0,{size - int(size * 0.9) - 2}}}[ \n]|.{{0,{size - int(size * 0.9) - 1}}})" if size > 1 else "(?s).")
+    spans = [(0, window.match(text).end())]
+    while spans[-1][1] < len(text):
+        start = spans[-1][1] - overlap
+        spans.append((start, len(text) if len(text) - start <= size else window.match(text, start).end()))
+    return [text[s:e] for s, e in spans]
 
 
 PDF_UNITS = "raw_id string, text string, unit string, no int, metadata map<string,string>, path string, error string"
@@ -227,7 +251,8 @@ def pdf_units(spark: SparkSession, spec: SourceSpec) -> DataFrame:
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.pdf").load(paths_of(spec))
     units = files.select("path", "content").mapInArrow(run, PDF_UNITS)
-    return with_file_no(units, F.col("path"), [r["path"] for r in files.select("path").collect()])
+    names = files.select("path").withColumn("n", F.lit(1).cast("long"))
+    return with_place(units, put(names), ["path"], ["path"]).withColumnRenamed("before", "file_no")
 
 
 def _without(entries: Column, key: str) -> Column:
@@ -235,8 +260,11 @@ def _without(entries: Column, key: str) -> Column:
 
 
 def pdf(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """PDF units as raw records. A schema whose directory_pattern the folder matches adds prefix, suffix, mapped metadata and its default license."""
-    u = pdf_units(spark, spec).where("error is null")
+    """PDF units as raw records. A schema whose directory_pattern the folder matches adds prefix, suffix, mapped metadata and its default license.
+
+    A file that cannot be read is a record with its error and without text, which a run rejects as CORRUPT_FILE.
+    """
+    u = pdf_units(spark, spec)
     url = F.when(F.col("unit").isNull(), F.col("path")).otherwise(F.concat("path", F.lit("#"), "unit", F.lit("="), F.col("no").cast("string")))
     extra, body, license = F.map_concat("metadata", F.create_map(F.lit("pdf_file"), F.col("path"))), F.col("text"), F.lit(spec.license)
     if spec.schema:
@@ -246,8 +274,8 @@ def pdf(spark: SparkSession, spec: SourceSpec) -> DataFrame:
         for target, origin in (s.get("metadata_mapping") or {}).items():
             extra = F.when(fits & F.map_contains_key("metadata", origin), F.map_concat(_without(extra, target), F.create_map(F.lit(target), F.col("metadata")[origin]))).otherwise(extra)
         license = F.coalesce(F.when(fits, F.lit(s.get("default_license"))), license)
-    seq = F.col("file_no") * (1 << 32) + F.col("no")
-    return u.select("raw_id", body.alias("text"), F.lit(spec.name).alias("source"), url.alias("url"), license.cast("string").alias("license"), F.lit(None).cast("string").alias("created_at"), extra.alias("extra"), F.col("path").alias("source_file"), F.lit(None).cast("long").alias("source_line"), seq.alias("seq"))
+    seq = F.col("file_no") * (1 << 24) + F.col("no")
+    return u.select("raw_id", F.coalesce(body, F.lit("")).alias("text"), F.lit(spec.name).alias("source"), url.alias("url"), license.cast("string").alias("license"), F.lit(None).cast("string").alias("created_at"), extra.alias("extra"), F.col("path").alias("source_file"), F.lit(None).cast("long").alias("source_line"), seq.alias("seq"), "error")
 
 
 # -- web pages ------------------------------------------------------------------------------------

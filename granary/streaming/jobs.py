@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import hashing
+from ..operators import reports
 from ..plans.pipeline import apply_stages
+from ..storage import listed, read_json, write_json
 
 RESUME_MODES = ("auto", "beginning", "checkpoint", "ignore")
 
@@ -26,6 +33,35 @@ def dedup_stream(docs: DataFrame, text: str = "text", time: str | None = None, w
     return keyed.dropDuplicates(["text_hash"])
 
 
+FIRST_SEEN = "text_hash binary, place bigint, time timestamp, first_place bigint, repeat boolean"
+
+
+def first_seen_stream(docs: DataFrame, place: str, time: str, within: int, text: str = "text") -> DataFrame:
+    """(text_hash, place, time, first_place, repeat): every document with the place of the first one of its text.
+
+    The first is the one that came first: of an earlier batch, or of the smallest (time, place) within a batch. A text's state, three numbers, goes once
+    the watermark (`within` seconds behind the latest time) is that far behind its last document, so state is bounded by the texts of that span; documents
+    that come later than the watermark allows are dropped by it.
+    """
+
+    def follow(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(parts)).sort_values(["time", "place"])
+        first, last = state.get if state.exists else (None, 0)
+        repeat = [first is not None] + [True] * (len(rows) - 1)
+        first = int(rows["place"].iloc[0]) if first is None else first
+        last = max(last, int(rows["time"].max().timestamp() * 1000))
+        state.update((first, last))
+        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + 1000 * within)
+        yield pd.DataFrame({"text_hash": [key[0]] * len(rows), "place": rows["place"], "time": rows["time"], "first_place": first, "repeat": repeat})
+
+    keyed = docs.select(hashing.sha256(F.col(text)).alias("text_hash"), F.col(place).cast("long").alias("place"), F.col(time).cast("timestamp").alias("time"))
+    grouped = keyed.withWatermark("time", f"{within} seconds").groupBy("text_hash")
+    return grouped.applyInPandasWithState(follow, FIRST_SEEN, "first_place bigint, last bigint", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def rollup_stream(events: DataFrame, time: str, keys: list[str], late: str = "1 day", window: str = "1 day") -> DataFrame:
     """Counts by window and keys; a window is final once the watermark has passed it."""
     return events.withWatermark(time, late).groupBy(F.window(time, window).alias("w"), *keys).agg(F.count("*").alias("n")).select(F.to_date("w.start").alias("date"), *keys, "n")
@@ -78,15 +114,27 @@ def run_stream(docs: DataFrame, stages: list[str], out: str, checkpoint: str, **
         options = {**given}
         if "exact_dedup" in stages and earlier is not None:
             options["exact_dedup"] = {**options.get("exact_dedup", {}), "store": earlier.select("seen_id").withColumnRenamed("seen_id", "doc_id")}
-        done = apply_stages(batch, stages, **options).persist()
+        # counted by the first action, which is the write
+        done, watch = reports.observed(apply_stages(batch, stages, **options), stages, f"batch-{number}")
+        done = done.persist()
         done.write.mode("overwrite").parquet(f"{out}/batches/batch_id={number}")
         seen = done.where("rejection is null or rejection.stage <> 'exact_dedup'")
         seen.select(F.col("doc_id").alias("seen_id")).write.mode("overwrite").parquet(f"{out}/kept/batch_id={number}")
         done.unpersist()
+        write_json(spark, f"{out}/progress/batch-{number:09d}.json", watch.get)
 
     return docs.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def funnel(spark: SparkSession, out: str, stages: list[str]) -> list[dict]:
+    """The funnel of all batches that run_stream has written, from their counters alone."""
+    counts: Counter = Counter()
+    for name, _, _ in listed(spark, f"{out}/progress"):
+        if name.endswith(".json"):
+            counts.update(read_json(spark, f"{out}/progress/{name}"))
+    return reports.funnel_of(counts, stages) if counts else []
+
+
 def progress(query: StreamingQuery) -> dict:
     """Rows and rates of the last batch."""
     p = query.lastProgress

@@ -8,7 +8,7 @@ import pytest
 from granary.plans import queries
 
 DATA = "/root/testdata/sf0.001"
-SOME = ["license_gate_decision", "rejection_details", "runtime_errors", "sanitize_html_pages", "unicode_nfc", "dup_group_id", "pii_policy_decision", "quality_gate", "repetition_ratio", "token_stats", "exact_dedup", "chunk_dup_links", "simhash_pairs_h3", "priority_dedup", "stage_funnel_by_source", "rejection_share", "entropy_percentiles", "daily_rollup", "dolma_projection", "url_extract_pages", "sources_union_priority_order"]
+SOME = ["license_gate_decision", "rejection_details", "runtime_errors", "sanitize_html_pages", "unicode_nfc", "dup_group_id", "pii_policy_decision", "quality_gate", "repetition_ratio", "token_stats", "exact_dedup", "chunk_dup_links", "simhash_pairs_h3", "priority_dedup", "stage_funnel_by_source", "rejection_share", "entropy_percentiles", "length_percentiles", "event_value_percentiles", "source_collisions", "jsonl_lines", "rejection_breakdown", "daily_rollup", "dolma_projection", "url_extract_pages", "sources_union_priority_order"]
 
 
 @pytest.mark.skipif(not pathlib.Path(DATA).exists(), reason="no test tables")

@@ -68,7 +68,12 @@ def test_pdf_source(spark, tmp_path):
     readers.register_extractor("fake", lambda b: ({"title": "T", "author": None}, b.decode().split("|")))
     spec = readers.SourceSpec("p", "pdf", str(tmp_path), extractor="fake", chunk_mode="page", license="CC0", schema={"directory_pattern": "class11", "text_prefix": ">", "metadata_mapping": {"name": "title"}, "default_license": "CC-BY"})
     got = sorted(readers.read_source(spark, spec).collect())
-    assert [(r["raw_id"], r["text"], r["license"]) for r in got] == [("b_page_1", ">one", "CC-BY"), ("b_page_2", ">two two", "CC-BY")]
+    assert [(r["raw_id"], r["text"], r["license"]) for r in got] == [("b_page_1", ">one", "CC-BY"), ("b_page_2", ">two two", "CC-BY"), ("bad", "", "CC-BY")]
+    from granary.schema import from_raw
+
+    # a file that cannot be read is in the rejection log, once
+    log = reports.rejections(from_raw(readers.read_source(spark, spec))).collect()
+    assert [(r["stage"], r["reason_code"], r["category"]) for r in log] == [("source", "CORRUPT_FILE", "corrupt")] and "decode" in log[0]["reason_detail"]
     assert got[0]["extra"]["name"] == "T" and got[0]["url"].endswith("b.pdf#page=1") and got[0]["extra"]["total_pages"] == "2"
     assert readers.pdf_units(spark, spec).where("error is not null").count() == 1
     assert readers.fixed_size_chunks("a" * 19 + " bbbb cc", 20, 0) == ["a" * 19 + " ", "bbbb cc"]
@@ -82,13 +87,11 @@ def test_order_numbers_are_unique(spark, tmp_path):
         spark.range(i * 10, i * 10 + 7).selectExpr("id", "cast(id as string) text").coalesce(1).write.parquet(f"{tmp_path}/{name}")
     paths = [f"{tmp_path}/{n}" for n in ("b c", "a", "é", "d")]
     got = readers.read_source(spark, readers.SourceSpec("t", "hf_stream", paths)).collect()
-    assert len({r["seq"] for r in got}) == len(got) == 28
+    assert sorted(r["seq"] for r in got) == list(range(28))
     by_file = {}
     for r in sorted(got, key=lambda r: r["seq"]):
-        by_file.setdefault(r["source_file"], []).append(r["seq"] & 0xFFFFFFFF)
-    assert sorted(by_file) == list(by_file) and all(v == list(range(7)) for v in by_file.values())
-    with pytest.raises(ValueError, match="at most"):
-        readers.with_file_no(spark.range(1), F.lit("x"), [str(i) for i in range(readers.FILES + 1)])
+        by_file.setdefault(r["source_file"], []).append(r["source_line"])
+    assert sorted(by_file) == list(by_file) and all(v == list(range(1, 8)) for v in by_file.values())
 
 
 def test_sources_registry(spark):

@@ -14,7 +14,7 @@ Order of work, so that no step makes pairs of a group:
 1.  `sketched`: one pass over the texts gives digests of words and buckets, written once. Copies that a task meets are one
     node from here on; those of several tasks share all buckets. A second pass (`worded`) fetches the words of nodes that share a bucket.
 2.  Buckets are parted by length, as links differ by a fifth of their words at most. Each node is aligned with one hub, the smallest node of one of its buckets.
-3.  Buckets whose nodes lie in one component are done. Others that share nodes become one where that is less work (`clustered`). In each every node is aligned with the bucket's hub, which tells
+3.  Buckets whose nodes lie in one component are done. Others that share their smallest node become one where that is less work (`clustered`). In each every node is aligned with the bucket's hub, which tells
     those near the hub (linked) from those so far from it that, by the triangle inequality, no near one can be linked to them.
 4.  What is left are the nodes of a bucket that are not near its hub, among each other, and those neither near nor far against the near ones. Block is
     compared with block; a bound on the distance from common words, computed for whole blocks by matrix products, rules out most pairs, and the
@@ -469,20 +469,19 @@ def verified_buckets(members: DataFrame, words: DataFrame, similarity: float) ->
 
 
 def clustered(members: DataFrame) -> DataFrame:
-    """members (bucket, node, component) with buckets that share nodes made one, where comparing all of that is less work than bucket by bucket.
+    """members (bucket, node, component) with buckets of one hub (their smallest node) made one, where comparing all of it is less work than bucket by bucket.
 
-    Texts that have much in common share many of their buckets, and would be compared again in each.
+    Texts that have much in common share many of their buckets, and would be compared again in each; of n buckets of half of such texts
+    most have one of a few hubs.
     """
     spark = members.sparkSession
     hubs = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n"))
     rows = written(members.join(dealt_anew(hubs, "bucket"), "bucket"), spark, paths := [])
-    label = components(rows.select(F.col("node").alias("src"), F.col("hub").alias("dst")))
-    of = rows.select("bucket", "hub", "n").distinct().join(label.select(F.col("node").alias("hub"), F.col("component").alias("cluster")), "hub")
-    work = of.groupBy("cluster").agg(F.sum(F.col("n").cast("double") ** 2).alias("single"))
-    size = label.groupBy(F.col("component").alias("cluster")).agg(F.count("*").cast("double").alias("m"))
-    whole = work.join(size, "cluster").where(F.col("m") ** 2 <= F.col("single")).select("cluster")
-    chosen = of.join(whole.withColumn("whole", F.lit(True)), "cluster", "left").select("bucket", F.when(F.col("whole"), F.xxhash64(F.lit("cluster"), "cluster")).otherwise(F.col("bucket")).alias("to"))
-    out = written(rows.join(dealt_anew(chosen, "bucket"), "bucket").select(F.col("to").alias("bucket"), "node", "component").distinct(), spark)
+    single = rows.groupBy("hub", "bucket").agg(F.first("n").cast("double").alias("n")).groupBy("hub").agg(F.sum(F.col("n") ** 2).alias("single"), F.count("*").alias("buckets"))
+    size = rows.select("hub", "node").distinct().groupBy("hub").agg(F.count("*").cast("double").alias("m"))
+    whole = single.where("buckets > 1").join(size, "hub").where(F.col("m") ** 2 <= F.col("single")).select("hub", F.lit(True).alias("whole"))
+    to = F.when(F.col("whole"), F.xxhash64(F.lit("hub"), "hub")).otherwise(F.col("bucket"))
+    out = written(rows.join(dealt_anew(whole, "hub"), "hub", "left").select(to.alias("bucket"), "node", "component").distinct(), spark)
     removed(spark, paths)
     return out
 

@@ -6,13 +6,15 @@ shuffled; first occurrences are aggregated before they move, so a key with very
 
 from __future__ import annotations
 
+import uuid
 from itertools import combinations
+from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hashing, text
-from ..storage import checkpointing, delete, put
+from ..storage import checkpointing, delete, folder_bytes, listed, put
 from .gates import alive, changed, marked, rejecting
 
 #: The default thresholds and sizes.
@@ -142,14 +144,18 @@ def chunk_hashes(docs: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_O
     return cut.select(id, "chunk", F.sha2(text.collapse_white(F.col("__t")), 256).alias("hash"))
 
 
-def chunk_links(hashes: DataFrame, store: DataFrame | None = None) -> DataFrame:
-    """(seq, links): how many of a document's chunks an earlier document, or the store, has. Repeats within one document do not count."""
+def chunk_links(hashes: DataFrame, store: DataFrame | None = None, numbers: bool = False) -> DataFrame:
+    """(seq, links): how many of a document's chunks an earlier document, or the store, has. Repeats within one document do not count.
+
+    numbers: a column `chunks` with the numbers of those chunks in the document.
+    """
     checkpointing(hashes.sparkSession)
     hashes = hashes.checkpoint()
     first = hashes.groupBy("hash").agg(F.min("seq").alias("first"))
     if store is not None:
         first = first.join(store.select("hash").distinct().withColumn("known", F.lit(True)), "hash", "left").withColumn("first", F.when(F.col("known"), F.lit(-1)).otherwise(F.col("first"))).drop("known")
-    return hashes.join(_dealt_anew(first, "hash"), "hash").where("seq > first").groupBy("seq").agg(F.count("*").alias("links"))
+    more = [F.array_sort(F.collect_list("chunk")).alias("chunks")] if numbers else []
+    return hashes.join(_dealt_anew(first, "hash"), "hash").where("seq > first").groupBy("seq").agg(F.count("*").alias("links"), *more)
 
 
 # -- priority -------------------------------------------------------------------------------------
@@ -249,12 +255,12 @@ def buckets_of_edges(edges: DataFrame) -> DataFrame:
     return edges.where("a <> b").select(F.explode(F.array("a", "b")).alias("seq"), b)
 
 
-def global_decisions(docs: DataFrame, simhash: bool = True, minhash: bool = True, chunk: bool = True, distance: int = SIMHASH_DISTANCE, threshold: float = MINHASH_THRESHOLD, limit: int | None = None, known_chunks: DataFrame | None = None, collisions: bool = False) -> DataFrame:
+def global_decisions(docs: DataFrame, simhash: bool = True, minhash: bool = True, chunk: bool = True, distance: int = SIMHASH_DISTANCE, threshold: float = MINHASH_THRESHOLD, limit: int | None = None, known_chunks: DataFrame | None = None, collisions: bool = False, chunk_numbers: bool = False) -> DataFrame:
     """(seq, action, match_type, links) of documents (seq, text): drop, keep_link (chunks shared) or keep.
 
     A document is dropped if an earlier kept one matches by SimHash, else by MinHash; chunks shared with kept ones, or with known_chunks (hash), only link.
     SimHash signs whole texts; `limit` takes so many words of each (the reference: hashing.SIMHASH_WORDS). collisions: a column that says whether
-    what a dropped document (seq, text, source) matches comes from several sources.
+    what a dropped document (seq, text, source) matches comes from several sources. chunk_numbers: a column `chunks`, which of a kept document's are shared.
     """
     spark = docs.sparkSession
     temporary: list[str] = []
@@ -277,27 +283,31 @@ def global_decisions(docs: DataFrame, simhash: bool = True, minhash: bool = True
     by = members.join(_dealt_anew(held, "bucket"), "bucket").where("seq > kept").groupBy("seq").agg(*sums)
     out = keep.join(by, "seq", "left")
     if chunk:
-        links = chunk_links(chunk_hashes(docs.join(kept, "seq", "left_semi")), known_chunks)
+        links = chunk_links(chunk_hashes(docs.join(kept, "seq", "left_semi")), known_chunks, chunk_numbers)
         out = out.join(links, "seq", "left")
     else:
-        out = out.withColumn("links", F.lit(0).cast("long"))
+        out = out.withColumns({"links": F.lit(0).cast("long"), "chunks": F.lit(None).cast("array<int>")})
     links = F.when(F.col("keep"), F.coalesce("links", F.lit(0))).otherwise(0)
     action = F.when(~F.col("keep"), "drop").when(links > 0, "keep_link").otherwise("keep")
     match = F.when(~F.col("keep"), F.col("match_type")).when(links > 0, F.lit("chunk_hash"))
     more = [F.coalesce(~F.col("keep") & F.col("collides"), F.lit(False)).alias("collides")] if collisions else []
+    more += ["chunks"] if chunk_numbers else []
     done = put(out.select("seq", action.alias("action"), match.alias("match_type"), links.cast("long").alias("links"), *more))
     delete(spark, *temporary)
     return done
 
 
-def global_dedup(df: DataFrame, idx: int, store: FingerprintStore | None = None, types: tuple[list[str], dict[str, str]] | None = None, sources: list[str] | None = None, **how) -> DataFrame:
+def global_dedup(df: DataFrame, idx: int, store: FingerprintStore | None = None, types: tuple[list[str], dict[str, str]] | None = None, sources: list[str] | None = None, drop_chunks: bool = False, **how) -> DataFrame:
     """The stage: dropped documents are rejected as DUP_GLOBAL, kept ones marked with their links.
 
+    drop_chunks: chunks that an earlier kept document, or the store, has are cut out of a kept document's text (its first holder keeps them).
+
     store: documents that match those of earlier runs go first, unless their source's type or source has a strictly better
     priority than all they match; the others are then decided among themselves, in their order (a run's sources come in
     the order of priority, so that no later document outranks an earlier one).
     """
     live = df.where(alive()).select("seq", "source", "text")
+    how = {**how, "chunk_numbers": True} if drop_chunks else how
     if store is None:
         d = global_decisions(live, **how)
     else:
@@ -305,19 +315,27 @@ def global_dedup(df: DataFrame, idx: int, store: FingerprintStore | None = None,
         earlier = store.decide(live, types, sources).checkpoint()
         gone = earlier.where(~F.col("keep"))
         d = global_decisions(live.join(gone, "seq", "left_anti"), known_chunks=store.read("chunks"), **how)
-        d = d.unionByName(gone.select("seq", F.lit("drop").alias("action"), "match_type", F.lit(0).cast("long").alias("links")))
-    d = d.select("seq", F.col("action").alias("__a"), F.col("match_type").alias("__m"), F.col("links").alias("__l"))
+        d = d.unionByName(gone.select("seq", F.lit("drop").alias("action"), "match_type", F.lit(0).cast("long").alias("links")), allowMissingColumns=True)
+    shared = F.col("chunks") if drop_chunks else F.lit(None).cast("array<int>")
+    d = d.select("seq", F.col("action").alias("__a"), F.col("match_type").alias("__m"), F.col("links").alias("__l"), shared.alias("__c"))
     df = df.join(d, "seq", "left")
+    if drop_chunks:
+        left = F.filter(text.chunks(F.col("text"), CHUNK_SIZE, CHUNK_OVERLAP), lambda _, i: ~F.array_contains("__c", i))
+        df = df.withColumn("text", F.when((F.col("__a") == "keep_link") & F.col("__c").isNotNull(), F.array_join(left, "")).otherwise(F.col("text")))
     df = rejecting(df, "global_dedup", idx, F.when(F.col("__a") == "drop", "DUP_GLOBAL"), F.col("__m"))
     marker = F.when(F.col("__a") == "keep_link", F.concat(F.lit("global_dedup_keep_link_chunks="), F.col("__l"), F.lit("_v1"))).otherwise("global_dedup_kept_v1")
-    return marked(df, marker).drop("__a", "__m", "__l")
+    return marked(df, marker).drop("__a", "__m", "__l", "__c")
 
 
 # -- the store -------------------------------------------------------------------------------------
 
 
 class FingerprintStore:
-    """Fingerprints of kept documents as Parquet tables below a folder, partitioned by version and run; runs only replace rows of their own, so several share one."""
+    """Fingerprints of kept documents as Parquet tables below a folder, in folders of their version and run; a run only replaces its own.
+
+    A document that a better-ranked one replaces is not deleted: the run of the better one notes it in the table `superseded`
+    (doc_id, source, of_run, by_doc_id), and reading leaves noted rows out. A run that is repeated replaces its notes as well, and does not see them.
+    """
 
     TABLES = ("exact", "simhash", "minhash", "chunks")
 
@@ -330,30 +348,107 @@ class FingerprintStore:
         self.version = version if limit is None else f"{version}-{limit}-words"
         self.run = f"run-{run or ''}"
 
-    def read(self, table: str) -> DataFrame | None:
-        """This version's rows, without those of this run if it has a name; None before the first append."""
+    def _folder(self, table: str, run: str | None = None) -> str:
+        of_version = f"{self.path}/{table}/fingerprint_version={quote(self.version, safe='')}"
+        return of_version if run is None else f"{of_version}/run={quote(run, safe='')}"
+
+    def _rows(self, table: str) -> DataFrame | None:
         try:
             rows = self.spark.read.parquet(f"{self.path}/{table}").where(F.col("fingerprint_version") == self.version)
-            return rows if self.run == "run-" else rows.where(F.col("run") != self.run)
         except Exception as e:
             if "PATH_NOT_FOUND" in str(e):
                 return None
             raise
+        return rows if self.run == "run-" else rows.where(F.col("run") != self.run)
+
+    def read(self, table: str) -> DataFrame | None:
+        """This version's rows, without superseded ones and, if this run has a name, its own; None before the first append."""
+        rows, gone = self._rows(table), self._rows("superseded")
+        if rows is None or gone is None:
+            return rows
+        gone = gone.select(*[F.col(c).alias(f"__{c}") for c in ("doc_id", "source", "of_run")]).distinct()
+        same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("run") == F.col("__of_run"))
+        return rows.join(gone, same, "left_anti")
+
+    def superseded(self) -> DataFrame | None:
+        """(doc_id, source, by_doc_id) of the documents that better ones of later runs stand in for; None before the first."""
+        parts = [t.select("doc_id", "source", "by_doc_id") for t in (self._rows("superseded"), self._rows("history")) if t is not None]
+        return None if not parts else (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])).distinct()
 
     def append(self, table: str, rows: DataFrame) -> None:
-        if table not in self.TABLES:
+        if table not in (*self.TABLES, "superseded", "history"):
             raise ValueError(f"unknown table {table}; there are {', '.join(self.TABLES)}")
-        out = rows.withColumns({"fingerprint_version": F.lit(self.version), "run": F.lit(self.run)}).write.partitionBy("fingerprint_version", "run")
-        out = out.mode("append") if self.run == "run-" else out.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        out.parquet(f"{self.path}/{table}")
+        rows.write.mode("append" if self.run == "run-" else "overwrite").parquet(self._folder(table, self.run))
 
-    def add(self, docs: DataFrame, source: str = "source") -> None:
-        """Appends all fingerprints of documents (seq, doc_id, text, source)."""
+    def add(self, docs: DataFrame, source: str = "source", supersede: bool = False) -> None:
+        """Stores all fingerprints of documents (seq, doc_id, text, source).
+
+        supersede: the documents have passed decide() with priorities, so what they match in the store ranks below them and is noted as superseded.
+        """
         who = docs.select("seq", "doc_id", F.col(source).alias("source"))
         self.append("exact", who.drop("seq"))
         self.append("simhash", docs.select("doc_id", F.col(source).alias("source"), hashing.simhash(F.col("text"), limit=self.limit).alias("sig")).where("sig is not null"))
         self.append("minhash", minhash_bands(docs).join(who, "seq").drop("seq"))
         self.append("chunks", chunk_hashes(docs).join(who, "seq").drop("seq"))
+        if supersede:
+            self._supersede()
+
+    def _supersede(self, distance: int = SIMHASH_DISTANCE) -> None:
+        """Notes the rows of other runs that those of this run match: by SimHash, and by MinHash for documents that match none by SimHash (as decide() does).
+
+        Works on keys (near signatures, bands) with one document of this run each, so no pairs of documents are made.
+        """
+        if self.run == "run-":
+            raise ValueError("only a named run can supersede")
+        mine = lambda t: self.spark.read.parquet(self._folder(t, self.run))
+        sim, bands, temporary = self.read("simhash"), self.read("minhash"), []
+        pairs = put(hamming_pairs(mine("simhash").select("sig"), distance=distance, known=sim.select("sig")).select("a", "b"), temporary)
+        by = mine("simhash").groupBy(F.col("sig").alias("a")).agg(F.min("doc_id").alias("by_doc_id"))
+        near = pairs.join(by, "a").groupBy(F.col("b").alias("sig")).agg(F.min("by_doc_id").alias("by_doc_id"))
+        who = ["doc_id", "source", F.col("run").alias("of_run"), "by_doc_id"]
+        found = sim.join(near, "sig").select(*who)
+        matched = mine("simhash").join(pairs.select(F.col("a").alias("sig")), "sig", "left_semi").select("doc_id").distinct()
+        rest = mine("minhash").join(matched, "doc_id", "left_anti").groupBy("band", "hash").agg(F.min("doc_id").alias("by_doc_id"))
+        found = found.unionByName(bands.join(rest, ["band", "hash"]).select(*who))
+        self.append("superseded", found.groupBy("doc_id", "source", "of_run").agg(F.min("by_doc_id").alias("by_doc_id")))
+        delete(self.spark, *temporary)
+
+    def runs(self) -> dict[str, int]:
+        """The bytes of each run's folders, all tables together."""
+        found: dict[str, int] = {}
+        for t in self.TABLES:
+            for name, _, _ in listed(self.spark, self._folder(t)):
+                if name.startswith("run="):
+                    run = unquote(name.removeprefix("run="))
+                    found[run] = found.get(run, 0) + folder_bytes(self.spark, self._folder(t, run))
+        return found
+
+    def compact(self, least: int = 16, up_to: int = 1 << 36) -> int:
+        """Merges the folders of small runs (at most up_to bytes) if there are at least so many of them; how many it merged.
+
+        Superseded rows of merged runs are left out for good, and their notes become history. Rows are written before the folders they came from
+        are deleted; where it stops in between they are there twice, which changes no decision, and the next call removes them. This run is
+        not touched; no other run may write at the same time.
+        """
+        small = [r for r, n in self.runs().items() if r != self.run and n <= up_to]
+        if len(small) < least:
+            return 0
+        into = f"run-merged-{uuid.uuid4().hex}"
+        for t in self.TABLES:
+            rows = self.read(t)
+            if rows is not None:
+                rows.where(F.col("run").isin(small)).drop("run", "fingerprint_version").distinct().write.parquet(self._folder(t, into))
+        notes = self._rows("superseded")
+        if notes is not None:
+            old = [n for n, _, _ in listed(self.spark, self._folder("superseded")) if n.startswith("run=") and unquote(n.removeprefix("run=")) != self.run]
+            notes = notes.drop("run", "fingerprint_version").distinct()
+            applied = F.col("of_run").isin(small)
+            notes.where(applied).write.parquet(self._folder("history", into))
+            notes.where(~applied).write.parquet(self._folder("superseded", into))
+        delete(self.spark, *[self._folder(t, r) for t in self.TABLES for r in small])
+        if notes is not None:
+            delete(self.spark, *[f"{self._folder('superseded')}/{n}" for n in old])
+        return len(small)
 
     def matches(self, docs: DataFrame, distance: int = SIMHASH_DISTANCE) -> DataFrame:
         """(seq, match_type, existing_source): documents that the store has a match for, simhash before minhash."""

@@ -62,6 +62,11 @@ def fingerprints(spark: SparkSession, cfg: RunConfig, unit: int | None = None) -
     return dedup.FingerprintStore(spark, cfg.fingerprints_path, run=cfg.run_id if unit is None else f"{cfg.run_id}-unit{unit}")
 
 
+def ranked(cfg: RunConfig) -> bool:
+    """Whether kept documents have passed the store's priorities, so that what they match there is superseded."""
+    return "global_dedup" in cfg.stages and bool(cfg.type_priority or cfg.source_priority)
+
+
 def apply_stages(df: DataFrame, names: list[str], cfg: RunConfig | None = None, unit: int | None = None, **given: dict) -> DataFrame:
     """df through stages in that order. given: arguments by stage, beside those of a configuration."""
     for a, b in out_of_order(names):
@@ -91,7 +96,7 @@ def process(spark: SparkSession, cfg: RunConfig, resume: str = "auto", named: st
         delete(spark, f"{out}/work/{cfg.run_id}")
         df.write.parquet(path)
         if cfg.fingerprints_path:
-            fingerprints(spark, cfg).add(spark.read.parquet(path).where("rejection is null"))
+            fingerprints(spark, cfg).add(spark.read.parquet(path).where("rejection is null"), supersede=ranked(cfg))
         return f"{out}/work/{cfg.run_id}", reports.funnel_of(watch.get, cfg.stages)
     run_id = ledger.run_named(spark, f"{out}/progress", cfg.run_id, resume, named)
     work, book = f"{out}/work/{run_id}", ledger.Ledger(spark, f"{out}/progress", run_id)
@@ -113,7 +118,7 @@ def process(spark: SparkSession, cfg: RunConfig, resume: str = "auto", named: st
         df = df.observe(seqs := Observation(f"seq-{u.number}"), F.max("seq").alias("last"))
         df.write.mode("overwrite").parquet(f"{work}/unit={u.number}")
         if cfg.fingerprints_path:
-            fingerprints(spark, cfg, u.number if len(units) > 1 else None).add(spark.read.parquet(f"{work}/unit={u.number}").where("rejection is null"))
+            fingerprints(spark, cfg, u.number if len(units) > 1 else None).add(spark.read.parquet(f"{work}/unit={u.number}").where("rejection is null"), supersede=ranked(cfg))
         write_json(spark, f"{work}/counts-{u.number}.json", watch.get)
         book.commit(u, watch.get["rows"], seqs.get["last"])
     counts = Counter()

@@ -63,6 +63,12 @@ def listed(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p))
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """The bytes of all files below a folder; 0 if there is none."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def write_json(spark: SparkSession, path: str, value: object) -> None:
     """One small JSON file, written beside its place and renamed."""
     part = f"{path}.{uuid.uuid4().hex[:8]}.part"

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import hashing
 from ..operators import reports
+from ..operators.dedup import FingerprintStore
 from ..plans.pipeline import apply_stages
 from ..storage import listed, read_json, write_json
 
@@ -67,6 +69,69 @@ def rollup_stream(events: DataFrame, time: str, keys: list[str], late: str = "1
     return events.withWatermark(time, late).groupBy(F.window(time, window).alias("w"), *keys).agg(F.count("*").alias("n")).select(F.to_date("w.start").alias("date"), *keys, "n")
 
 
+def _same(a: DataFrame, b: DataFrame, keys: list[str]):
+    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
+
+
+def corrected_rollup(events: DataFrame, time: str, keys: list[str], out: str, checkpoint: str, sums: list[str] | None = None, late: int = 86_400, window: str = "1 day") -> StreamingQuery:
+    """Counts (n) and sums by window and keys, in which no event is too late to count; events without a time are left out.
+
+    Batch k adds its partial sums to out/parts/day=<of the window's start>/batch_id=<k>, and writes to out/versions/batch_id=<k> the windows it makes final,
+    which the watermark (`late` seconds behind the latest time so far) passes with it, and as corrections, with their new totals, the windows that were
+    final before and got events in it. A batch that is run again replaces what it wrote. It reads the days it makes final or corrects, and no others.
+    """
+    sums = sums or []
+    group = ["start", "end", *keys]
+    total = [F.sum(c).alias(c) for c in ("n", *sums)]
+
+    def handle(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        before = _watermark(spark, out, late, number)
+        batch = batch.observe(watch := Observation(f"latest-{number}"), F.max(F.unix_millis(F.col(time).cast("timestamp"))).alias("latest"))
+        part = batch.groupBy(F.window(F.col(time).cast("timestamp"), window).alias("w"), *keys).agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in sums])
+        part = part.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *keys, "n", *sums, F.to_date("w.start").alias("day"), F.lit(number).alias("batch_id"))
+        part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(f"{out}/parts")
+        write_json(spark, f"{out}/times/batch-{number:09d}.json", {"latest": watch.get["latest"]})
+        after = _watermark(spark, out, late, number + 1)
+        if after is None:
+            return
+        parts = spark.read.parquet(f"{out}/parts").where(F.col("batch_id") <= number)
+        ms, days = F.unix_millis("end"), F.col("day")
+        # a window that closes now starts on no day after the new watermark, nor more than its length before the old one
+        closing = parts.where((ms <= after) & (days <= F.to_date(F.timestamp_millis(F.lit(after)))))
+        if before is not None:
+            closing = closing.where((ms > before) & (days >= F.to_date(F.timestamp_millis(F.lit(before)) - F.expr(f"interval {window}"))))
+        kinds = [closing.groupBy(*group).agg(*total).withColumn("status", F.lit("final"))]
+        if before is not None:
+            touched = parts.where((F.col("batch_id") == number) & (ms <= before)).select(*group, "day").distinct()
+            late_days = [r["day"] for r in touched.select("day").distinct().collect()]  # a row for each date
+            if late_days:
+                old = parts.where(F.col("day").isin(late_days))
+                kinds.append(old.join(touched, _same(old, touched, group), "left_semi").groupBy(*group).agg(*total).withColumn("status", F.lit("correction")))
+        reduce(DataFrame.unionByName, kinds).write.mode("overwrite").parquet(f"{out}/versions/batch_id={number}")
+
+    return events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _watermark(spark: SparkSession, out: str, late: int, number: int) -> int | None:
+    """The watermark in ms before a batch; None before the first event."""
+    times = [read_json(spark, f"{out}/times/{n}")["latest"] for n, _, _ in listed(spark, f"{out}/times") if n.endswith(".json") and int(n[6:-5]) < number]
+    times = [t for t in times if t is not None]
+    return max(times) - 1000 * late if times else None
+
+
+def rollup_now(spark: SparkSession, out: str, keys: list[str], sums: list[str] | None = None, late: int = 86_400) -> DataFrame:
+    """(start, end, keys..., n, sums..., status): what corrected_rollup knows: of each final window the latest version, and the open ones so far (status "open")."""
+    group, values = ["start", "end", *keys], ["n", *(sums or [])]
+    parts, mark = spark.read.parquet(f"{out}/parts"), _watermark(spark, out, late, 1 << 60)
+    is_open = F.unix_millis("end") > mark
+    now = parts.where(is_open).groupBy(*group).agg(*[F.sum(c).alias(c) for c in values]).withColumn("status", F.lit("open"))
+    if not listed(spark, f"{out}/versions"):
+        return now
+    last = spark.read.parquet(f"{out}/versions").groupBy(*group).agg(F.max_by(F.struct(*values, "status"), "batch_id").alias("v"))
+    return now.unionByName(last.select(*group, "v.*"))
+
+
 def checkpoint_path(base: str, run_id: str, mode: str = "auto", named: str | None = None) -> str:
     """Where a run's progress lies. auto goes on; beginning and ignore start anew in a folder of their own; checkpoint goes on from a named run."""
     if mode not in RESUME_MODES:
@@ -95,12 +160,23 @@ def reset_checkpoint(spark: SparkSession, base: str, run_id: str) -> bool:
     return p.getFileSystem(conf).delete(p, True)
 
 
-def run_stream(docs: DataFrame, stages: list[str], out: str, checkpoint: str, **given: dict) -> StreamingQuery:
+def _name(checkpoint: str) -> str:
+    """A stream's name, from the folder of its progress."""
+    return checkpoint.rstrip("/").rsplit("/", 1)[-1]
+
+
+def run_stream(docs: DataFrame, stages: list[str], out: str, checkpoint: str, prints: str | None = None, compact_every: int = 64, **given: dict) -> StreamingQuery:
     """Documents through stages, batch after batch, into out/batch_id=<n>; all that is there already counts as earlier.
 
     A batch that is run again replaces its own folder and does not see it, so each document is handled once. Batches are
     handled one after another, which is the order that "first seen is kept" needs.
+
+    prints: the folder of a fingerprint store through which global_dedup meets near copies of earlier batches (and of other runs that share the
+    store): a batch is decided against it and within itself, and the fingerprints of what stays are a run of their own, which a batch that is run again
+    replaces. Every compact_every batches the folders of earlier ones are merged.
     """
+    ranks = given.get("global_dedup", {})
+    ranked = bool(ranks.get("types") or ranks.get("sources"))
 
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -114,6 +190,12 @@ def run_stream(docs: DataFrame, stages: list[str], out: str, checkpoint: str, **
         options = {**given}
         if "exact_dedup" in stages and earlier is not None:
             options["exact_dedup"] = {**options.get("exact_dedup", {}), "store": earlier.select("seen_id").withColumnRenamed("seen_id", "doc_id")}
+        store = None
+        if prints and "global_dedup" in stages:
+            store = FingerprintStore(spark, prints, run=f"{_name(checkpoint)}-batch{number}")
+            if number and number % compact_every == 0:
+                store.compact(least=2)
+            options["global_dedup"] = {**options.get("global_dedup", {}), "store": store}
         # counted by the first action, which is the write
         done, watch = reports.observed(apply_stages(batch, stages, **options), stages, f"batch-{number}")
         done = done.persist()
@@ -121,6 +203,8 @@ def run_stream(docs: DataFrame, stages: list[str], out: str, checkpoint: str, **
         seen = done.where("rejection is null or rejection.stage <> 'exact_dedup'")
         seen.select(F.col("doc_id").alias("seen_id")).write.mode("overwrite").parquet(f"{out}/kept/batch_id={number}")
         done.unpersist()
+        if store is not None:
+            store.add(spark.read.parquet(f"{out}/batches/batch_id={number}").where("rejection is null"), supersede=ranked)
         write_json(spark, f"{out}/progress/batch-{number:09d}.json", watch.get)
 
     return docs.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -13,14 +13,15 @@ Order of work, so that no step makes pairs of a group:
 
 1.  `sketched`: one pass over the texts gives digests of words and buckets, written once. Copies that a task meets are one
     node from here on; those of several tasks share all buckets. A second pass (`worded`) fetches the words of nodes that share a bucket.
-2.  Buckets are parted by length, as links differ by a fifth of their words at most. Each node is aligned with one hub, the smallest node of one of its buckets.
-3.  Buckets whose nodes lie in one component are done. Others that share their smallest node become one where that is less work (`clustered`). In each every node is aligned with the bucket's hub, which tells
+2.  Each node is aligned with one hub, the smallest node of one of its buckets.
+3.  Buckets whose nodes lie in one component are done. Others that share their smallest node, or whose smallest nodes do, become one where that is less work (`clustered`). Those of more than a block are
+    parted by length, as links differ by a fifth of their words at most. In each every node is aligned with the bucket's hub, which tells
     those near the hub (linked) from those so far from it that, by the triangle inequality, no near one can be linked to them.
 4.  What is left are the nodes of a bucket that are not near its hub, among each other, and those neither near nor far against the near ones. Block is
     compared with block; a bound on the distance from common words, computed for whole blocks by matrix products, rules out most pairs, and the
-    nodes of the largest component are not compared with each other. So a link between any two
+    nodes of one component are not compared with each other. So a link between any two
     candidates is either found or implied by found ones, and components are as if all candidates had been aligned. A bucket with n texts of like length that
-    have no links costs n * n / 2 comparisons by that bound, on as many tasks as it has pairs of blocks.
+    have no links costs n * n / 2 comparisons by that bound, on as many tasks as it has pairs of blocks; each text is sent once to each block, so once up to BLOCK texts.
 """
 
 from __future__ import annotations
@@ -408,7 +409,8 @@ def compare_blocks(left: list[tuple], right: list[tuple], similarity: float, par
         has[doc[s:e], column[s:e] - low] = 1
         common += has[:n] @ has[second].T
     longer = np.maximum(counts[:n, None], counts[second][None])
-    able = longer - common <= (1 - similarity) * longer + 1e-6
+    component = np.array([r[1] for r in rows])
+    able = (longer - common <= (1 - similarity) * longer + 1e-6) & (component[:n, None] != component[second][None])
 
     def root(x):
         while (p := parent.get(x, x)) != x:
@@ -426,29 +428,36 @@ def compare_blocks(left: list[tuple], right: list[tuple], similarity: float, par
     return out
 
 
-def verified_buckets(members: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """Edges between components in buckets: members (bucket, node, component), the rest of a bucket against all of it.
+def in_blocks(members: DataFrame) -> DataFrame:
+    """members (bucket, node, component) of buckets with several components, a row for each pair of blocks that a node takes part in: left and right (the blocks), side (of the node).
 
-    The nodes of a bucket's largest component are not compared with each other.
+    A component with half of a bucket's nodes or more has blocks of its own, which are not compared with each other. Without one, a bucket of BLOCK nodes
+    at most is one block: each of its nodes is sent once.
     """
     sizes = members.groupBy("bucket", "component").count()
     tops = sizes.groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("top"), F.sum("count").alias("n"), F.count("*").alias("parts")).where("parts > 1")
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
-    rest, main = blocks(F.col("n") - F.col("top.count")), blocks(F.col("top.count"))
+    most = F.when(2 * F.col("top.count") >= F.col("n"), F.col("top.count")).otherwise(0)
+    rest, main = blocks(F.col("n") - most), blocks(most)
     rows = members.join(dealt_anew(tops.select("bucket", F.col("top.component").alias("largest"), rest.alias("rest"), main.alias("main")), "bucket"), "bucket")
     zero = F.lit(0)
-    inside = F.col("component") == F.col("largest")
+    inside = (F.col("component") == F.col("largest")) & (F.col("main") > 0)
     mine = F.pmod(F.xxhash64("node"), F.when(inside, F.col("main")).otherwise(F.col("rest"))).cast("int")
     unit = lambda left, right, side: F.struct(left.alias("left"), right.alias("right"), F.lit(side).alias("side"))
     none = F.array().cast("array<struct<left:int,right:int,side:int>>")
     # right >= 0: a block of the rest, from the left one on; right < 0: block -1 - right of the largest component
     with_rest = F.transform(F.sequence(F.col("mine"), F.col("rest") - 1), lambda j: unit(F.col("mine"), j, 0))
     before = F.when(F.col("mine") > 0, F.transform(F.sequence(zero, F.col("mine") - 1), lambda i: unit(i, F.col("mine"), 1))).otherwise(none)
-    with_main = F.transform(F.sequence(zero, F.col("main") - 1), lambda j: unit(F.col("mine"), -1 - j, 0))
+    with_main = F.when(F.col("main") > 0, F.transform(F.sequence(zero, F.col("main") - 1), lambda j: unit(F.col("mine"), -1 - j, 0))).otherwise(none)
     of_main = F.transform(F.sequence(zero, F.col("rest") - 1), lambda i: unit(i, -1 - F.col("mine"), 1))
     shipped = rows.withColumn("mine", mine).withColumn("u", F.explode(F.when(inside, of_main).otherwise(F.concat(with_rest, before, with_main))))
+    return shipped.select("bucket", "u.*", "node", "component")
+
+
+def verified_buckets(members: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """Edges between components in buckets: members (bucket, node, component), block by block."""
     keys = ["bucket", "left", "right"]
-    order = shipped.select("bucket", "u.*", "node", "component").join(words, "node").repartition(*keys).sortWithinPartitions(*keys, "side", "node").select(*keys, "side", "node", "component", "words")
+    order = in_blocks(members).join(words, "node").repartition(*keys).sortWithinPartitions(*keys, "side", "node").select(*keys, "side", "node", "component", "words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, sides = None, ([], [])
@@ -468,22 +477,40 @@ def verified_buckets(members: DataFrame, words: DataFrame, similarity: float) ->
     return order.mapInArrow(run, EDGES)
 
 
-def clustered(members: DataFrame) -> DataFrame:
+def clustered(members: DataFrame, rounds: int = 2) -> DataFrame:
     """members (bucket, node, component) with buckets of one hub (their smallest node) made one, where comparing all of it is less work than bucket by bucket.
 
     Texts that have much in common share many of their buckets, and would be compared again in each; of n buckets of half of such texts
-    most have one of a few hubs.
+    most have one of a few hubs. In later rounds what the last one has left or made goes under the smallest hub of all that hold its own hub.
     """
-    spark = members.sparkSession
-    hubs = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n"))
-    rows = written(members.join(dealt_anew(hubs, "bucket"), "bucket"), spark, paths := [])
-    single = rows.groupBy("hub", "bucket").agg(F.first("n").cast("double").alias("n")).groupBy("hub").agg(F.sum(F.col("n") ** 2).alias("single"), F.count("*").alias("buckets"))
-    size = rows.select("hub", "node").distinct().groupBy("hub").agg(F.count("*").cast("double").alias("m"))
-    whole = single.where("buckets > 1").join(size, "hub").where(F.col("m") ** 2 <= F.col("single")).select("hub", F.lit(True).alias("whole"))
-    to = F.when(F.col("whole"), F.xxhash64(F.lit("hub"), "hub")).otherwise(F.col("bucket"))
-    out = written(rows.join(dealt_anew(whole, "hub"), "hub", "left").select(to.alias("bucket"), "node", "component").distinct(), spark)
-    removed(spark, paths)
-    return out
+    spark, paths = members.sparkSession, []
+    for step in range(rounds):
+        hubs = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n"))
+        rows = written(members.join(dealt_anew(hubs, "bucket"), "bucket"), spark, paths)
+        if step:
+            above = rows.groupBy(F.col("node").alias("hub")).agg(F.min("hub").alias("above"))
+            above = above.join(rows.select("hub").distinct(), "hub", "left_semi")
+            rows = written(rows.join(dealt_anew(above, "hub"), "hub").withColumn("hub", F.col("above")).drop("above"), spark, paths)
+        single = rows.groupBy("hub", "bucket").agg(F.first("n").cast("double").alias("n")).groupBy("hub").agg(F.sum(F.col("n") ** 2).alias("single"), F.count("*").alias("buckets"))
+        size = rows.select("hub", "node").distinct().groupBy("hub").agg(F.count("*").cast("double").alias("m"))
+        whole = single.where("buckets > 1").join(size, "hub").where(F.col("m") ** 2 <= F.col("single")).select("hub", F.lit(True).alias("whole"))
+        to = F.when(F.col("whole"), F.xxhash64(F.lit("hub"), F.lit(step), "hub")).otherwise(F.col("bucket"))
+        members = written(rows.join(dealt_anew(whole, "hub"), "hub", "left").select(to.alias("bucket"), "node", "component").distinct(), spark, paths)
+    removed(spark, paths[:-1])
+    return members
+
+
+def parted(members: DataFrame, counts: DataFrame, similarity: float) -> DataFrame:
+    """members (bucket, node, component) with home (true): buckets of more than BLOCK nodes are parted by length; counts: node, n (its words).
+
+    In a parted bucket each text is in its own length class and, as a guest (home: false), in the next; links lie in one class or in two neighbours.
+    """
+    large = members.groupBy("bucket").count().where(F.col("count") > BLOCK).select("bucket", F.lit(True).alias("large"))
+    rows = members.join(dealt_anew(large, "bucket"), "bucket", "left")
+    own = F.floor(F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")) / float(-np.log(similarity - 1e-6))).cast("int")
+    banded = rows.where("large").join(counts, "node").select("node", "component", F.explode(F.array(own, own + 1)).alias("band"), (F.col("band") == own).alias("home"), "bucket")
+    banded = banded.select(F.xxhash64("bucket", "band").alias("bucket"), "node", "component", "home")
+    return banded.unionByName(rows.where("large is null").select("bucket", "node", "component", F.lit(True).alias("home")))
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, number: int = SKETCHES, length: int = LENGTH) -> DataFrame:
@@ -514,10 +541,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     mine = labelled(members.select("bucket", "node"))
     mixed = mine.groupBy("bucket").agg(several()).where("several").select("bucket")
     mixed = clustered(put(mine.join(dealt_anew(mixed, "bucket"), "bucket", "left_semi")))
-    # each text is in its own length class and, as a guest, in the next; links lie in one class or in two neighbours
-    own = F.floor(F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")) / float(-np.log(similarity - 1e-6))).cast("int")
-    banded = mixed.join(base.select("node", "n"), "node").select("node", "component", F.explode(F.array(own, own + 1)).alias("band"), (F.col("band") == own).alias("home"), "bucket")
-    banded = put(banded.select(F.xxhash64("bucket", "band").alias("bucket"), "node", "component", "home"))
+    banded = put(parted(mixed, base.select("node", "n"), similarity))
     hubs = banded.groupBy("bucket").agg(F.min("node").alias("hub"), several(), F.max("home").alias("home")).where("several and home")
     members = put(banded.select("bucket", "node").join(dealt_anew(hubs.select("bucket", "hub"), "bucket"), "bucket"))
     swept(spark)

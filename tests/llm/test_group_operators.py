@@ -228,6 +228,39 @@ def test_clusters_replace_buckets_where_that_is_less_work(spark):
     assert sorted(map(len, by.values())) == [2] * 20 + [30] and len(got) == 70
 
 
+def test_clusters_meet_under_the_hub_of_their_hubs(spark):
+    """The same texts in buckets of three hubs, of which each other one lies in a bucket of the first, are compared once."""
+    rows = [(h * 10 + b, n, n) for h in range(3) for b in range(9) for n in range(40) if n == h or n > 2 and (b + n) % 9 or (h, b) == (0, n)]
+    got = omh_dedup.clustered(spark.createDataFrame(rows, "bucket long, node long, component long")).collect()
+    assert len({r["bucket"] for r in got}) == 1 and len(got) == 40
+
+
+def test_a_node_is_sent_once_to_each_block(spark, monkeypatch):
+    monkeypatch.setattr(omh_dedup, "BLOCK", 64)
+    rows = [(1, n, n // 2) for n in range(64)] + [(2, n, n // 2) for n in range(200)] + [(3, n, min(n, 50)) for n in range(150)] + [(4, n, 0) for n in range(9)]
+    sent = omh_dedup.in_blocks(spark.createDataFrame(rows, "bucket long, node long, component long")).collect()
+    assert Counter(r["bucket"] for r in sent) == {1: 64, 2: 200 * 4, 3: 50 * (1 + 2) + 100}
+    units = {}
+    for r in sent:
+        units.setdefault((r["bucket"], r["left"], r["right"]), []).append(r)
+    met = {(k[0], *sorted((a["node"], b["node"]))) for k, u in units.items() for a in u for b in u if a is not b and (k[1] == k[2] or a["side"] != b["side"])}
+    inside = {(b, n, m) for b, n, c in rows for x, m, d in rows if b == x and n < m and c == d}
+    assert met | inside == {(b, n, m) for b, n, _ in rows for x, m, _ in rows if b == x and n < m}
+
+
+def test_small_buckets_are_not_parted_by_length(spark, monkeypatch):
+    monkeypatch.setattr(omh_dedup, "BLOCK", 32)
+    counts = [(n, 100 + 20 * n) for n in range(64)]
+    members = spark.createDataFrame([(1, n, n) for n in range(32)] + [(2, n, n) for n in range(64)], "bucket long, node long, component long")
+    got = omh_dedup.parted(members, spark.createDataFrame(counts, "node long, n int"), 0.8).collect()
+    assert sum(r["bucket"] == 1 for r in got) == 32 and len(got) == 32 + 128
+    by = {}
+    for r in got:
+        by.setdefault(r["bucket"], set()).add(r["node"])
+    n = dict(counts)
+    assert all(any({a, b} <= x for x in by.values()) for a in n for b in n if 0.8 * n[b] <= n[a] <= n[b])
+
+
 def test_short_links_share_a_key():
     r = random.Random(3)
     for n in range(5, omh_dedup.SHORT):

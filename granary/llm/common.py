@@ -6,6 +6,7 @@ import ctypes
 import gc
 import os
 import re
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -61,9 +62,11 @@ def removed(spark: SparkSession, paths: list[str]) -> None:
 
 def swept(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of steps that are over: it does so once the driver's JVM has collected what refers to them, which
-    a driver with memory to spare puts off for long."""
+    a driver with memory to spare puts off for long. What the last step made is let go by the first collection and found by the second, a moment later."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(0.2)
+    spark.sparkContext._jvm.System.gc()
 
 
 def released() -> None:

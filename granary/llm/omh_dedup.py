@@ -528,6 +528,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     exploded = base.where("node = rep").select("node", F.explode("buckets").alias("bucket"))
     shared = exploded.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").drop("last")
     members = put(exploded.join(dealt_anew(shared, "bucket"), "bucket"))
+    swept(spark)  # the keys of all texts were shuffled twice; the words would lie beside them
     wanted = base.join(members.select("node").distinct(), "node", "left_semi").select("node", "digest", F.coalesce("key", F.lit(0)).alias("k"))
     # rows that repeat a digest and key repeat the words
     words = put(worded(docs, key, text).join(wanted, ["digest", "k"]).dropDuplicates(["digest", "k", "node"]).select("node", "words"))

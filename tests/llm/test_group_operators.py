@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -276,6 +277,28 @@ def test_short_links_share_a_key():
                 assert set(x.tolist()) & set(y.tolist()), (n, k, trial)
 
 
+def test_shuffled_keys_are_gone_before_words_are_shuffled(spark, monkeypatch):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        return {n for i in range(found.size()) if (n := found.apply(i).getName()).startswith("shuffle_")}
+
+    before, left, worded = files(), [], omh_dedup.worded
+
+    def watched(*a):
+        until = time.time() + 15
+        while (now := files() - before) and time.time() < until:
+            time.sleep(0.2)
+        left.append(now)
+        return worded(*a)
+
+    monkeypatch.setattr(omh_dedup, "worded", watched)
+    d = spark.createDataFrame([(i, " ".join(prose(i // 2, 80))) for i in range(40)], "doc_id long, text string").repartition(3)
+    assert omh_dedup.near_classes(d).where("kept").count() == 20
+    assert left == [set()]
+
+
 def test_near_classes_of_odd_rows(spark):
     d = spark.createDataFrame([(None, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f"), (None, "z")], "doc_id long, text string")
     got = sorted((r["doc_id"] or -1, r["class_id"] or -1, r["class_size"], r["kept"]) for r in omh_dedup.near_classes(d).collect())

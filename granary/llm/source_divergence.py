@@ -4,7 +4,9 @@ First each task counts, for the terms of its documents, the documents of a langu
 stop at the threshold. Sketches are merged by addition, block by block, and shrink to one bit a cell: whether it reached the threshold. A term
 with any cell below it cannot be frequent enough, since a sketch never underestimates. The bits (DEPTH * width / 8 bytes, whatever the
 input) go to every task, which counts exactly, by language and source, only terms that may be frequent, adds up what it has before
-anything is shuffled, and drops the rest. A saturated sketch lets more terms through; results are the same.
+anything is shuffled, and drops the rest. A saturated sketch lets more terms through; results are the same. Both passes take a slice of
+texts at once: its terms become numbers, which are sorted with those of group and document, so that Python objects are made of a slice's
+distinct terms only.
 
 Two sources' distance sums over all kept terms, but terms that neither has all contribute the same, and terms that one has depend on the
 other's total only. So terms are joined where both sources have them, and the rest is added from counts of counts.
@@ -12,8 +14,6 @@ other's total only. So terms are joined where both sources have them, and the re
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,17 +24,55 @@ from pyspark.sql import functions as F
 
 from .common import dealt_anew, released, removed, slices, written
 
-#: Terms: ASCII letters and all characters beyond ASCII; in UTF-8 every byte of those is above 0x7F.
-TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
+#: What bytes become: those of terms (ASCII letters and, in UTF-8, all bytes of characters beyond ASCII) stay, A to Z small; others are 0.
+SMALL = bytes(x if bytes([x]).isalpha() or x > 127 else 0 for x in bytes(range(256)).lower())
+BETWEEN = bytes(x for x in range(256) if not SMALL[x])
 DEPTH, WIDTH, BLOCK = 4, 1 << 22, 1 << 16
-#: Entries that a task gathers before it passes them on.
-ENTRIES = 500_000
+#: Rows of a slice at most; its terms are counted together.
+ROWS = 4096
+#: Bytes of counts that a task gathers before it adds them up.
+GATHERED = 64e6
 COUNTS = "lang string, source string, term string, n bigint, docs bigint"
 
 
+def split(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The terms of texts, one after another, and the number of the text that each is from."""
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    raw = bytes(memoryview(texts.buffers()[2] or b"")[at[0] : at[-1]])
+    at = at - at[0]
+    inside = np.frombuffer(raw.translate(SMALL), np.uint8) != 0
+    # a term begins and ends beside other bytes and at the borders of texts
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    heads, tails = at[:-1][at[:-1] < len(raw)], at[1:][at[1:] > 0] - 1
+    first[heads], last[tails] = inside[heads], inside[tails]
+    starts = np.flatnonzero(first)
+    owner = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, at[1:]), prepend=0))
+    begins = np.append(0, np.cumsum(np.flatnonzero(last) + 1 - starts))
+    packed = raw.translate(SMALL, BETWEEN)
+    return owner, pa.Array.from_buffers(pa.large_binary(), len(owner), [None, pa.py_buffer(begins), pa.py_buffer(packed)])
+
+
 def terms_of(text: bytes | None) -> list[bytes]:
-    """A text's terms; of letters only A to Z become small."""
-    return TERM.findall((text or b"").lower())
+    """A text's terms."""
+    return split(pa.array([text], pa.binary()))[1].to_pylist()
+
+
+def tallied(texts: pa.Array, groups: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct terms of texts, and in the order of groups: a group of texts, a term's number, its occurrences and documents there."""
+    owner, terms = split(texts)
+    terms = terms.dictionary_encode()
+    kinds, group = np.unique(groups, return_inverse=True)
+    key = (group[owner] * len(terms.dictionary) + terms.indices.to_numpy()) * max(1, len(texts)) + owner
+    key.sort()
+    of_doc = np.flatnonzero(np.diff(key, prepend=-1))
+    pair = key[of_doc] // max(1, len(texts))
+    begin = np.flatnonzero(np.diff(pair, prepend=-1))
+    n, docs = np.diff(of_doc[begin], append=len(key)), np.diff(begin, append=len(pair))
+    group, term = np.divmod(pair[begin], max(1, len(terms.dictionary)))
+    return terms.dictionary, kinds[group], term, n, docs
 
 
 def _cells(lang: bytes, terms: list[bytes], width: int) -> np.ndarray:
@@ -45,10 +83,10 @@ def _cells(lang: bytes, terms: list[bytes], width: int) -> np.ndarray:
     return parts % width + np.arange(DEPTH) * width
 
 
-def _columns(b: pa.RecordBatch) -> Iterator[tuple[bytes, bytes, bytes]]:
-    cols = [c.cast(pa.binary()) for c in b.columns]
-    for lang, source, text in zip(*cols, strict=True):
-        yield lang.as_py() or b"", source.as_py() or b"", text.as_py() or b""
+def _by_lang(langs: pa.Array, lang: np.ndarray) -> Iterator[tuple[bytes, slice]]:
+    """Each language's rows, which lie together."""
+    for k in np.unique(lang):
+        yield langs[k].as_py().encode(), slice(*np.searchsorted(lang, [k, k + 1]))
 
 
 def sketch_bits(docs: DataFrame, least: int, width: int = WIDTH) -> bytes:
@@ -57,23 +95,14 @@ def sketch_bits(docs: DataFrame, least: int, width: int = WIDTH) -> bytes:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(DEPTH * width, np.uint8)
-        seen: dict[bytes, Counter] = {}
-
-        def poured() -> None:
-            for lang, c in seen.items():
-                at = _cells(lang, list(c), width).ravel()
-                n = np.repeat(np.minimum(np.fromiter(c.values(), np.int64, len(c)), top), DEPTH)
+        for b in slices(batches, ROWS):
+            langs = b["lang"].fill_null("").dictionary_encode()
+            terms, lang, term, _, found = tallied(b["text"], langs.indices.to_numpy())
+            for name, rows in _by_lang(langs.dictionary, lang):
+                at = _cells(name, terms.take(pa.array(term[rows])).to_pylist(), width).ravel()
                 cell, where = np.unique(at, return_inverse=True)
-                total = np.bincount(where, n).astype(np.int64) + cells[cell]
+                total = np.bincount(where, np.repeat(np.minimum(found[rows], top), DEPTH)).astype(np.int64) + cells[cell]
                 cells[cell] = np.minimum(total, top)
-            seen.clear()
-
-        for b in slices(batches):
-            for lang, _, text in _columns(b):
-                seen.setdefault(lang, Counter()).update(set(terms_of(text)))
-            if sum(map(len, seen.values())) > ENTRIES:
-                poured()
-        poured()
         for s in range(0, len(cells), BLOCK):
             part = cells[s : s + BLOCK]
             places = np.flatnonzero(part)
@@ -107,44 +136,36 @@ def sketch_bits(docs: DataFrame, least: int, width: int = WIDTH) -> bytes:
 
 
 def term_counts(docs: DataFrame, least: int = 30, width: int = WIDTH) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences and documents of terms that the sketch leaves, in parts that are to be added up; a
-    null term for every (lang, source) there is."""
+    """(lang, source, term, n, docs): occurrences and documents of terms that the sketch leaves, in parts that are to be added up."""
     bits = docs.sparkSession.sparkContext.broadcast(sketch_bits(docs, least, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = np.frombuffer(bits.value, np.uint8)
-        known: dict[bytes, dict[bytes, bool]] = {}
-        # occurrences (from bit 32 on) and documents of each group's terms
-        sums: dict[tuple[bytes, bytes], dict[bytes, int]] = {}
-
-        def frequent(lang: bytes, terms: list[bytes]) -> None:
-            """Looks terms up whose cells have not been looked at."""
-            of = known.setdefault(lang, {})
-            if len(of) > ENTRIES:
-                of.clear()
-            at = _cells(lang, terms, width)
-            of.update(zip(terms, (may[at >> 3] >> (7 - (at & 7)) & 1).all(1).tolist(), strict=True))
-
-        def passed() -> Iterator[pa.RecordBatch]:
-            for (lang, source), c in sums.items():
-                both = np.fromiter(c.values(), np.int64, len(c))
-                own = [pa.repeat(pa.scalar(x.decode()), len(c) + 1) for x in (lang, source)]
-                numbers = [np.append(x, 0) for x in (both >> 32, both & 0xFFFFFFFF)]
-                yield pa.RecordBatch.from_arrays([*own, pa.array([*c, None], pa.binary()).cast(pa.string()), *map(pa.array, numbers)], ["lang", "source", "term", "n", "docs"])
-            sums.clear()
-
-        for b in slices(batches):
-            for lang, source, text in _columns(b):
-                c, of = Counter(terms_of(text)), known.setdefault(lang, {})
-                if fresh := [t for t in c if t not in of]:
-                    frequent(lang, list(c) if len(of) > ENTRIES else fresh)
-                sum_ = sums.setdefault((lang, source), {})
-                for t, n in c.items():
-                    if of[t]:
-                        sum_[t] = sum_.get(t, 0) + (n << 32 | 1)
-            if sum(map(len, sums.values())) > ENTRIES:
-                yield from passed()
-        yield from passed()
+        parts: list[pa.Table] = []
+
+        def added() -> pa.Table:
+            whole = pa.concat_tables(parts).group_by(["lang", "source", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
+            return whole.rename_columns(["lang", "source", "term", "n", "docs"])
+
+        for b in slices(batches, ROWS):
+            langs, sources = (b[c].fill_null("").dictionary_encode() for c in ("lang", "source"))
+            names = len(sources.dictionary)
+            terms, group, term, n, found = tallied(b["text"], langs.indices.to_numpy().astype(np.int64) * names + sources.indices.to_numpy())
+            lang, source = np.divmod(group, names)
+            stay = np.zeros(len(group), bool)
+            for name, rows in _by_lang(langs.dictionary, lang):
+                own, where = np.unique(term[rows], return_inverse=True)
+                at = _cells(name, terms.take(pa.array(own)).to_pylist(), width)
+                stay[rows] = (may[at >> 3] >> (7 - (at & 7)) & 1).all(1)[where]
+            taken = [x.take(pa.array(i[stay])) for x, i in ((langs.dictionary, lang), (sources.dictionary, source), (terms, term))]
+            parts.append(pa.table([x.cast(pa.string()) for x in taken] + [pa.array(n[stay]), pa.array(found[stay])], ["lang", "source", "term", "n", "docs"]))
+            if sum(p.nbytes for p in parts) > GATHERED:
+                parts = [added()]
+                if parts[0].nbytes > GATHERED / 2:
+                    yield from parts.pop().to_batches(1 << 16)
+        if parts:
+            yield from added().to_batches(1 << 16)
+        parts.clear()
         released()
 
     return docs.select("lang", "source", "text").mapInArrow(run, COUNTS)
@@ -163,17 +184,16 @@ def source_divergence(docs: DataFrame, least: int = 30, alpha: int = 5, top: int
     each other source of the language with the sum of the differences of shares over all kept terms (0 without any), part `term` the
     `top` kept terms whose share in the group is most above the language's. Ranks go by value, then item in the order of its UTF-8.
     A language of one source has no pairs, texts that are empty or have no letters count as documents without terms. Repeated rows count
-    each; other columns are not read. An empty table gives an empty result. Texts are read whole, one at a time.
+    each; other columns are not read. An empty table gives an empty result. Texts are read whole, in slices of about 8 MB.
     """
     spark = docs.sparkSession
     paths: list[str] = []
-    parts = written(term_counts(docs.select("lang", "source", "text"), least, width), spark, paths)
-    sums = written(parts.where("term is not null").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), spark, paths)
+    sums = written(term_counts(docs, least, width).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), spark, paths)
     frequent = sums.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("all")).where(F.col("docs") >= least).drop("docs")
     counts = written(sums.drop("docs").join(dealt_anew(frequent, "lang", "term"), ["lang", "term"]), spark, paths)
 
     # one row a group: its total, its language's total and number of kept terms
-    groups = parts.select("lang", "source").distinct()
+    groups = docs.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source"))).distinct()
     of_lang = counts.groupBy("lang", "term").agg(F.first("all").alias("all")).groupBy("lang").agg(F.sum("all").alias("lang_n"), F.count("*").alias("v"))
     of_group = counts.groupBy("lang", "source").agg(F.sum("n").alias("group_n"))
     groups = groups.join(of_group, ["lang", "source"], "left").join(of_lang, "lang", "left").na.fill(0, ["group_n", "lang_n", "v"])
